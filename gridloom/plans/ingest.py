@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.functions import text
 from gridloom.functions.ids import load_id, make_stamp
 from gridloom.functions.uris import base_name, decoded_uri, extension
 from gridloom.operators.contents import CONTENTS_SHEET, listed_sheets, select_sheets
@@ -25,7 +26,6 @@ from gridloom.sources.sinks import append_by_name, with_audit
 from gridloom.sources.staging import discard, new_folder, session_conf, staged
 from gridloom.sources.tables import FACTS, LEDGER
 from gridloom.sources.workbooks import FILE_LEVEL, decode_archives, decode_workbooks
-from gridloom.functions import text
 
 SLICE_FILES = 10_000
 SLICE_BYTES = 256 << 30
@@ -60,6 +60,8 @@ def load_listed(
     slice_bytes: int = SLICE_BYTES,
 ) -> LoadReport:
     """Loads the pending files of a listing (``path``, ``length``)."""
+    # Rows another session has appended since this one last listed the ledger's files count too.
+    spark.catalog.refreshTable(f"{schema}.{LEDGER}")
     pending = pending_files(listing, spark.table(f"{schema}.{LEDGER}"), decode_uris).orderBy("zip_uri")
     report = LoadReport()
     for paths in _slices(pending.select("path", "length").toLocalIterator(), slice_files, slice_bytes):

@@ -7,6 +7,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gridloom.plans.ingest import load_listed, load_new_zips
 from gridloom.sources.listing import ARCHIVES
+from gridloom.sources.tables import FACTS, LEDGER
+
+# Columns of Spark's binary file source; a stream has to name them.
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 # Shortest time between two loads of a running stream.
 TRIGGER = "60 seconds"
@@ -16,6 +20,7 @@ def arriving_files(spark: SparkSession, prefix: str, name_glob: str = ARCHIVES,
     """Stream of ``path``, ``length``, ``modificationTime`` of new files; bodies are not read."""
     return (
         spark.readStream.format("binaryFile")
+        .schema(FILE_SCHEMA)
         .option("pathGlobFilter", name_glob)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", per_trigger)
@@ -45,6 +50,9 @@ def load_arrivals(
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         load_listed(batch.sparkSession, schema, batch, **options)
+        # The batch runs in a session of its own, which keeps its own file listings.
+        for table in (FACTS, LEDGER):
+            spark.catalog.refreshTable(f"{schema}.{table}")
 
     writer = arriving_files(spark, prefix).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=TRIGGER)).start()
