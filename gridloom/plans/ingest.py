@@ -56,6 +56,7 @@ def load_listed(
     schema: str,
     listing: DataFrame,
     decode_uris: bool = True,
+    zipped: bool = True,
     slice_files: int = SLICE_FILES,
     slice_bytes: int = SLICE_BYTES,
 ) -> LoadReport:
@@ -63,9 +64,10 @@ def load_listed(
     # Rows another session has appended since this one last listed the ledger's files count too.
     spark.catalog.refreshTable(f"{schema}.{LEDGER}")
     pending = pending_files(listing, spark.table(f"{schema}.{LEDGER}"), decode_uris).orderBy("zip_uri")
+    uri = decoded_uri(F.col("path")) if decode_uris else F.col("path")
     report = LoadReport()
     for paths in _slices(pending.select("path", "length").toLocalIterator(), slice_files, slice_bytes):
-        report += _load_archives(spark, schema, paths, decode_uris)
+        report += load_bodies(read_bodies(spark, paths).withColumn("zip_uri", uri), schema, zipped)
     return report
 
 
@@ -82,14 +84,13 @@ def _slices(files: Iterable[Row], most_files: int, most_bytes: int) -> Iterator[
         yield paths
 
 
-def _load_archives(spark: SparkSession, schema: str, paths: list[str], decode_uris: bool) -> LoadReport:
-    path = F.col("path")
-    files = read_bodies(spark, paths).withColumn("zip_uri", decoded_uri(path) if decode_uris else path)
+def load_bodies(files: DataFrame, schema: str, zipped: bool = True) -> LoadReport:
+    """Loads all of ``files`` (``zip_uri``, ``content``), one ledger row each."""
+    spark = files.sparkSession
     folder = new_folder(spark, "load")
     try:
-        grid = stage_grid(decode_archives(with_load_id(files)), folder)
-        sheets = staged(judge_sheets(grid), "sheets", folder)
-        append_facts(grid, sheets, f"{schema}.{FACTS}", base_name(F.col("zip_uri")))
+        grid, sheets = _decoded(files, zipped, folder)
+        append_by_name(with_audit(grid_facts(grid, sheets, base_name(F.col("zip_uri")))), f"{schema}.{FACTS}")
         ledger = ledger_rows(sheets)
         append_by_name(with_audit(ledger), f"{schema}.{LEDGER}")
         return _report(ledger)
@@ -104,22 +105,27 @@ def load_workbook_files(
     listing = list_files(spark, prefix, name_glob).select("path", "length")
     report = LoadReport()
     for paths in _slices(listing.toLocalIterator(), SLICE_FILES, SLICE_BYTES):
-        files = read_bodies(spark, paths).withColumnRenamed("path", "zip_uri")
         folder = new_folder(spark, "load")
         try:
-            grid = stage_grid(decode_workbooks(with_load_id(files)), folder)
-            sheets = staged(judge_sheets(grid), "sheets", folder)
+            grid, sheets = _decoded(read_bodies(spark, paths).withColumnRenamed("path", "zip_uri"), False, folder)
             done = ledger_rows(sheets)
             bad = done.where(F.col("status") == FAILED).select("zip_uri", "error_message").first()
             if bad is not None:
                 raise ValueError(f"{bad['zip_uri']}: {bad['error_message']}")
-            append_facts(grid, sheets, f"{schema}.{FACTS}", F.lit(zip_name))
+            append_by_name(with_audit(grid_facts(grid, sheets, F.lit(zip_name))), f"{schema}.{FACTS}")
             report += _report(done)
         finally:
             discard(spark, folder)
     return report
 
 
+def _decoded(files: DataFrame, zipped: bool, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Staged grid rows and staged verdicts on their sheets."""
+    decode = decode_archives if zipped else decode_workbooks
+    grid = stage_grid(decode(with_load_id(files)), folder)
+    return grid, staged(judge_sheets(grid), "sheets", folder)
+
+
 def with_load_id(files: DataFrame) -> DataFrame:
     return files.withColumn("load_id", load_id(make_stamp(), str(uuid.uuid4()), F.col("zip_uri")))
 
@@ -221,10 +227,6 @@ def grid_facts(grid: DataFrame, sheets: DataFrame, zip_name: Column) -> DataFram
     return wide_to_long(rows, keep)
 
 
-def append_facts(grid: DataFrame, sheets: DataFrame, table: str, zip_name: Column) -> None:
-    append_by_name(with_audit(grid_facts(grid, sheets, zip_name)), table)
-
-
 def _report(ledger: DataFrame) -> LoadReport:
     ok = F.col("status") == LOADED
     total = ledger.agg(F.count_if(ok).alias("loaded"), F.count_if(~ok).alias("failed"), F.sum("row_count").alias("rows")).first()

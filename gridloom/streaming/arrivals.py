@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from gridloom.plans.ingest import load_listed, load_new_zips
-from gridloom.sources.listing import ARCHIVES
+from gridloom.plans.ingest import load_listed
+from gridloom.sources.listing import ARCHIVES, list_files
 from gridloom.sources.tables import FACTS, LEDGER
 
 # Columns of Spark's binary file source; a stream has to name them.
@@ -36,9 +36,10 @@ def load_arrivals(
     checkpoint: str,
     available_now: bool = True,
     retry_failed: bool = True,
+    name_glob: str = ARCHIVES,
     **options,
 ) -> StreamingQuery:
-    """Starts a stream that loads zips as they arrive.
+    """Starts a stream that loads files as they arrive.
 
     The ledger decides what is loaded: each batch leaves out what it already
     marks, so a batch that is played again loads nothing twice. The checkpoint
@@ -46,7 +47,7 @@ def load_arrivals(
     per start. Only one load runs at a time, since batches follow each other.
     """
     if retry_failed:
-        load_new_zips(spark, schema, prefix, **options)
+        load_listed(spark, schema, list_files(spark, prefix, name_glob), **options)
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         load_listed(batch.sparkSession, schema, batch, **options)
@@ -54,5 +55,5 @@ def load_arrivals(
         for table in (FACTS, LEDGER):
             spark.catalog.refreshTable(f"{schema}.{table}")
 
-    writer = arriving_files(spark, prefix).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    writer = arriving_files(spark, prefix, name_glob).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=TRIGGER)).start()
