@@ -24,6 +24,8 @@ from gridloom.functions import text
 
 CHUNK_ROWS = 32_768
 
+PAIRS = "array<struct<table_key: string, table_key_simple: string, table_val: string>>"
+
 ROW = "row_idx"
 CELLS = "cells"
 
@@ -69,13 +71,15 @@ def number_rows(
     compacted: DataFrame,
     sheet: Sequence[str],
     sheets: DataFrame | None = None,
+    fitting: bool = False,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Data rows with their heading, 0-based index and header.
 
     ``compacted`` comes from :func:`compact`. ``sheets`` names the sheets to keep
     and adds its other columns; it is joined to the chunk summaries, not to the
-    rows, so a sheet that holds much of the data stays spread out.
+    rows, so a sheet that holds much of the data stays spread out. ``fitting``
+    leaves out sheets that have a row wider than their header.
 
     Adds ``heading``, ``table_row_index``, ``head``, ``head_keys`` and ``twin``.
     """
@@ -104,7 +108,7 @@ def number_rows(
         )
     )
 
-    carried = _carry(rows, sheet, sheets)
+    carried = _carry(rows, sheet, sheets, fitting)
     heading = F.coalesce("_heading", "_heading_before")
     extras = [c for c in sheets.columns if c not in sheet] if sheets is not None else []
     return (
@@ -129,7 +133,7 @@ def _all_present(columns: Sequence[str]) -> Column:
     return reduce(lambda left, right: left & right, (F.col(c).isNotNull() for c in columns))
 
 
-def _carry(rows: DataFrame, sheet: list[str], sheets: DataFrame | None) -> DataFrame:
+def _carry(rows: DataFrame, sheet: list[str], sheets: DataFrame | None, fitting: bool) -> DataFrame:
     """Per chunk: the header of its sheet and what the chunks before it add up to."""
     wide = F.size(CELLS) > 1
     chunks = rows.groupBy(*sheet, "_chunk").agg(
@@ -138,6 +142,7 @@ def _carry(rows: DataFrame, sheet: list[str], sheets: DataFrame | None) -> DataF
         ),
         F.max("_seen").alias("_chunk_seen"),
         F.max("_heading").alias("_chunk_heading"),
+        F.max(F.when(wide & F.col("_data"), F.size(CELLS))).alias("_chunk_width"),
     )
     up_to = Window.partitionBy(*sheet).orderBy("_chunk")
     before = up_to.rowsBetween(Window.unboundedPreceding, -1)
@@ -161,10 +166,12 @@ def _carry(rows: DataFrame, sheet: list[str], sheets: DataFrame | None) -> DataF
                 True,
             ).over(until),
         )
+        .withColumn("_width", F.max("_chunk_width").over(Window.partitionBy(*sheet)))
         .where(F.col("_head").isNotNull())
+        .where(F.lit(not fitting) | (F.coalesce("_width", F.lit(0)) <= F.size("_head.cells")))
         .withColumn("head_keys", F.transform("_head.cells", text.simple_key))
         .withColumn("twin", later_twin(F.col("_head.cells")))
-        .drop("_wide", "_chunk_seen", "_chunk_heading")
+        .drop("_wide", "_chunk_seen", "_chunk_heading", "_chunk_width", "_width")
     )
 
 
@@ -174,22 +181,22 @@ def wide_to_long(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
     ``rows`` has ``cells``, ``head``, ``head_keys`` and ``twin``. Cells beyond the
     header get no pair; :func:`sheet_status` reports such sheets.
     """
-    cells, head, keys = F.col(CELLS), F.col("head"), F.col("head_keys")
+    cells, head, keys, twin = F.col(CELLS), F.col("head"), F.col("head_keys"), F.col("twin")
     width = F.least(F.size(cells), F.size(head))
-    pairs = F.transform(
-        paired_positions(width, F.col("twin")),
-        lambda at: F.struct(
-            F.get(head, at).alias("table_key"),
-            F.get(keys, at).alias("table_key_simple"),
-            F.get(cells, at).alias("table_val"),
-        ),
+    values = F.greatest(width - 1, F.lit(0))
+    straight = F.arrays_zip(*(F.slice(part, F.lit(2), values) for part in (head, keys, cells)))
+    without_twins = F.transform(
+        paired_positions(width, twin), lambda at: F.struct(F.get(head, at), F.get(keys, at), F.get(cells, at))
     )
+    pairs = F.when(twin.isNull(), straight.cast(PAIRS)).otherwise(without_twins.cast(PAIRS))
+    # The pairs are a column before they are taken apart, so that the generator
+    # repeats the first cell per pair and not the whole row.
     return rows.select(
         *keep,
         F.get(head, F.lit(0)).alias("first_col_key"),
         F.get(cells, F.lit(0)).alias("first_col_val"),
-        F.inline(pairs),
-    )
+        pairs.alias("_pairs"),
+    ).select(*keep, "first_col_key", "first_col_val", F.inline("_pairs"))
 
 
 def grid_to_facts(grid: DataFrame, sheet: Sequence[str], chunk_rows: int = CHUNK_ROWS) -> DataFrame:

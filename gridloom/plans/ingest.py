@@ -30,11 +30,18 @@ from gridloom.sources.workbooks import FILE_LEVEL, decode_archives, decode_workb
 SLICE_FILES = 10_000
 SLICE_BYTES = 256 << 30
 
-# Decoding costs far more than reading, so tasks are cut smaller than for a scan.
-DECODE_CONF = {"spark.sql.files.maxPartitionBytes": str(16 << 20)}
+# Decoding costs far more than reading: tasks are cut smaller than for a scan, and
+# small partitions of files that come out of a shuffle are not put together.
+DECODE_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(16 << 20),
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
 
 SHEET = ["load_id", "sheet_pos"]
 
+# Kinds of staged rows.
+MARK, CONTENTS, DATA = "mark", "contents", "data"
+
 
 @dataclass(frozen=True)
 class LoadReport:
@@ -67,10 +74,37 @@ def load_listed(
     uri = decoded_uri(F.col("path")) if decode_uris else F.col("path")
     report = LoadReport()
     for paths in _slices(pending.select("path", "length").toLocalIterator(), slice_files, slice_bytes):
-        report += load_bodies(read_bodies(spark, paths).withColumn("zip_uri", uri), schema, zipped)
+        report += _load_paths(spark, schema, paths, uri, zipped)
     return report
 
 
+def _load_paths(spark: SparkSession, schema: str, paths: list[str], uri: Column, zipped: bool) -> LoadReport:
+    """Loads these files; what stops a job, such as a body too large for a row, is cornered by halving."""
+    files = read_bodies(spark, paths).withColumn("zip_uri", uri)
+    folder = new_folder(spark, "load")
+    try:
+        try:
+            grid, sheets = decode_and_judge(files, folder, zipped)
+        except Exception as problem:
+            if len(paths) == 1:
+                return _record_unreadable(spark, schema, paths[0], uri, problem)
+        else:
+            return _append(grid, sheets, schema)
+    finally:
+        discard(spark, folder)
+    middle = len(paths) // 2
+    return sum((_load_paths(spark, schema, half, uri, zipped) for half in (paths[:middle], paths[middle:])), LoadReport())
+
+
+def _record_unreadable(spark: SparkSession, schema: str, path: str, uri: Column, problem: Exception) -> LoadReport:
+    message = next(iter(str(problem).splitlines()), "") or type(problem).__name__
+    file = spark.range(1).select(F.lit(path).alias("path")).withColumn("zip_uri", uri)
+    verdict = with_load_id(file).select("zip_uri", "load_id", F.lit(message).alias("error"))
+    nothing = {"sheet_index": F.lit(None).cast("long"), "pairs": F.lit(None).cast("long")}
+    append_by_name(with_audit(ledger_rows(verdict.withColumns(nothing))), f"{schema}.{LEDGER}")
+    return LoadReport(failed=1)
+
+
 def _slices(files: Iterable[Row], most_files: int, most_bytes: int) -> Iterator[list[str]]:
     paths: list[str] = []
     size = 0
@@ -86,16 +120,18 @@ def _slices(files: Iterable[Row], most_files: int, most_bytes: int) -> Iterator[
 
 def load_bodies(files: DataFrame, schema: str, zipped: bool = True) -> LoadReport:
     """Loads all of ``files`` (``zip_uri``, ``content``), one ledger row each."""
-    spark = files.sparkSession
-    folder = new_folder(spark, "load")
+    folder = new_folder(files.sparkSession, "load")
     try:
-        grid, sheets = _decoded(files, zipped, folder)
-        append_by_name(with_audit(grid_facts(grid, sheets, base_name(F.col("zip_uri")))), f"{schema}.{FACTS}")
-        ledger = ledger_rows(sheets)
-        append_by_name(with_audit(ledger), f"{schema}.{LEDGER}")
-        return _report(ledger)
+        return _append(*decode_and_judge(files, folder, zipped), schema)
     finally:
-        discard(spark, folder)
+        discard(files.sparkSession, folder)
+
+
+def _append(grid: DataFrame, sheets: DataFrame, schema: str) -> LoadReport:
+    append_by_name(with_audit(grid_facts(grid, sheets, base_name(F.col("zip_uri")))), f"{schema}.{FACTS}")
+    ledger = ledger_rows(sheets)
+    append_by_name(with_audit(ledger), f"{schema}.{LEDGER}")
+    return _report(ledger)
 
 
 def load_workbook_files(
@@ -107,7 +143,8 @@ def load_workbook_files(
     for paths in _slices(listing.toLocalIterator(), SLICE_FILES, SLICE_BYTES):
         folder = new_folder(spark, "load")
         try:
-            grid, sheets = _decoded(read_bodies(spark, paths).withColumnRenamed("path", "zip_uri"), False, folder)
+            files = read_bodies(spark, paths).withColumnRenamed("path", "zip_uri")
+            grid, sheets = decode_and_judge(files, folder, zipped=False)
             done = ledger_rows(sheets)
             bad = done.where(F.col("status") == FAILED).select("zip_uri", "error_message").first()
             if bad is not None:
@@ -119,8 +156,8 @@ def load_workbook_files(
     return report
 
 
-def _decoded(files: DataFrame, zipped: bool, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Staged grid rows and staged verdicts on their sheets."""
+def decode_and_judge(files: DataFrame, folder: str, zipped: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Grid rows of ``files`` and the verdicts on their sheets, both staged."""
     decode = decode_archives if zipped else decode_workbooks
     grid = stage_grid(decode(with_load_id(files)), folder)
     return grid, staged(judge_sheets(grid), "sheets", folder)
@@ -131,13 +168,20 @@ def with_load_id(files: DataFrame) -> DataFrame:
 
 
 def stage_grid(decoded: DataFrame, folder: str) -> DataFrame:
-    """The decoded rows with blanks removed, written once."""
+    """The decoded rows with blanks removed, written once, apart by kind.
+
+    Marks and contents rows are few; their readers need not pass over the rest.
+    """
     kept = decoded.withColumn(CELLS, text.non_empty_cells(F.col(CELLS)))
     # Placed behind a generator for the reason given in operators.grid.compact.
     others = [c for c in decoded.columns if c != CELLS]
     kept = kept.select(*others, F.inline(F.array(F.struct(CELLS))))
+    # A one-sheet text file has no contents sheet, whatever its name.
+    contents = (F.col("sheet_name") == CONTENTS_SHEET) & (extension(F.col("unzipped_name")) != ".csv")
+    kind = F.when(F.col(ROW).isNull(), MARK).when(contents, CONTENTS).otherwise(DATA)
+    kept = kept.where((F.size(CELLS) > 0) | F.col(ROW).isNull()).withColumn("kind", kind)
     with session_conf(decoded.sparkSession, DECODE_CONF):
-        return staged(kept.where((F.size(CELLS) > 0) | F.col(ROW).isNull()), "grid", folder)
+        return staged(kept, "grid", folder, split_by="kind")
 
 
 def judge_sheets(grid: DataFrame) -> DataFrame:
@@ -147,8 +191,7 @@ def judge_sheets(grid: DataFrame) -> DataFrame:
     per selected sheet with its number of pairs and its error. Rows of the grid
     are only counted here.
     """
-    marks = grid.where(F.col(ROW).isNull())
-    rows = grid.where(F.col(ROW).isNotNull())
+    marks = grid.where(F.col("kind") == MARK)
     file = ["zip_uri", "load_id", "unzipped_name"]
     files = marks.where(F.col("sheet_pos") == FILE_LEVEL).select(*file, "error")
 
@@ -157,7 +200,6 @@ def judge_sheets(grid: DataFrame) -> DataFrame:
         .groupBy("load_id", "sheet_name")
         .agg(F.min("sheet_pos").alias("sheet_pos"), F.max("error").alias("read_error"), F.first("unzipped_name").alias("name"))
     )
-    # A one-sheet text file has no contents sheet, whatever its name.
     is_contents = (F.col("sheet_name") == CONTENTS_SHEET) & (extension(F.col("name")) != ".csv")
     books = named.where(is_contents).select("load_id", F.lit(True).alias("_contents"))
     named = (
@@ -166,7 +208,7 @@ def judge_sheets(grid: DataFrame) -> DataFrame:
         .withColumn("has_contents", F.coalesce("_contents", F.lit(False)))
         .drop("_contents")
     )
-    contents = rows.where((F.col("sheet_name") == CONTENTS_SHEET) & (extension(F.col("unzipped_name")) != ".csv"))
+    contents = grid.where(F.col("kind") == CONTENTS)
     chosen = select_sheets(named, listed_sheets(contents, ["load_id"]), ["load_id"], "has_contents")
 
     broken_contents = (
@@ -180,7 +222,7 @@ def judge_sheets(grid: DataFrame) -> DataFrame:
     )
     missing = F.when(F.col("sheet_pos").isNull(), F.format_string("no sheet named %s", "sheet_name"))
     judged = (
-        chosen.join(sheet_status(rows, SHEET), SHEET, "left")
+        chosen.join(sheet_status(grid.where(F.col("kind") != MARK), SHEET), SHEET, "left")
         .join(files.drop("error"), "load_id")
         .select(
             *file,
@@ -222,7 +264,7 @@ def grid_facts(grid: DataFrame, sheets: DataFrame, zip_name: Column) -> DataFram
         .join(bad, "load_id", "left_anti")
         .select(*SHEET, zip_name.alias("zip_name"), "unzipped_name", "sheet_name", "sheet_index")
     )
-    rows = number_rows(grid.where(F.col(ROW).isNotNull()), SHEET, wanted)
+    rows = number_rows(grid.where(F.col("kind") != MARK), SHEET, wanted)
     keep = ["load_id", "zip_name", "unzipped_name", "sheet_name", "sheet_index", "heading", "table_row_index"]
     return wide_to_long(rows, keep)
 

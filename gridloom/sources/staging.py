@@ -25,11 +25,16 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/gridloom/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
-    """Writes ``df`` once and reads it back; later readers see one fixed result."""
+def staged(df: DataFrame, name: str, folder: str | None = None, split_by: str | None = None) -> DataFrame:
+    """Writes ``df`` once and reads it back; later readers see one fixed result.
+
+    Rows are put into one subfolder per value of ``split_by``, a column with few values.
+    """
     spark = df.sparkSession
     path = f"{folder or new_folder(spark, 'stage')}/{name}"
-    df.write.parquet(path)
+    # With few values, open a file for each instead of sorting the rows.
+    with session_conf(spark, {"spark.sql.maxConcurrentOutputFileWriters": "8"} if split_by else {}):
+        df.write.partitionBy(*([split_by] if split_by else [])).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,9 +9,12 @@ import datetime as dt
 import posixpath
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import pairwise
 from typing import IO, Any
 from xml.etree import ElementTree
+from xml.parsers import expat
 
 from gridloom.functions.numfmt import LITERALS, UNFORMATTED
 
@@ -58,6 +61,8 @@ EPOCH_1900 = dt.datetime(1899, 12, 30)
 EPOCH_1904 = dt.datetime(1904, 1, 1)
 DAY_MS = 86_400_000
 
+_CHUNK_BYTES = 1 << 16
+
 _LITERAL = re.compile("|".join(LITERALS))
 _NOT_ELAPSED = re.compile(r'"[^"]*"|\[(?!hh?\]|mm?\]|ss?\])[^\]]*\]')
 _DATE_LETTER = re.compile(r"(?<![_\\])[dmhys]", re.IGNORECASE)
@@ -106,6 +111,7 @@ def iso_date(value: str) -> Any:
     return dt.time.fromisoformat(text) if ":" in text else dt.date.fromisoformat(text)
 
 
+@lru_cache(maxsize=65_536)
 def _local(tag: str) -> str:
     return tag.rpartition("}")[2]
 
@@ -124,6 +130,82 @@ def _text_of(node: ElementTree.Element) -> str:
     return own + "".join(t.text or "" for run in _children(node, "r") for t in _children(run, "t"))
 
 
+class _RowReader:
+    """Handlers that turn the events of a sheet part into rows."""
+
+    def __init__(self, value_of: Callable[[str, int, str | None, str | None], Any]) -> None:
+        self.value_of = value_of
+        self.done: list[tuple[int, list[str]]] = []
+        self.in_data = self.in_inline = self.in_phonetic = False
+        self.number = 0
+        self.cells: list[str] = []
+        self.places: list[int] = []
+        self.parts: list[str] | None = None
+        self.cell: dict[str, str] = {}
+        self.stored: str | None = None
+        self.inline: str | None = None
+
+    def take(self) -> list[tuple[int, list[str]]]:
+        done, self.done = self.done, []
+        return done
+
+    def start(self, name: str, attributes: dict[str, str]) -> None:
+        tag = _local(name)
+        if not self.in_data:
+            self.in_data = tag == "sheetData"
+        elif tag == "c":
+            self.cell, self.stored, self.inline = attributes, None, None
+        elif tag == "v":
+            self.parts = []
+        elif tag == "row":
+            self.number = int(float(attributes.get("r", self.number + 1)))
+            self.cells, self.places = [], []
+            self.at = -1
+        elif tag == "is":
+            self.in_inline, self.inline = True, ""
+        elif tag == "rPh":
+            self.in_phonetic = True
+        elif tag == "t" and self.in_inline and not self.in_phonetic:
+            self.parts = []
+
+    def text(self, data: str) -> None:
+        if self.parts is not None:
+            self.parts.append(data)
+
+    def end(self, name: str) -> None:
+        if not self.in_data:
+            return
+        tag = _local(name)
+        if tag == "v" and self.parts is not None:
+            self.stored, self.parts = "".join(self.parts), None
+        elif tag == "c":
+            self._end_cell()
+        elif tag == "row":
+            self._end_row()
+        elif tag == "t" and self.parts is not None:
+            self.inline, self.parts = (self.inline or "") + "".join(self.parts), None
+        elif tag == "rPh":
+            self.in_phonetic = False
+        elif tag == "is":
+            self.in_inline = False
+        elif tag == "sheetData":
+            self.in_data = False
+
+    def _end_cell(self) -> None:
+        cell = self.cell
+        self.at = _column(cell.get("r"), self.at + 1)
+        value = self.value_of(cell.get("t", "n"), int(cell.get("s", 0)), self.stored, self.inline)
+        if value is not None:
+            self.places.append(self.at)
+            self.cells.append(str(value))
+
+    def _end_row(self) -> None:
+        if any(left >= right for left, right in pairwise(self.places)):
+            placed = dict(zip(self.places, self.cells))
+            self.cells = [placed[at] for at in sorted(placed)]
+        self.done.append((self.number - 1, self.cells))
+
+
 class XlsxBook:
     """Sheets of a workbook in workbook order."""
 
@@ -150,41 +232,25 @@ class XlsxBook:
 
     def rows(self, path: str) -> Iterator[tuple[int, list[str]]]:
         """0-based row number and cells of each stored row, from left to right."""
-        number = 0
+        parser = expat.ParserCreate(namespace_separator="}")
+        parser.buffer_text = True
+        reader = _RowReader(self._value)
+        parser.StartElementHandler, parser.EndElementHandler = reader.start, reader.end
+        parser.CharacterDataHandler = reader.text
         with self.archive.open(path) as part:
-            events = ElementTree.iterparse(part, events=("start", "end"))
-            data = None
-            for event, node in events:
-                name = _local(node.tag)
-                if event == "start":
-                    if name == "sheetData":
-                        data = node
-                elif name == "row":
-                    number = int(float(node.get("r", number + 1)))
-                    yield number - 1, self._cells(node)
-                    if data is not None:
-                        data.clear()
-
-    def _cells(self, row: ElementTree.Element) -> list[str]:
-        shown: dict[int, str] = {}
-        at = -1
-        for cell in row:
-            at = _column(cell.get("r"), at + 1)
-            value = self._value(cell)
-            if value is not None:
-                shown[at] = str(value)
-        return [shown[at] for at in sorted(shown)]
-
-    def _value(self, cell: ElementTree.Element) -> Any:
-        kind = cell.get("t", "n")
+            while chunk := part.read(_CHUNK_BYTES):
+                parser.Parse(chunk)
+                yield from reader.take()
+            parser.Parse(b"", True)
+        yield from reader.take()
+
+    def _value(self, kind: str, style: int, stored: str | None, inline: str | None) -> Any:
         if kind == "inlineStr":
-            inline = _children(cell, "is")
-            return _text_of(inline[0]) if inline else None
-        stored = next((v.text for v in _children(cell, "v")), None)
+            return inline
         if not stored:
             return None
         if kind == "n":
-            return self._number(stored, int(cell.get("s", 0)))
+            return self._number(stored, style)
         if kind == "s":
             return self.strings[int(stored)]
         if kind == "b":
@@ -254,9 +320,13 @@ class XlsxBook:
 
 def _column(reference: str | None, default: int) -> int:
     """0-based column of a cell reference such as ``AB12``."""
+    letters = (reference or "").rstrip("0123456789")
+    return _letters_to_column(letters) if letters else default
+
+
+@lru_cache(maxsize=65_536)
+def _letters_to_column(letters: str) -> int:
     column = 0
-    for ch in reference or "":
-        if not ch.isalpha():
-            break
-        column = column * 26 + ord(ch.upper()) - ord("A") + 1
-    return column - 1 if column else default
+    for ch in letters.upper():
+        column = column * 26 + ord(ch) - ord("A") + 1
+    return column - 1

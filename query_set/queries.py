@@ -16,12 +16,11 @@ from gridloom.operators.contents import listed_sheets, select_sheets
 from gridloom.operators.grid import compact, number_rows, overflow_message, sheet_status, wide_to_long
 from gridloom.operators.latency import latency_summary
 from gridloom.operators.pending import FAILED, LOADED, pending_files
-from gridloom.plans.ingest import grid_facts, judge_sheets, load_bodies, load_listed, stage_grid, with_load_id
+from gridloom.plans.ingest import decode_and_judge, grid_facts, load_bodies, load_listed, with_load_id
 from gridloom.sources.listing import list_files
 from gridloom.sources.sinks import append_by_name, metric_rows
 from gridloom.sources.staging import new_folder, staged
 from gridloom.sources.tables import FACTS, LEDGER, add_missing_columns, create_table, loaded_facts, register_folders
-from gridloom.sources.workbooks import decode_archives
 from gridloom.streaming.arrivals import load_arrivals
 from query_set import tables as t
 
@@ -30,9 +29,8 @@ PAIR = ["first_col_val", "table_key", "table_key_simple", "table_val"]
 
 
 def grid_kvp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = compact(t.document_grid(spark, sf_dir))
-    good = sheet_status(rows, DOC).where(F.col("over").isNull()).select("doc_id")
-    return wide_to_long(number_rows(rows, DOC, good), ["doc_id", "heading", "table_row_index"])
+    rows = number_rows(compact(t.document_grid(spark, sf_dir)), DOC, fitting=True)
+    return wide_to_long(rows, ["doc_id", "heading", "table_row_index"])
 
 
 def grid_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,14 +161,14 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zip_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = stage_grid(decode_archives(with_load_id(t.part_zips(spark, sf_dir))), new_folder(spark, "query"))
-    facts = grid_facts(grid, judge_sheets(grid), base_name(F.col("zip_uri")))
+    grid, sheets = decode_and_judge(t.part_zips(spark, sf_dir), new_folder(spark, "query"))
+    facts = grid_facts(grid, sheets, base_name(F.col("zip_uri")))
     return facts.select("zip_name", "unzipped_name", "sheet_name", "sheet_index", "heading", "table_row_index", "first_col_key", *PAIR)
 
 
 def xlsx_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = stage_grid(decode_archives(with_load_id(t.order_books(spark, sf_dir))), new_folder(spark, "query"))
-    facts = grid_facts(grid, judge_sheets(grid), base_name(F.col("zip_uri")))
+    grid, sheets = decode_and_judge(t.order_books(spark, sf_dir), new_folder(spark, "query"))
+    facts = grid_facts(grid, sheets, base_name(F.col("zip_uri")))
     return facts.select("sheet_name", "sheet_index", *PAIR)
 
 

@@ -135,6 +135,9 @@ def test_random_sheets_match_row_model(spark, chunk_rows):
     expected = {name: facts_of(rows) for name, rows in sheets.items()}
     df = make_grid(spark, sheets)
     found = spark_facts(grid.grid_to_facts(df, ["sheet"], chunk_rows))
+    fitting = grid.number_rows(grid.compact(df), ["sheet"], fitting=True, chunk_rows=chunk_rows)
+    fitting = spark_facts(grid.wide_to_long(fitting, ["sheet", "heading", "table_row_index"]))
+    assert fitting == {name: sorted(facts) for name, facts in expected.items() if facts}
     status = {r["sheet"]: r for r in grid.sheet_status(grid.compact(df), ["sheet"]).collect()}
     for name, facts in expected.items():
         over = name in status and status[name]["over"] is not None

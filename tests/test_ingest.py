@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 import re
 
 import pytest
@@ -9,6 +10,7 @@ from gridloom.functions.uris import base_name, decoded_uri, extension
 from gridloom.operators.pending import pending_files
 from gridloom.plans import ingest
 from gridloom.sources import listing
+from gridloom.sources.staging import session_conf
 from gridloom.sources.tables import FACTS, LEDGER, loaded_facts
 from gridloom.streaming.arrivals import load_arrivals
 from query_set.samples import xlsx_bytes, zip_bytes
@@ -114,6 +116,18 @@ def test_slices_give_the_same_as_one_batch(spark, schema, tmp_path):
     assert facts(spark, schema).select("load_id").distinct().count() == 5
 
 
+def test_file_that_stops_a_job_is_cornered(spark, schema, tmp_path):
+    rng = random.Random(1)
+    big = "Y,A\n" + "\n".join(f"{rng.random()},{rng.random()}" for _ in range(2000))
+    files = {f"{i}.zip": zip_bytes({"a.csv": "Y,A\n1,x\n"}) for i in range(4)} | {"big.zip": zip_bytes({"a.csv": big})}
+    prefix = put(tmp_path / "in", files)
+    with session_conf(spark, {"spark.sql.sources.binaryFile.maxLength": "10000"}):
+        assert ingest.load_new_zips(spark, schema, prefix) == ingest.LoadReport(loaded=4, failed=1, rows=4)
+    row = ledger(spark, schema)["big.zip"]
+    assert row["status"] == "failed" and row["error_message"] and row["zip_uri"].endswith("/in/big.zip")
+    assert ingest.load_new_zips(spark, schema, prefix) == ingest.LoadReport(loaded=1, rows=2000)
+
+
 def test_contents_sheet_selects_and_orders(spark, schema, tmp_path):
     data = [["Year", "Value"], ["2023", 1]]
     contents = [
