@@ -88,27 +88,23 @@ def number_rows(
     cells = F.col(CELLS)
     in_chunk = Window.partitionBy(*chunk).orderBy(ROW).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    heading_here = F.when(F.col("_text"), F.struct(F.col(ROW).alias("at"), F.get(cells, F.lit(0)).alias("text")))
-
-    rows = (
+    shuffled = (
         compacted.select(*sheet, F.col(ROW), cells)
         # A lone filler cell is no header, heading or data; wider filler rows can be headers.
         .where((F.size(CELLS) > 1) | ~text.is_filler(cells))
         .withColumn("_chunk", F.floor(F.col(ROW) / chunk_rows))
-        # The filters and the explicit shuffle below make the exchange the same
-        # on both sides of the join, so that it runs once.
+        # The filters and the explicit shuffle make the exchange the same on both
+        # sides of the join, so that it runs once.
         .where(_all_present([*chunk, ROW]))
         .repartition(*chunk)
-        .withColumn("_text", text.is_text_only(cells))
-        .withColumn("_data", ~F.col("_text") & ~text.is_filler(cells))
-        .select(
-            "*",
-            F.sum(F.col("_data").cast("long")).over(in_chunk).alias("_seen"),
-            F.last(heading_here, True).over(in_chunk).alias("_heading"),
-        )
     )
+    carried = _carry(shuffled, sheet, sheets, fitting)
 
-    carried = _carry(rows, sheet, sheets, fitting)
+    rows = shuffled.withColumn("_data", _is_data()).select(
+        "*",
+        F.sum(F.col("_data").cast("long")).over(in_chunk).alias("_seen"),
+        F.last(_heading(), True).over(in_chunk).alias("_heading"),
+    )
     heading = F.coalesce("_heading", "_heading_before")
     extras = [c for c in sheets.columns if c not in sheet] if sheets is not None else []
     return (
@@ -133,16 +129,35 @@ def _all_present(columns: Sequence[str]) -> Column:
     return reduce(lambda left, right: left & right, (F.col(c).isNotNull() for c in columns))
 
 
-def _carry(rows: DataFrame, sheet: list[str], sheets: DataFrame | None, fitting: bool) -> DataFrame:
+def _is_data() -> Column:
+    return ~text.is_text_only(F.col(CELLS)) & ~text.is_filler(F.col(CELLS))
+
+
+def _heading() -> Column:
+    """Place and text of a heading row, null in other rows."""
+    cells = F.col(CELLS)
+    return F.when(text.is_text_only(cells), F.struct(F.col(ROW).alias("at"), F.get(cells, F.lit(0)).alias("text")))
+
+
+def _carry(shuffled: DataFrame, sheet: list[str], sheets: DataFrame | None, fitting: bool) -> DataFrame:
     """Per chunk: the header of its sheet and what the chunks before it add up to."""
-    wide = F.size(CELLS) > 1
-    chunks = rows.groupBy(*sheet, "_chunk").agg(
-        F.min_by(F.struct(F.col(ROW).alias("at"), F.col(CELLS).alias("cells"), F.col("_seen").alias("seen")), F.when(wide, F.col(ROW))).alias(
-            "_wide"
-        ),
-        F.max("_seen").alias("_chunk_seen"),
-        F.max("_heading").alias("_chunk_heading"),
-        F.max(F.when(wide & F.col("_data"), F.size(CELLS))).alias("_chunk_width"),
+    row, data, wide = F.col(ROW), _is_data(), F.size(CELLS) > 1
+    chunks = (
+        shuffled.groupBy(*sheet, "_chunk")
+        .agg(
+            F.min_by(F.struct(row.alias("at"), F.col(CELLS).alias("cells")), F.when(wide, row)).alias("_wide"),
+            F.count_if(data).alias("_chunk_seen"),
+            F.max(_heading()).alias("_chunk_heading"),
+            F.max(F.when(wide & data, F.size(CELLS))).alias("_chunk_width"),
+            # Data rows above a header are single numbers; at most one chunk of them.
+            F.collect_list(F.when(data & ~wide, row)).alias("_lone"),
+        )
+        .withColumn(
+            "_wide_seen",
+            F.size(F.filter("_lone", lambda at: at < F.col("_wide.at")))
+            + (~text.is_filler(F.col("_wide.cells"))).cast("int"),
+        )
+        .drop("_lone")
     )
     up_to = Window.partitionBy(*sheet).orderBy("_chunk")
     before = up_to.rowsBetween(Window.unboundedPreceding, -1)
@@ -160,7 +175,7 @@ def _carry(rows: DataFrame, sheet: list[str], sheets: DataFrame | None, fitting:
                     F.struct(
                         F.col("_wide.at").alias("at"),
                         F.col("_wide.cells").alias("cells"),
-                        (F.col("_wide.seen") + F.col("_seen_before")).alias("seen"),
+                        (F.col("_wide_seen") + F.col("_seen_before")).alias("seen"),
                     ),
                 ),
                 True,
@@ -171,7 +186,7 @@ def _carry(rows: DataFrame, sheet: list[str], sheets: DataFrame | None, fitting:
         .where(F.lit(not fitting) | (F.coalesce("_width", F.lit(0)) <= F.size("_head.cells")))
         .withColumn("head_keys", F.transform("_head.cells", text.simple_key))
         .withColumn("twin", later_twin(F.col("_head.cells")))
-        .drop("_wide", "_chunk_seen", "_chunk_heading", "_chunk_width", "_width")
+        .drop("_wide", "_wide_seen", "_chunk_seen", "_chunk_heading", "_chunk_width", "_width")
     )
 
 

@@ -69,11 +69,12 @@ def text_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = F.array(*map(F.lit, t.ORDER_COLUMNS))
+    names = [F.lit(c) for c in t.ORDER_COLUMNS]
+    head = F.array(*names)
     rows = t.table(spark, sf_dir, "orders").select(
         F.array(*t.as_texts(t.ORDER_COLUMNS)).alias("cells"),
         head.alias("head"),
-        F.transform(head, text.simple_key).alias("head_keys"),
+        F.array(*map(text.simple_key, names)).alias("head_keys"),
         F.lit(None).cast("array<int>").alias("twin"),
     )
     return wide_to_long(rows, []).select(*PAIR)
