@@ -212,7 +212,7 @@ class XlsxBook:
     def __init__(self, file: IO[bytes]) -> None:
         self.archive = zipfile.ZipFile(file)
         self.parts = set(self.archive.namelist())
-        book_path = self._related("", "officeDocument").get("officeDocument", [("", "xl/workbook.xml")])[0][1]
+        book_path = self._related("").get("officeDocument", [("", "xl/workbook.xml")])[0][1]
         book = self._tree(book_path)
         related = {key: (kind, path) for kind, entries in self._related(book_path).items() for key, path in entries}
         by_kind = {kind: path for kind, path in related.values()}
@@ -271,7 +271,7 @@ class XlsxBook:
         with self.archive.open(path) as part:
             return ElementTree.parse(part).getroot()
 
-    def _related(self, path: str, only: str | None = None) -> dict[str, list[tuple[str, str]]]:
+    def _related(self, path: str) -> dict[str, list[tuple[str, str]]]:
         """(id, path) of the parts that a part refers to, by kind."""
         folder, name = posixpath.split(path)
         index = posixpath.join(folder, "_rels", f"{name}.rels")
@@ -281,7 +281,7 @@ class XlsxBook:
         for node in self._tree(index):
             kind = node.get("Type", "").rpartition("/")[2]
             target = node.get("Target", "")
-            if node.get("TargetMode") != "External" and only in (None, kind):
+            if node.get("TargetMode") != "External":
                 full = target.lstrip("/") if target.startswith("/") else posixpath.normpath(posixpath.join(folder, target))
                 found.setdefault(kind, []).append((node.get("Id", ""), full))
         return found

@@ -167,6 +167,22 @@ def test_contents_sheet_selects_and_orders(spark, schema, tmp_path):
     assert (rows["bare.zip"]["sheet_count"], rows["bare.zip"]["row_count"]) == (2, 1)
 
 
+def test_broken_sheet_matters_only_if_selected(spark, schema, tmp_path):
+    good, broken = [["Y", "A"], ["1", "x"]], "<worksheet><sheetData><row><c><v>1</v></c></row>"
+    contents = {n: [["Table Name", "D"], [n, "d"], [n, "again"]] for n in ("GOOD", "BROKEN")}
+    books = {
+        "unlisted.zip": {"BROKEN": broken, "Table of Contents": contents["GOOD"], "GOOD": good},
+        "listed.zip": {"BROKEN": broken, "Table of Contents": contents["BROKEN"], "GOOD": good},
+        "all.zip": {"GOOD": good, "BROKEN": broken},
+        "contents.zip": {"GOOD": good, "Table of Contents": broken},
+    }
+    prefix = put(tmp_path / "in", {n: zip_bytes({"b.xlsx": xlsx_bytes(b)}) for n, b in books.items()})
+    assert ingest.load_new_zips(spark, schema, prefix) == ingest.LoadReport(loaded=1, failed=3, rows=1)
+    rows = ledger(spark, schema)
+    assert rows["unlisted.zip"]["status"] == "loaded"
+    assert all("no element found" in rows[n]["error_message"] for n in ("listed.zip", "all.zip", "contents.zip"))
+
+
 def test_workbook_without_zip(spark, schema, tmp_path):
     path = put(tmp_path / "in", {"MDCR ENROLL_a_very_long_name_of_a_file_2023.csv": ENROLL})
     assert ingest.load_workbook_files(spark, schema, path) == ingest.LoadReport(loaded=1, rows=4)
