@@ -17,6 +17,9 @@ _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uin
 _LOWER = _BYTE[[b + 32 if 65 <= b <= 90 else b for b in range(256)]]
 _STEP = int(_RANDOM.integers(1, 2**62)) * 2 + 1
 _BACK = pow(_STEP, -1, 2**64)
+# Bytes of the words ``[^\\x20\\x09-\\x0D]+``, and of runs of ASCII letters, digits and all other scripts.
+NOT_BLANK = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)])
+ALPHANUMERIC = np.array([48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 _PLACE = _RANDOM.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -89,9 +92,9 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+``, and the first word of each row (n + 1 entries)."""
-    inside = (data != 32) & ((data < 9) | (data > 13))
+def word_spans(data: np.ndarray, offsets: np.ndarray, member: np.ndarray = NOT_BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of ``member`` bytes, and the first run of each row (n + 1 entries)."""
+    inside = member[data]
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
@@ -115,10 +118,7 @@ def shingle_sets(column: pa.Array, width: int = 5) -> Iterator[np.ndarray]:
     data, offsets = text_bytes(column)
     starts, ends, firsts = word_spans(data, offsets)
     words = span_hashes(prefix_sums(data, lower=True), starts, ends)
-    rolled = np.zeros(max(0, len(words) - width + 1), np.uint64)
-    for k in range(width):
-        rolled += words[k : k + len(rolled)] * _PLACE[k]
-    rolled = mixed(rolled)
+    rolled = joined_hashes(words, width)
     for a, b in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True):
         if b - a >= width:
             yield np.unique(rolled[a : b - width + 1])
@@ -129,5 +129,13 @@ def shingle_sets(column: pa.Array, width: int = 5) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
+def joined_hashes(words: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of every ``width`` neighbouring words; rows are not told apart."""
+    rolled = np.zeros(max(0, len(words) - width + 1), np.uint64)
+    for k in range(width):
+        rolled += words[k : k + len(rolled)] * _PLACE[k]
+    return mixed(rolled)
+
+
 def signed(values: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(values).view(np.int64)

@@ -4,21 +4,65 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gridloom.llm import decontamination, secrets, sentencepieces, toxicity
 from gridloom.llm.ngram_join import jaccard_components
 
+PIECES = "piece_bpe_32k.model"
+TOXIC = 0.3
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels").where(~out))
+    scored = toxicity.score_toxicity(docs, model).select("doc_id", out.alias("held_out"), "score")
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.findings(docs, secrets.fit_secrets(docs))
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return piece_digests(sentencepieces.encode(docs, public_tokenizers.path(PIECES), end_id=True, decoded=True))
+
+
+def piece_digests(encoded: DataFrame) -> DataFrame:
+    joined = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(joined, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        # Where the last piece ends in the original text.
+        F.try_element_at("ends", F.lit(-1)).cast("long").alias("n_bytes"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_toxicity": op3_toxicity,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op7_decontamination": op7_decontamination,
+    "op8_secrets": op8_secrets,
+    "op9_sentencepiece": op9_sentencepiece,
 }
 
 SQL: dict[str, str] = {}
