@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import decontamination, secrets, sentencepieces, toxicity
+from gridloom.llm import chunk_dedup, cross_entropy, decontamination, html_extraction, neighbours, repeated_substrings, secrets, sentencepieces, toxicity
 from gridloom.llm.ngram_join import jaccard_components
 
 PIECES = "piece_bpe_32k.model"
@@ -19,6 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_substrings.without_repeats(table(spark, sf_dir, "documents")).drop("text")
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    texts = html_extraction.main_text(pages, html_extraction.fit_labeller(pages))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = toxicity.held_out(F.col("doc_id"))
@@ -31,6 +41,17 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op5_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Against a target of the documents that are labelled as good."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return cross_entropy.score_difference(docs, docs.join(good, "doc_id", "left_semi"))
+
+
+def op6_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.deduplicated(table(spark, sf_dir, "documents")).drop("text")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -45,6 +66,10 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(sentencepieces.encode(docs, public_tokenizers.path(PIECES), end_id=True, decoded=True))
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def piece_digests(encoded: DataFrame) -> DataFrame:
     joined = F.array_join(F.col("ids").cast("array<string>"), " ")
     return encoded.select(
@@ -58,11 +83,16 @@ def piece_digests(encoded: DataFrame) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeated_substrings": op1_repeated_substrings,
+    "op2_html_extraction": op2_html_extraction,
     "op3_toxicity": op3_toxicity,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op5_cross_entropy": op5_cross_entropy,
+    "op6_chunk_dedup": op6_chunk_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_secrets": op8_secrets,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_neighbours": op10_neighbours,
 }
 
 SQL: dict[str, str] = {}
