@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import decontamination, secrets, sentencepieces, toxicity
+from gridloom.llm.batches import fresh
 from gridloom.llm.ngram_join import jaccard_components
 from gridloom.llm.queries import PIECES, TOXIC, piece_digests
 from gridloom.sources.staging import staged
@@ -19,8 +20,9 @@ from gridloom.sources.staging import staged
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves out documents whose score reaches the threshold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~toxicity.held_out(F.col("doc_id")))
-    scored = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels), into="_score")
-    return scored.where(F.col("_score") < TOXIC).select(docs.columns)
+    score = fresh("_score", docs.columns)
+    scored = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels), into=score)
+    return scored.where(F.col(score) < TOXIC).select(docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +37,9 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves out documents that hold a benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    marked = decontamination.with_leaks(docs, items, into="_leaks")
-    return marked.where(F.size("_leaks") == 0).select(docs.columns)
+    found = fresh("_leaks", docs.columns)
+    marked = decontamination.with_leaks(docs, items, into=found)
+    return marked.where(F.size(found) == 0).select(docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,6 +34,14 @@ def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[dict]], s
     return df.mapInArrow(run, schema)
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def sliced(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Row ranges of a batch with at most ``limit`` bytes of text each, or one row."""
     if batch.num_rows == 0:

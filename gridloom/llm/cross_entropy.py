@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.batches import arrow_map, prefix_sums, signed, sliced, span_hashes, text_bytes, word_spans
+from gridloom.llm.batches import arrow_map, fresh, prefix_sums, signed, sliced, span_hashes, text_bytes, word_spans
 
 # Token 0 begins a text; then come the frequent words, then the classes of the others.
 FREQUENT, CLASSES = 1536, 511
@@ -103,12 +103,13 @@ def score_difference(docs: DataFrame, target: DataFrame, background: DataFrame |
     shared = docs.sparkSession.sparkContext.broadcast((frequent, models))
     added = ("n_tokens", "target_loss", "background_loss", "score")
     others = [c for c in docs.columns if c not in (text, *added)]
-    source = docs.select(*[F.col(f"`{c}`") for c in others], F.col(text).alias("_text"))
+    body = fresh("_text", others)
+    source = docs.select(*[F.col(f"`{c}`") for c in others], F.col(text).alias(body))
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        for part in sliced(batch, "_text"):
+        for part in sliced(batch, body):
             known, tables = shared.value
-            before, own, firsts = tokens(part.column("_text"), known)
+            before, own, firsts = tokens(part.column(body), known)
             n = np.diff(firsts)
             means = []
             for table in tables:
@@ -116,6 +117,6 @@ def score_difference(docs: DataFrame, target: DataFrame, background: DataFrame |
                 means.append((sums[firsts[1:]] - sums[firsts[:-1]]) / np.maximum(n, 1))
             yield {**{c: part.column(c) for c in others}, "n_tokens": n, "target_loss": means[0], "background_loss": means[1], "score": means[0] - means[1]}
 
-    fields = [f for f in source.schema.fields if f.name != "_text"]
+    fields = [f for f in source.schema.fields if f.name != body]
     kinds = (T.LongType(), T.DoubleType(), T.DoubleType(), T.DoubleType())
     return arrow_map(source, work, T.StructType([*fields, *(T.StructField(c, k) for c, k in zip(added, kinds, strict=True))]))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.batches import ALPHANUMERIC, arrow_map, joined_hashes, prefix_sums, sliced, span_hashes, text_bytes, word_spans
+from gridloom.llm.batches import ALPHANUMERIC, arrow_map, fresh, joined_hashes, prefix_sums, sliced, span_hashes, text_bytes, word_spans
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5
@@ -240,14 +240,15 @@ def with_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
 
 def _marked(docs: DataFrame, index, text: str, into: str, keep: bool) -> DataFrame:
     others = [c for c in docs.columns if c != into]
-    source = docs.select(*[F.col(f"`{c}`") for c in others], *([F.col(into).alias("_before")] if keep else []))
+    before = fresh("_before", others)
+    source = docs.select(*[F.col(f"`{c}`") for c in others], *([F.col(into).alias(before)] if keep else []))
     leak = pa.list_(pa.struct([(f.name, pa.int64() if f.dataType == T.LongType() else pa.float64()) for f in LEAK]))
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         for part in sliced(batch, text):
             found = index.value.document_leaks(part.column(text))
             if keep:
-                found = [[*old, *new] for old, new in zip(part.column("_before").to_pylist(), found, strict=True)]
+                found = [[*old, *new] for old, new in zip(part.column(before).to_pylist(), found, strict=True)]
             yield {**{c: part.column(c) for c in others}, into: pa.array(found, leak)}
 
     return arrow_map(source, work, source.select(*[F.col(f"`{c}`") for c in others]).schema.add(into, T.ArrayType(LEAK)))

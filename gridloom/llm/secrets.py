@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.batches import arrow_map, sliced
+from gridloom.llm.batches import arrow_map, fresh, sliced
 
 FIT_ROWS = 1_000
 DICTIONARY_SIZE = 5_000
@@ -301,11 +301,12 @@ def with_findings(docs: DataFrame, model: SecretModel, text: str = "text", into:
 def redacted(docs: DataFrame, model: SecretModel, text: str = "text", **options) -> DataFrame:
     """``docs`` with every accepted finding in the text replaced by a mark."""
     columns = docs.columns
-    marked = with_findings(docs, model, text, into="_findings", **options)
-    cuts = F.concat(F.array(F.lit(0)), F.col("_findings.end"))
-    stops = F.concat(F.col("_findings.begin"), F.array(F.length(F.col(text))))
+    found = fresh("_findings", columns)
+    marked = with_findings(docs, model, text, into=found, **options)
+    cuts = F.concat(F.array(F.lit(0)), F.col(f"{found}.end"))
+    stops = F.concat(F.col(f"{found}.begin"), F.array(F.length(F.col(text))))
     parts = F.zip_with(cuts, stops, lambda a, b: F.substring(F.col(text), a + 1, b - a))
-    clean = F.when(F.size("_findings") > 0, F.array_join(parts, MARK)).otherwise(F.col(text))
+    clean = F.when(F.size(found) > 0, F.array_join(parts, MARK)).otherwise(F.col(text))
     return marked.withColumn(text, clean).select(*[F.col(f"`{c}`") for c in columns])
 
 

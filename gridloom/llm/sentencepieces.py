@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-from gridloom.llm.batches import arrow_map, sliced
+from gridloom.llm.batches import arrow_map, fresh, sliced
 
 SPACE = "▁"
 UNKNOWN_SURFACE = " ⁇ "
@@ -226,7 +226,8 @@ def encode(df: DataFrame, model_path: str, text: str = "text", end_id: bool = Tr
     """
     added = ["ids", "begins", "ends"] + ["decoded"] * decoded
     others = [c for c in df.columns if c not in (text, *added)]
-    source = df.select(*[F.col(f"`{c}`") for c in others], F.col(text).alias("_text"))
+    body = fresh("_text", others)
+    source = df.select(*[F.col(f"`{c}`") for c in others], F.col(text).alias(body))
     shared = _Shared(df, model_path)
     fields = source.select(*[F.col(f"`{c}`") for c in others])
     lists = "ids array<int>, begins array<int>, ends array<int>" + ", decoded string" * decoded
@@ -236,9 +237,9 @@ def encode(df: DataFrame, model_path: str, text: str = "text", end_id: bool = Tr
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         model = _model(shared)
-        for part in sliced(batch, "_text"):
+        for part in sliced(batch, body):
             columns = {c: part.column(c) for c in others}
-            found = list(model.encode([t or "" for t in part.column("_text").to_pylist()], end_id))
+            found = list(model.encode([t or "" for t in part.column(body).to_pylist()], end_id))
             offsets = np.cumsum([0, *(len(ids) for ids, _, _ in found)]).astype(np.int32)
             for k, name in enumerate(("ids", "begins", "ends")):
                 flat = np.concatenate([f[k] for f in found])
