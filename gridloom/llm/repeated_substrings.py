@@ -36,7 +36,7 @@ from gridloom.sources.staging import staged
 
 LENGTH, ANCHOR = 200, 50
 # Different segments of one anchor that are compared at once.
-BLOCK = 1_500
+BLOCK = 6_000
 # Bytes of segments in one suffix array.
 ARRAY_BYTES = 4 << 20
 
@@ -205,13 +205,24 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
 
 def _covered(held: list[tuple]) -> pa.RecordBatch:
-    rows: set[tuple[int, int, int, int]] = set()
+    """Spans of the segments that occur once, overlapping ones of a row in one."""
+    spans: dict[tuple[int, int], set[tuple[int, int]]] = {}
     if held:
         for length, found in repeats_in([g for g, *_ in held], [row[-1] for row in held]):
             for text, place in found:
                 _, _, _, times, k1, k2, a, _ = held[text]
                 if times == 1:
-                    rows.add((k1, k2, a + place, a + place + length))
+                    spans.setdefault((k1, k2), set()).add((a + place, a + place + length))
+    rows = []
+    for key, own in spans.items():
+        end = -1
+        for begin, stop in sorted(own):
+            if begin <= end:
+                end = max(end, stop)
+                rows[-1] = (*key, rows[-1][2], end)
+            else:
+                end = stop
+                rows.append((*key, begin, stop))
     names, kinds = ("k1", "k2", "begin", "end"), (pa.int64(), pa.int64(), pa.int32(), pa.int32())
     columns = list(zip(*sorted(rows), strict=True)) or [()] * 4
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], list(names))
