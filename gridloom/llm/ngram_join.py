@@ -21,6 +21,7 @@ row with its own set size. Extra columns are not read.
 
 from __future__ import annotations
 
+import gc
 from collections import Counter
 from collections.abc import Iterator
 
@@ -57,6 +58,7 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     texts = docs.where("doc_id is not null")
     stars = staged(_stars(classes, percent), "stars")
     near = staged(_verified(stars, texts, percent, width), "near")
+    _let_go(docs)
     links = staged(same.where("a <> b").unionByName(near), "links")
     found = components(links)
 
@@ -66,6 +68,8 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     members = classes.select(F.col("rep").alias("doc_id"), "n").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     members = members.withColumn("component", F.coalesce("component", "doc_id"))
     met = staged(first.join(shared, "shingle").join(members, "doc_id"), "met")
+    del first, shared
+    _let_go(docs)
     # Shingles with the very same documents need one comparison; most shingles of copies are such.
     same_members = [F.sum(F.xxhash64("doc_id", F.lit(k)).cast("decimal(20,0)")).alias(f"m{k}") for k in (1, 2)]
     spans = met.groupBy("shingle").agg(
@@ -74,6 +78,7 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     spans = staged(spans.where("c0 <> c1").select("shingle", F.struct("m1", "m2", "size").alias("meeting")), "spans")
     rest = met.join(spans, "shingle").groupBy("meeting", "doc_id", "n", "component").agg(F.min("place").alias("place"))
     rest = staged(_meetings(rest, percent), "rest")
+    _let_go(docs)
     links = links.unionByName(tree_links(rest, texts, order, percent, width))
     found = components(links).withColumnRenamed("id", "doc_id")
     return sizes.join(found, "doc_id", "left").select(
@@ -83,6 +88,16 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     )
 
 
+def _let_go(docs: DataFrame) -> None:
+    """Lets Spark delete the shuffle files of steps whose result is written.
+
+    It does so once the driver has collected their plans; a run of large shuffles would
+    otherwise keep all of them on the executors' disks to its end.
+    """
+    gc.collect()
+    docs.sparkSession.sparkContext._jvm.System.gc()
+
+
 def _summaries(docs: DataFrame, width: int) -> DataFrame:
     """Per row its set's size, digest and two min-hashes (kind 0); per task its common shingles (kind 1)."""
 
