@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridloom.sources.staging import staged
 
 
-def latency_summary(df: DataFrame, key: Sequence[str], seconds: str) -> DataFrame:
+def latency_summary(df: DataFrame, key: Sequence[str], seconds: str, folder: str | None = None) -> DataFrame:
     """Per key: count, total, average, minimum, median, 95th percentile and maximum.
 
     Percentiles are the value at rank ``n // 2`` and ``min(n - 1, int(n * 0.95))``,
@@ -20,12 +20,13 @@ def latency_summary(df: DataFrame, key: Sequence[str], seconds: str) -> DataFram
     range-partitioned by (key, duration), so a key with much of the data is cut
     into many ranges; ranks inside a range plus the counts of the ranges before
     it are ranks in the key. The ranges come from a sample, so they are written
-    once: both uses must see the same cut. This runs a job.
+    once, under ``folder``, which the caller deletes after use: both uses must see the
+    same cut. This runs a job.
     """
     key = list(key)
     value = F.col(seconds)
     counted = df.where(value.isNotNull()).groupBy(*key, seconds).agg(F.count(F.lit(1)).alias("_n"))
-    cut = staged(counted.repartitionByRange(*key, seconds).withColumn("_range", F.spark_partition_id()), "ranges")
+    cut = staged(counted.repartitionByRange(*key, seconds).withColumn("_range", F.spark_partition_id()), "ranges", folder)
 
     whole = Window.partitionBy(*key)
     earlier = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

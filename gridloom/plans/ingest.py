@@ -39,6 +39,18 @@ DECODE_CONF = {
 
 SHEET = ["load_id", "sheet_pos"]
 
+# What Spark says where a single file cannot be found, read, held in a row or decoded.
+OF_A_FILE = (
+    "PATH_NOT_FOUND",
+    "FAILED_READ_FILE",
+    "FileNotFoundException",
+    "exceeds the max length allowed",
+    "Python worker exited unexpectedly",
+    "Cannot grow BufferHolder",
+    "OutOfMemoryError",
+    "NegativeArraySizeException",
+)
+
 # Kinds of staged rows.
 MARK, CONTENTS, DATA = "mark", "contents", "data"
 
@@ -79,13 +91,19 @@ def load_listed(
 
 
 def _load_paths(spark: SparkSession, schema: str, paths: list[str], uri: Column, zipped: bool) -> LoadReport:
-    """Loads these files; what stops a job, such as a body too large for a row, is cornered by halving."""
-    files = read_bodies(spark, paths).withColumn("zip_uri", uri)
+    """Loads these files; a file that stops the job, such as one that is gone, is cornered by halving.
+
+    Only failures of reading and decoding are put down to a file. Others, of storage,
+    staging or permissions, are raised.
+    """
     folder = new_folder(spark, "load")
     try:
         try:
+            files = read_bodies(spark, paths).withColumn("zip_uri", uri)
             grid, sheets = decode_and_judge(files, folder, zipped)
         except Exception as problem:
+            if not any(mark in str(problem) for mark in OF_A_FILE):
+                raise
             if len(paths) == 1:
                 return _record_unreadable(spark, schema, paths[0], uri, problem)
         else:

@@ -16,6 +16,8 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder
     context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="gridloom-"))
     return context.getCheckpointDir()

@@ -91,6 +91,8 @@ def register_folders(spark: SparkSession, schema: str, warehouse: str, provider:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     for table in found:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.`{table}` USING {provider} LOCATION '{root}/{table}'")
+        if any(c.isPartition for c in spark.catalog.listColumns(f"{schema}.`{table}`")):
+            spark.catalog.recoverPartitions(f"{schema}.`{table}`")
     return found
 
 

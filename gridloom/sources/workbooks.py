@@ -118,6 +118,10 @@ def _message(problem: Exception) -> str:
     return str(problem) or type(problem).__name__
 
 
+# The csv module refuses fields beyond 128 KiB; a file's own size is the bound here.
+csv.field_size_limit((1 << 31) - 1)
+
+
 def _csv_sheets(name: str, file: IO[bytes]) -> list[Sheet]:
     title = _stem(name)[:MAX_TITLE]
 

@@ -16,7 +16,7 @@ from typing import IO, Any
 from xml.etree import ElementTree
 from xml.parsers import expat
 
-from gridloom.functions.numfmt import LITERALS, UNFORMATTED
+from gridloom.functions.numfmt import decimals_of, scanned
 
 # Number formats that a file refers to by id without spelling them out.
 BUILTIN_FORMATS = {
@@ -63,45 +63,23 @@ DAY_MS = 86_400_000
 
 _CHUNK_BYTES = 1 << 16
 
-_LITERAL = re.compile("|".join(LITERALS))
-_NOT_ELAPSED = re.compile(r'"[^"]*"|\[(?!hh?\]|mm?\]|ss?\])[^\]]*\]')
-_DATE_LETTER = re.compile(r"(?<![_\\])[dmhys]", re.IGNORECASE)
-_ELAPSED = re.compile(r"\[(hh?|mm?|ss?)\]", re.IGNORECASE)
-
-
-def shown_decimals(number_format: str | None) -> int | None:
-    """The rule of ``functions.numfmt.shown_decimals`` for one format, once per style of a file."""
-    if number_format is None or number_format in UNFORMATTED:
-        return None
-    section = _LITERAL.sub("", number_format.split(";")[0])
-    zeros = re.search(r"\.(0+)", section)
-    if zeros:
-        return len(zeros[1])
-    return 0 if re.search("[0#]", section) else None
-
-
 def shown_number(value: float, decimals: int | None) -> float | int:
     if decimals is None:
         return value
     return round(value, decimals) if decimals else int(round(value))
 
 
-def is_date_format(number_format: str) -> bool:
-    return _DATE_LETTER.search(_NOT_ELAPSED.sub("", number_format.split(";")[0])) is not None
-
-
 def shown_date(serial: float, elapsed: bool, epoch: dt.datetime) -> Any:
-    """Date, time of day or duration of a serial day number."""
+    """Duration, time of day or date of a serial number: days since the epoch, to the millisecond."""
+    ms = round(serial * DAY_MS)
     if elapsed:
-        span = dt.timedelta(days=serial)
-        return dt.timedelta(seconds=span.days * 86_400 + span.seconds, microseconds=round(span.microseconds, -3))
-    day, fraction = divmod(serial, 1)
-    rest = dt.timedelta(milliseconds=round(fraction * DAY_MS))
-    if 0 <= serial < 1 and rest.days == 0:
-        return (dt.datetime.min + rest).time()
-    if 0 < serial < 60 and epoch == EPOCH_1900:
-        day += 1  # 1900 counts as a leap year up to its 60th day
-    return epoch + dt.timedelta(days=day) + rest
+        return dt.timedelta(milliseconds=ms)
+    if 0 <= ms < DAY_MS:
+        return (epoch + dt.timedelta(milliseconds=ms)).time()
+    # The 1900 calendar has a 29 February that never was, its day 60: days before it count from one later.
+    if epoch == EPOCH_1900 and 0 < serial < 60:
+        ms += DAY_MS
+    return epoch + dt.timedelta(milliseconds=ms)
 
 
 def iso_date(value: str) -> Any:
@@ -311,7 +289,7 @@ class XlsxBook:
             for style in _children(group, "xf")
         ]
         return [
-            (shown_decimals(code), is_date_format(code), _ELAPSED.search(code.split(";")[0]) is not None)
+            (decimals_of(code), *scanned(code)[1:])
             if code != "General"
             else (None, False, False)
             for code in used

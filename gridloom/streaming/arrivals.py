@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridloom.plans.ingest import load_listed
@@ -24,6 +25,8 @@ def arriving_files(spark: SparkSession, prefix: str, name_glob: str = ARCHIVES,
         .option("pathGlobFilter", name_glob)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", per_trigger)
+        # Otherwise a file much older than the newest one seen would never be offered.
+        .option("maxFileAge", "36500d")
         .load(prefix)
         .select("path", "length", "modificationTime")
     )
@@ -36,6 +39,7 @@ def load_arrivals(
     checkpoint: str,
     available_now: bool = True,
     retry_failed: bool = True,
+    quiet_seconds: int = 0,
     name_glob: str = ARCHIVES,
     **options,
 ) -> StreamingQuery:
@@ -43,14 +47,21 @@ def load_arrivals(
 
     The ledger decides what is loaded: each batch leaves out what it already
     marks, so a batch that is played again loads nothing twice. The checkpoint
-    never offers a file again, so failed files are retried by one listing pass
-    per start. Only one load runs at a time, since batches follow each other.
+    never offers a file again, so with ``retry_failed`` the start and every batch
+    list the prefix against the ledger; failed files, and files that had changed
+    less than ``quiet_seconds`` before, come back that way. Only one load runs at a
+    time, since batches follow each other.
     """
+
+    def settled(files: DataFrame) -> DataFrame:
+        return files.where(F.col("modificationTime") <= F.expr(f"current_timestamp() - interval {int(quiet_seconds)} seconds"))
+
     if retry_failed:
-        load_listed(spark, schema, list_files(spark, prefix, name_glob), **options)
+        load_listed(spark, schema, settled(list_files(spark, prefix, name_glob)), **options)
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        load_listed(batch.sparkSession, schema, batch, **options)
+        own = batch.sparkSession
+        load_listed(own, schema, settled(list_files(own, prefix, name_glob) if retry_failed else batch), **options)
         # The batch runs in a session of its own, which keeps its own file listings.
         for table in (FACTS, LEDGER):
             spark.catalog.refreshTable(f"{schema}.{table}")

@@ -116,7 +116,7 @@ SELECT p_partkey, CAST(CASE WHEN regexp_extract(s, '\.(0+)', 1) <> '' THEN lengt
   FROM conversations c JOIN conversations b ON c.conv_id = b.conv_id AND b.turn = 0 WHERE c.turn > 0),
 sheets AS (SELECT * FROM turns WHERE length(text) >= 200),
 listed AS (
-  SELECT conv_id, sheet_name, substring(text, 1, 10) AS description,
+  SELECT conv_id, sheet_name, text AS description,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) - 1 AS sheet_index
   FROM turns WHERE has_contents)
 SELECT l.conv_id, l.sheet_name, s.turn AS sheet_pos, l.sheet_index, l.description

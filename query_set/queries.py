@@ -105,7 +105,7 @@ def toc_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.lit("turn "), "turn")
     listed_twice = F.array(
         F.struct((1_000_000 - F.col("turn")).alias("row_idx"), F.array(name, F.col("role")).alias("cells")),
-        F.struct((2_000_000 - F.col("turn")).alias("row_idx"), F.array(name, F.substring("text", 1, 10)).alias("cells")),
+        F.struct((2_000_000 - F.col("turn")).alias("row_idx"), F.array(name, F.col("text")).alias("cells")),
     )
     title = F.array(F.struct(F.lit(0).cast("long").alias("row_idx"), F.array(F.lit("Table Name"), "text").alias("cells")))
     contents = turns.where("has_contents").select(
@@ -281,23 +281,23 @@ def latency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def range_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return numbers.column_sum(t.table(spark, sf_dir, "lineitem"), "l_linenumber")
+    return numbers.total_of(t.table(spark, sf_dir, "lineitem"), F.col("l_linenumber"))
 
 
 def mod_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return numbers.modulo_groups(t.table(spark, sf_dir, "orders"), 1000, "o_custkey")
+    return numbers.totals_by(t.table(spark, sf_dir, "orders"), F.col("o_custkey") % 1000, F.col("o_custkey"))
 
 
 def square_native(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return numbers.square_sum(t.line_numbers(spark, sf_dir), "l_linenumber")
+    return numbers.total_of_squares(t.line_numbers(spark, sf_dir), "l_linenumber")
 
 
 def square_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return numbers.square_sum_udf(t.line_numbers(spark, sf_dir), "l_linenumber")
+    return numbers.total_of_squares(t.line_numbers(spark, sf_dir), "l_linenumber", numbers.times_itself_in_python)
 
 
 def md5_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return numbers.md5_payload(t.table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
+    return numbers.with_digest(t.table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions import text
-from gridloom.functions.numfmt import shown_decimals
+from gridloom.functions.numfmt import decimals_of, shown_decimals
 from gridloom.operators import grid
 from gridloom.sources import xlsx
 from tests.row_model import cells_of, facts_of, short_key
@@ -93,7 +93,7 @@ def test_shown_decimals_column_and_helper(spark):
     df = spark.createDataFrame([(f,) for f in FORMATS], "f string")
     found = {r[0]: r[1] for r in df.select("f", shown_decimals(F.col("f"))).collect()}
     assert found == FORMATS
-    assert {f: xlsx.shown_decimals(f) for f in FORMATS} == FORMATS
+    assert {f: decimals_of(f) for f in FORMATS} == FORMATS
 
 
 def test_heading_sample(spark):

@@ -1,6 +1,8 @@
 import datetime as dt
+import os
 import random
 import re
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,17 +14,19 @@ from gridloom.plans import ingest
 from gridloom.sources import listing
 from gridloom.sources.staging import session_conf
 from gridloom.sources.tables import FACTS, LEDGER, loaded_facts
+from gridloom.sources.listing import list_files
+from gridloom.sources.tables import register_folders
 from gridloom.streaming.arrivals import load_arrivals
 from query_set.samples import xlsx_bytes, zip_bytes
 from tests.row_model import facts_of
 
 ENROLL = (
-    "Total Enrollment,,\r\n"
-    '"Total, Original ""X"" Plans",,\r\n'
+    "Visits of Gardens,,\r\n"
+    '"Total, All ""X"" Gates",,\r\n'
     "Year,Total Enrollment,Total Original Percent\r\n"
     "BLANK,,\r\n"
-    "2018,59989882.75002974,64.45\r\n"
-    "2019,61514510.08336582,62.71\r\n"
+    "2018,31250117.50004111,58.25\r\n"
+    "2019,32874400.12509876,57.5\r\n"
     ",,\r\n"
     '"NOTES: one\nand two",,\r\n'
 )
@@ -64,7 +68,7 @@ def test_nested_zip_is_loaded_once(spark, schema, tmp_path):
         "heading": "",
         "table_row_index": 0,
         "table_key_simple": "tot_enroll",
-        "table_val": "59989882.75002974",
+        "table_val": "31250117.50004111",
         "first_col_key": "Year",
     }.items() <= rows[0].asDict().items()
     assert rows[0]["created_at"] is not None
@@ -278,3 +282,48 @@ def test_stream_loads_arrivals(spark, schema, tmp_path):
         "bad.zip",
     ]
     assert facts(spark, schema).count() == 4
+
+
+def test_vanished_file_fails_alone(spark, schema, tmp_path):
+    put(tmp_path / "in", {f"{name}.zip": zip_bytes({f"{name}.csv": ENROLL}) for name in ("good", "gone")})
+    files = list_files(spark, str(tmp_path / "in"))
+    listing = spark.createDataFrame(files.collect(), files.schema)
+    (tmp_path / "in" / "gone.zip").unlink()
+    report = ingest.load_listed(spark, schema, listing)
+    assert (report.loaded, report.failed) == (1, 1)
+    rows = {r["zip_name"]: r["status"] for r in spark.table(f"{schema}.open_cms_load_ledger").collect()}
+    assert rows == {"good.zip": "loaded", "gone.zip": "failed"}
+
+
+def test_failing_staging_is_raised(spark, schema, tmp_path, monkeypatch):
+    put(tmp_path / "in", {f"f{k}.zip": zip_bytes({"a.csv": ENROLL}) for k in range(4)})
+    tries = []
+
+    def full(*args):
+        tries.append(1)
+        raise OSError("staging folder is full")
+
+    monkeypatch.setattr(ingest, "decode_and_judge", full)
+    with pytest.raises(OSError, match="full"):
+        ingest.load_listed(spark, schema, list_files(spark, str(tmp_path / "in")))
+    assert len(tries) == 1
+    assert spark.table(f"{schema}.open_cms_load_ledger").count() == 0
+
+
+def test_old_and_mended_files_come_with_the_next_arrival(spark, schema, tmp_path):
+    folder = put(tmp_path / "in", {"bad.zip": b"broken", "first.zip": zip_bytes({"a.csv": ENROLL})})
+    folder = tmp_path / "in"
+    load_arrivals(spark, schema, str(folder), str(tmp_path / "check")).awaitTermination()
+    put(folder, {"bad.zip": zip_bytes({"b.csv": ENROLL}), "old.zip": zip_bytes({"c.csv": ENROLL})})
+    os.utime(folder / "old.zip", (1_000_000_000, 1_000_000_000))
+    load_arrivals(spark, schema, str(folder), str(tmp_path / "check")).awaitTermination()
+    done = spark.table(f"{schema}.open_cms_load_ledger").where("status = 'loaded'")
+    assert sorted(r["zip_name"] for r in done.collect()) == ["bad.zip", "first.zip", "old.zip"]
+
+
+def test_partitioned_folder_registers_with_its_rows(spark, tmp_path):
+    name = f"reg_{uuid.uuid4().hex[:8]}"
+    spark.range(10).selectExpr("id", "id % 3 AS part").write.partitionBy("part").parquet(f"{tmp_path}/{name}.db/t")
+    assert register_folders(spark, name, str(tmp_path)) == ["t"]
+    assert spark.table(f"{name}.t").count() == 10
+    spark.sql(f"DROP SCHEMA {name} CASCADE")
