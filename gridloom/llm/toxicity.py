@@ -47,8 +47,8 @@ _DISGUISED = re.compile(r"[^\W\d_]+(?:[0-9@$!*._-]{1,2}[^\W\d_]+)+")
 _STRETCHED = re.compile(r"([^\W\d_])\1\1")
 
 FEATURES = (
-    "words hits hit_density distinct_hits weight_sum weight_max beginning_hits beginning_density beginning_weight near_second_person "
-    "second_person capitals shouted punctuation exclamations questions digits symbols disguised disguised_hits stretched non_ascii word_length"
+    "hits hit_density distinct_hits weight_sum weight_max beginning_hits beginning_density beginning_weight near_second_person "
+    "second_person capitals shouted punctuation exclamations questions digits symbols disguised disguised_hits stretched non_ascii"
 ).split()
 
 
@@ -99,7 +99,6 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
     unmasked = sum(m.lower().translate(STAND_INS) in known for m in disguised)
     shouted = sum(w.isupper() for w in text.split()) if codes[65:91].sum() > letters * 0.08 else 0
     return [
-        np.log1p(len(words)),
         min(len(at), 50),
         len(at) / n,
         len({words[k] for k in at}),
@@ -121,7 +120,6 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
         unmasked,
         (len(_STRETCHED.findall(text)) if text else 0) / n,
         int(codes[128:].sum()) / size,
-        letters / n,
     ]
 
 
