@@ -10,7 +10,8 @@ each, so documents meet under those. Before they are compared there,
 * shingles under which only one component is left are dropped, and of those with the
   same documents all but one.
 
-What is left is compared in prefix trees (:class:`SetTree`). No step writes all pairs
+The prefixes of what is left are compared in prefix trees (:class:`SetTree`), and the
+pairs that share enough there on their texts. No step writes all pairs
 of a group, and none leaves out a pair that could link two components.
 
 Defined cases: null, empty and blank texts have an empty set and no link. With fewer
@@ -74,7 +75,8 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     spans = _written(spans.where("c0 <> c1").select("shingle", F.struct("m1", "m2", "size").alias("meeting")), "spans")
     rest = met.join(spans, "shingle").groupBy("meeting", "doc_id", "n", "component").agg(F.min("place").alias("place"))
     rest = _written(_meetings(rest, percent), "rest")
-    links = _written(links.unionByName(tree_links(rest, texts, order, percent, width)), "links")
+    pairs = _written(tree_pairs(rest, texts, order, percent, width), "pairs")
+    links = _written(links.unionByName(_verified(pairs, texts, percent, width)), "links")
     found = components(links).withColumnRenamed("id", "doc_id")
     return sizes.join(found, "doc_id", "left").select(
         F.col("doc_id").alias(id),
@@ -204,13 +206,24 @@ def similar(common: int, x: int, y: int, percent: int) -> bool:
     return common > 0 and 100 * common >= percent * (x + y - common)
 
 
+def needed_overlap(x: int, y: int, percent: int) -> int:
+    """What two sets of these sizes must at least share."""
+    return -(-percent * (x + y) // (100 + percent))
+
+
+def needed_in_prefixes(x: int, y: int, percent: int) -> int:
+    """What their prefixes must share: at most what is behind the larger one's can come on top."""
+    behind = -(-percent * max(x, y) // 100) - 1
+    return max(1, needed_overlap(x, y, percent) - behind)
+
+
 class SetTree:
-    """Prefix tree of sets of increasing integers.
+    """Prefix tree of the first elements of sets, as increasing integers.
 
     A node holds a run of elements, its children by their first one, and the range of
-    sizes below. A search carries the overlap so far down the tree, shared by all sets
-    below a node, and leaves a branch when its sizes or what is left of both sides
-    cannot reach the threshold.
+    the sizes of the whole sets below. A search carries the overlap so far down the
+    tree, shared by all sets below a node, and leaves a branch when its sizes, or what
+    is left of both prefixes, cannot reach what they need to share.
     """
 
     __slots__ = ("run", "children", "least", "most", "sets")
@@ -219,29 +232,29 @@ class SetTree:
         self.run = run
         self.children: dict[int, SetTree] = {}
         self.least, self.most = 1 << 60, 0
-        self.sets: list[int] = []
+        self.sets: list[tuple[int, int]] = []
 
     @classmethod
-    def of(cls, sets: list[np.ndarray]) -> SetTree:
+    def of(cls, prefixes: list[np.ndarray], sizes: list[int]) -> SetTree:
         root = cls(np.zeros(0, np.int64))
-        for key, elements in enumerate(sets):
-            root._add(key, elements)
+        for key, (elements, size) in enumerate(zip(prefixes, sizes, strict=True)):
+            root._add(key, elements, size)
         return root
 
-    def _add(self, key: int, elements: np.ndarray) -> None:
-        node, at, size = self, 0, len(elements)
+    def _add(self, key: int, elements: np.ndarray, size: int) -> None:
+        node, at = self, 0
         while True:
             node.least, node.most = min(node.least, size), max(node.most, size)
-            if at == size:
-                node.sets.append(key)
+            if at == len(elements):
+                node.sets.append((key, size))
                 return
             child = node.children.get(int(elements[at]))
             if child is None:
                 child = SetTree(elements[at:])
                 node.children[int(elements[at])] = child
-                at = size
+                at = len(elements)
             else:
-                width = min(len(child.run), size - at)
+                width = min(len(child.run), len(elements) - at)
                 differs = np.flatnonzero(child.run[:width] != elements[at : at + width])
                 same = int(differs[0]) if len(differs) else width
                 if same < len(child.run):
@@ -254,9 +267,8 @@ class SetTree:
                 at += same
             node = child
 
-    def matches(self, probe: np.ndarray, percent: int, skip) -> Iterator[int]:
-        """Keys of the sets similar to ``probe``; ``skip(key)`` spares a set."""
-        size = len(probe)
+    def matches(self, probe: np.ndarray, size: int, percent: int, skip) -> Iterator[int]:
+        """Keys of the sets whose prefixes share enough with ``probe``, that of a set of ``size``; ``skip(key)`` spares a set."""
         stack = [(self, 0, 0)]
         while stack:
             node, depth, common = stack.pop()
@@ -264,15 +276,16 @@ class SetTree:
                 continue
             if len(node.run):
                 at = np.searchsorted(probe, node.run)
-                inside = at < size
+                inside = at < len(probe)
                 common += int((probe[at[inside]] == node.run[inside]).sum())
                 depth += len(node.run)
-                left = min(node.most - depth, size - int(np.searchsorted(probe, node.run[-1], side="right")))
-                smallest = max(node.least, -(-percent * size // 100))
-                if (100 + percent) * (common + left) < percent * (size + smallest):
+                left = min(prefix_length(node.most, percent) - depth, len(probe) - int(np.searchsorted(probe, node.run[-1], side="right")))
+                # The need is least at an end of the range of sizes, up to rounding.
+                if common + left < min(needed_in_prefixes(size, n, percent) for n in (node.least, node.most)) - 1:
                     continue
-            for key in node.sets:
-                if similar(common, size, depth, percent) and not skip(key):
+            for key, n in node.sets:
+                fits = 100 * n >= percent * size and 100 * size >= percent * n
+                if fits and common >= needed_in_prefixes(size, n, percent) and not skip(key):
                     yield key
             stack.extend((child, depth, common) for child in node.children.values())
 
@@ -299,62 +312,58 @@ def _meetings(rest: DataFrame, percent: int) -> DataFrame:
     return rest.join(about.where("c0 <> c1").select("meeting"), "meeting").drop("largest", "place")
 
 
-def tree_links(rest: DataFrame, texts: DataFrame, order: tuple[np.ndarray, np.ndarray], percent: int, width: int) -> DataFrame:
-    """Links between different components among documents of the same meeting.
+def tree_pairs(rest: DataFrame, texts: DataFrame, order: tuple[np.ndarray, np.ndarray], percent: int, width: int) -> DataFrame:
+    """Pairs of different components among documents of the same meeting whose prefixes share enough.
 
-    A meeting of many documents is dealt to blocks, with one task group for each pair
-    of blocks, so that no group outgrows a task.
+    Only prefixes travel. A meeting of many documents is dealt to blocks, with one task
+    group for each pair of blocks, so that no group outgrows a task.
     """
+    shared = texts.sparkSession.sparkContext.broadcast(order)
+
+    def first(batch: pa.RecordBatch) -> Iterator[dict]:
+        for part in sliced(batch, "text"):
+            found = []
+            for s in shingle_sets(part.column("text"), width):
+                ordered = s[np.argsort(_ranks(s, shared.value), kind="stable")]
+                found.append(ordered[: prefix_length(len(s), percent)].tobytes())
+            yield {"doc_id": part.column("doc_id"), "prefix": pa.array(found, pa.binary())}
+
     blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("long")
     rest = rest.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks"))
     # The pairs of blocks that a block takes part in; one pair alone where there is one block.
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    keyed = rest.select("doc_id", "n", "component", "meeting", F.least("block", "other").alias("u"), F.greatest("block", "other").alias("v"))
-    full = texts.join(keyed.hint("shuffle_hash"), "doc_id")
     key = ["meeting", "u", "v"]
+    keyed = rest.select("doc_id", "n", "component", "meeting", F.least("block", "other").alias("u"), F.greatest("block", "other").alias("v"))
+    full = arrow_map(texts, first, "doc_id long, prefix binary").join(keyed.hint("shuffle_hash"), "doc_id")
     full = full.repartition(*key).sortWithinPartitions(*key)
-    shared = texts.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, group = None, []
         for batch in batches:
-            for part in sliced(batch, "text"):
-                keys = list(zip(*(part.column(k).to_pylist() for k in key), strict=True))
-                for k, doc, comp, s in zip(keys, part.column("doc_id").to_pylist(), part.column("component").to_pylist(), shingle_sets(part.column("text"), width), strict=True):
-                    if k != held:
-                        yield _group_links(group, shared.value, percent)
-                        held, group = k, []
-                    group.append((doc, comp, s))
-        yield _group_links(group, shared.value, percent)
-
-    return full.select(*key, "doc_id", "component", "text").mapInArrow(run, "a long, b long")
-
-
-def _group_links(group: list[tuple[int, int, np.ndarray]], order: tuple[np.ndarray, np.ndarray], percent: int) -> pa.RecordBatch:
-    links: list[tuple[int, int]] = []
-    if len({comp for _, comp, _ in group}) > 1:
-        every = np.unique(np.concatenate([s for _, _, s in group]))
+            keys = zip(*(batch.column(k).to_pylist() for k in key), strict=True)
+            for k, doc, n, comp, raw in zip(keys, *(batch.column(c).to_pylist() for c in ("doc_id", "n", "component", "prefix")), strict=True):
+                if k != held:
+                    yield _group_pairs(group, shared.value, percent)
+                    held, group = k, []
+                group.append((doc, n, comp, np.frombuffer(raw, np.uint64)))
+        yield _group_pairs(group, shared.value, percent)
+
+    return full.select(*key, "doc_id", "n", "component", "prefix").mapInArrow(run, "a long, b long").distinct()
+
+
+def _group_pairs(group: list[tuple[int, int, int, np.ndarray]], order: tuple[np.ndarray, np.ndarray], percent: int) -> pa.RecordBatch:
+    pairs: set[tuple[int, int]] = set()
+    if len({comp for _, _, comp, _ in group}) > 1:
+        every = np.unique(np.concatenate([s for *_, s in group]))
         local = np.empty(len(every), np.int64)
         local[np.lexsort([every, _ranks(every, order)])] = np.arange(len(every))
-        sets = [np.sort(local[np.searchsorted(every, s)]) for _, _, s in group]
-        tree = SetTree.of(sets)
-        head = list(range(len(group)))
-        by_component: dict[int, int] = {}
-        for i, (_, comp, _) in enumerate(group):
-            head[i] = by_component.setdefault(comp, i)
-
-        def find(i: int) -> int:
-            while head[i] != i:
-                head[i] = head[head[i]]
-                i = head[i]
-            return i
-
+        prefixes = [local[np.searchsorted(every, s)] for *_, s in group]
+        tree = SetTree.of(prefixes, [n for _, n, _, _ in group])
         # A pair of two components is found from one side; the largest component need not search.
-        idle = Counter(comp for _, comp, _ in group).most_common(1)[0][0]
-        for i, probe in enumerate(sets):
-            if group[i][1] == idle:
-                continue
-            for j in tree.matches(probe, percent, lambda key, i=i: find(key) == find(i)):
-                head[find(j)] = find(i)
-                links.append((group[i][0], group[j][0]))
-    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
+        idle = Counter(comp for _, _, comp, _ in group).most_common(1)[0][0]
+        for (doc, n, comp, _), probe in zip(group, prefixes, strict=True):
+            if comp != idle:
+                near = tree.matches(probe, n, percent, lambda key, comp=comp: group[key][2] == comp)
+                pairs.update((min(doc, group[j][0]), max(doc, group[j][0])) for j in near)
+    columns = list(zip(*sorted(pairs), strict=True)) or [(), ()]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])

@@ -88,10 +88,17 @@ def test_tree_finds_what_comparing_finds():
     r = random.Random(4)
     sets = [np.array(sorted(r.sample(range(60), r.randrange(1, 50)))) for _ in range(150)]
     sets += [np.delete(s, 0) for s in sets if len(s) > 6] + sets[:5]
-    tree = SetTree.of(sets)
-    for s in sets:
-        expected = [k for k, x in enumerate(sets) if similar(len(np.intersect1d(s, x)), len(s), len(x), 80)]
-        assert sorted(tree.matches(s, 80, lambda key: False)) == expected
+    first = [s[: ngram_join.prefix_length(len(s), 80)] for s in sets]
+    tree = SetTree.of(first, [len(s) for s in sets])
+    for s, prefix in zip(sets, first):
+        enough = {
+            k
+            for k, (x, p) in enumerate(zip(sets, first))
+            if min(len(x), len(s)) * 100 >= 80 * max(len(x), len(s))
+            and len(np.intersect1d(prefix, p)) >= ngram_join.needed_in_prefixes(len(s), len(x), 80)
+        }
+        assert set(tree.matches(prefix, len(s), 80, lambda key: False)) == enough
+        assert enough >= {k for k, x in enumerate(sets) if similar(len(np.intersect1d(s, x)), len(s), len(x), 80)}
 
 
 def test_components(spark):
