@@ -39,9 +39,10 @@ def select_sheets(sheets: DataFrame, listed: DataFrame, book: Sequence[str], has
     ``sheets`` has one row per sheet: ``sheet_name``, ``sheet_pos`` and the
     boolean ``has_contents``, the same for all sheets of a book. Books with a
     contents sheet give the listed names in listed order, with a null
-    ``sheet_pos`` where the book has no such sheet; other books give all sheets.
+    ``sheet_pos`` where the book has no such sheet; other books give all sheets,
+    with a null ``description``.
     """
     book = list(book)
-    by_list = listed.join(sheets.drop(has_contents), [*book, "sheet_name"], "left").drop("description")
+    by_list = listed.join(sheets.drop(has_contents), [*book, "sheet_name"], "left")
     in_order = sheets.where(~F.col(has_contents)).withColumn("sheet_index", F.col("sheet_pos").cast("long"))
-    return by_list.unionByName(in_order.drop(has_contents))
+    return by_list.unionByName(in_order.drop(has_contents), allowMissingColumns=True)

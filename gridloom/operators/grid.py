@@ -84,12 +84,15 @@ def number_rows(
     Adds ``heading``, ``table_row_index``, ``head``, ``head_keys`` and ``twin``.
     """
     sheet = list(sheet)
-    chunk = [*sheet, "_chunk"]
+    # One key that is never null, so that rows of a sheet with a null in its name meet too.
+    key = F.struct(*sheet).alias("_sheet")
+    chunk = ["_sheet", "_chunk"]
+    extras = [c for c in sheets.columns if c not in sheet] if sheets is not None else []
     cells = F.col(CELLS)
     in_chunk = Window.partitionBy(*chunk).orderBy(ROW).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     shuffled = (
-        compacted.select(*sheet, F.col(ROW), cells)
+        compacted.select(key, F.col(ROW), cells)
         # A lone filler cell is no header, heading or data; wider filler rows can be headers.
         .where((F.size(CELLS) > 1) | ~text.is_filler(cells))
         .withColumn("_chunk", F.floor(F.col(ROW) / chunk_rows))
@@ -98,7 +101,7 @@ def number_rows(
         .where(_all_present([*chunk, ROW]))
         .repartition(*chunk)
     )
-    carried = _carry(shuffled, sheet, sheets, fitting)
+    carried = _carry(shuffled, ["_sheet"], sheets.select(key, *extras) if sheets is not None else None, fitting)
 
     rows = shuffled.withColumn("_data", _is_data()).select(
         "*",
@@ -106,13 +109,12 @@ def number_rows(
         F.last(_heading(), True).over(in_chunk).alias("_heading"),
     )
     heading = F.coalesce("_heading", "_heading_before")
-    extras = [c for c in sheets.columns if c not in sheet] if sheets is not None else []
     return (
         # Rows are already partitioned and sorted by the key: merging moves only the carry.
         rows.join(carried.hint("merge"), chunk)
         .where(F.col("_data") & (F.col(ROW) > F.col("_head.at")))
         .select(
-            *sheet,
+            *(F.col("_sheet")[c].alias(c) for c in sheet),
             *extras,
             ROW,
             F.when(heading["at"] > F.col("_head.at"), heading["text"]).otherwise("").alias("heading"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.uris import decoded_uri
@@ -12,19 +12,18 @@ FAILED = "failed"
 
 
 def loaded_uris(ledger: DataFrame) -> DataFrame:
-    return ledger.where(F.col("status") == LOADED).select("zip_uri").distinct()
+    return ledger.where(F.col("status") == LOADED).select("zip_uri")
 
 
 def pending_files(listing: DataFrame, ledger: DataFrame, decode_uris: bool = True) -> DataFrame:
-    """Listed files without a ``loaded`` ledger row, one row per ``zip_uri``.
+    """Listed files without a ``loaded`` ledger row, one row per ``path``.
 
-    Keeps the listed ``path``, which is what has to be read, and ``length``.
+    ``zip_uri`` is the decoded path, or the path itself where several listed paths
+    decode to the same. Keeps ``path``, which is what has to be read, and ``length``.
     Failed files come back until they load.
     """
     uri = decoded_uri(F.col("path")) if decode_uris else F.col("path")
-    listed = (
-        listing.select(uri.alias("zip_uri"), "path", "length")
-        .groupBy("zip_uri")
-        .agg(F.min("path").alias("path"), F.min_by("length", "path").alias("length"))
-    )
+    files = listing.select(uri.alias("_decoded"), "path", "length").groupBy("_decoded", "path").agg(F.max("length").alias("length"))
+    alone = F.count("*").over(Window.partitionBy("_decoded")) == 1
+    listed = files.select(F.when(alone, F.col("_decoded")).otherwise(F.col("path")).alias("zip_uri"), "path", "length")
     return listed.join(loaded_uris(ledger), "zip_uri", "left_anti")

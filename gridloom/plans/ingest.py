@@ -84,9 +84,12 @@ def load_listed(
     spark.catalog.refreshTable(f"{schema}.{LEDGER}")
     pending = pending_files(listing, spark.table(f"{schema}.{LEDGER}"), decode_uris).orderBy("zip_uri")
     uri = decoded_uri(F.col("path")) if decode_uris else F.col("path")
+    # Paths that go by themselves, since others decode to the same.
+    pending = pending.select("path", "length", ((F.col("zip_uri") == F.col("path")) & (F.col("path") != uri)).alias("raw"))
     report = LoadReport()
-    for paths in _slices(pending.select("path", "length").toLocalIterator(), slice_files, slice_bytes):
-        report += _load_paths(spark, schema, paths, uri, zipped)
+    for files in _slices(pending.toLocalIterator(), slice_files, slice_bytes):
+        raw = F.col("path").isin([f["path"] for f in files if f["raw"]])
+        report += _load_paths(spark, schema, [f["path"] for f in files], F.when(raw, F.col("path")).otherwise(uri), zipped)
     return report
 
 
@@ -123,17 +126,17 @@ def _record_unreadable(spark: SparkSession, schema: str, path: str, uri: Column,
     return LoadReport(failed=1)
 
 
-def _slices(files: Iterable[Row], most_files: int, most_bytes: int) -> Iterator[list[str]]:
-    paths: list[str] = []
+def _slices(files: Iterable[Row], most_files: int, most_bytes: int) -> Iterator[list[Row]]:
+    taken: list[Row] = []
     size = 0
     for file in files:
-        if paths and (len(paths) >= most_files or size + file["length"] > most_bytes):
-            yield paths
-            paths, size = [], 0
-        paths.append(file["path"])
+        if taken and (len(taken) >= most_files or size + file["length"] > most_bytes):
+            yield taken
+            taken, size = [], 0
+        taken.append(file)
         size += file["length"]
-    if paths:
-        yield paths
+    if taken:
+        yield taken
 
 
 def load_bodies(files: DataFrame, schema: str, zipped: bool = True) -> LoadReport:
@@ -155,22 +158,24 @@ def _append(grid: DataFrame, sheets: DataFrame, schema: str) -> LoadReport:
 def load_workbook_files(
     spark: SparkSession, schema: str, prefix: str, zip_name: str = "placeholder.zip", name_glob: str = "*"
 ) -> LoadReport:
-    """Loads workbooks that are not in a zip. Writes no ledger; a bad file is an error."""
+    """Loads workbooks that are not in a zip. Writes no ledger; a bad file is an error, and then nothing is loaded."""
     listing = list_files(spark, prefix, name_glob).select("path", "length")
-    report = LoadReport()
-    for paths in _slices(listing.toLocalIterator(), SLICE_FILES, SLICE_BYTES):
-        folder = new_folder(spark, "load")
-        try:
-            files = read_bodies(spark, paths).withColumnRenamed("path", "zip_uri")
-            grid, sheets = decode_and_judge(files, folder, zipped=False)
+    report, judged = LoadReport(), []
+    folder = new_folder(spark, "load")
+    try:
+        for k, listed in enumerate(_slices(listing.toLocalIterator(), SLICE_FILES, SLICE_BYTES)):
+            files = read_bodies(spark, [f["path"] for f in listed]).withColumnRenamed("path", "zip_uri")
+            grid, sheets = decode_and_judge(files, f"{folder}/{k}", zipped=False)
             done = ledger_rows(sheets)
             bad = done.where(F.col("status") == FAILED).select("zip_uri", "error_message").first()
             if bad is not None:
                 raise ValueError(f"{bad['zip_uri']}: {bad['error_message']}")
-            append_by_name(with_audit(grid_facts(grid, sheets, F.lit(zip_name))), f"{schema}.{FACTS}")
+            judged.append((grid, sheets))
             report += _report(done)
-        finally:
-            discard(spark, folder)
+        for grid, sheets in judged:
+            append_by_name(with_audit(grid_facts(grid, sheets, F.lit(zip_name))), f"{schema}.{FACTS}")
+    finally:
+        discard(spark, folder)
     return report
 
 

@@ -117,9 +117,7 @@ def toc_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     listed = listed_sheets(contents, ["conv_id"])
     chosen = select_sheets(sheets, listed, ["conv_id"], "has_contents")
-    return chosen.join(listed.drop("sheet_index"), ["conv_id", "sheet_name"], "left").select(
-        "conv_id", "sheet_name", "sheet_pos", "sheet_index", "description"
-    )
+    return chosen.select("conv_id", "sheet_name", "sheet_pos", "sheet_index", "description")
 
 
 def pending(spark: SparkSession, sf_dir: str) -> DataFrame:

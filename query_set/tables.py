@@ -17,7 +17,7 @@ PARTS_PER_FILE = 20
 ORDERS_PER_FILE = 200
 
 PART_COLUMNS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
-ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

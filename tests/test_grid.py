@@ -167,3 +167,13 @@ def test_rows_are_shuffled_once_and_never_by_sheet(spark):
 
 def test_model_strips_like_spark():
     assert cells_of([None, " a ", " "]) == ["a"]
+
+
+def test_a_null_sheet_name_is_a_sheet(spark):
+    rows = [["Y", "A"], ["1", "x"], ["2", "y"]]
+    df = make_grid(spark, {None: rows, "s": rows})
+    found = spark_facts(grid.grid_to_facts(df, ["sheet"], chunk_rows=2))
+    assert found[None] == found["s"] and len(found["s"]) == 2
+    wanted = spark.createDataFrame([(None, 7)], "sheet string, extra int")
+    kept = grid.number_rows(grid.compact(df), ["sheet"], wanted).select("sheet", "extra").collect()
+    assert [tuple(r) for r in kept] == [(None, 7)] * 2

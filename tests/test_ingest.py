@@ -243,6 +243,23 @@ def test_pending(spark):
     assert sorted(r["zip_uri"] for r in pending_files(files, done).collect()) == ["s3:/t/2.zip", "s3:/t/5.zip"]
 
 
+def test_paths_that_decode_to_one_are_both_loaded(spark, schema, tmp_path):
+    listed = spark.createDataFrame([("s3:/t/e f.zip", 1), ("s3:/t/e%20f.zip", 1), ("s3:/t/g%20h.zip", 1)], "path string, length long")
+    none = spark.createDataFrame([], "zip_uri string, status string")
+    assert sorted(r["zip_uri"] for r in pending_files(listed, none).collect()) == ["s3:/t/e f.zip", "s3:/t/e%20f.zip", "s3:/t/g h.zip"]
+    folder = put(tmp_path / "in", {n: zip_bytes({"a.csv": "Y,A\n1,x\n"}) for n in ("e f.zip", "e%20f.zip")})
+    assert ingest.load_new_zips(spark, schema, folder).loaded == 2
+    assert ingest.load_new_zips(spark, schema, folder).loaded == 0
+
+
+def test_a_bad_workbook_leaves_no_facts_of_others(spark, schema, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "SLICE_FILES", 1)
+    folder = put(tmp_path / "in", {"a.csv": "Y,A\n1,x\n", "b.csv": "Y,A\n1,x,over\n"})
+    with pytest.raises(ValueError, match="cells"):
+        ingest.load_workbook_files(spark, schema, folder)
+    assert facts(spark, schema).count() == 0
+
+
 def test_uri_functions(spark):
     df = spark.createDataFrame([("s3://b/a+b%20c.zip",), ("s3://b/x%zz",), ("s3://b/.hidden",)], "u string")
     rows = [tuple(r) for r in df.select(decoded_uri(F.col("u")), base_name(F.col("u")), extension(F.col("u"))).collect()]
