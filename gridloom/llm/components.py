@@ -5,11 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.sources.staging import staged
+from gridloom.sources.staging import session_conf, staged
 
 MAX_ROUNDS = 60
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """:func:`staged`, after which Spark deletes the shuffle files behind the table.
+
+    A run of large shuffles would otherwise keep all of them on the executors' disks.
+    """
+    with session_conf(df.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        return staged(df, name)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``id``, ``component`` (smallest id reachable) of every id in a link to another one.
 
@@ -18,7 +27,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     lost executor costs one round at most. Null ends and loops are left out.
     """
     links = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
-    links = staged(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    links = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     for _ in range(MAX_ROUNDS):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("least"))
@@ -27,12 +36,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = large.where("a <> b").distinct()
         small = large.groupBy("a").agg(F.min("b").alias("root"))
         hung = large.join(small, "a").select(F.explode(F.array("a", "b")).alias("a"), "root")
-        after = staged(hung.where("a <> root").select("a", F.col("root").alias("b")).distinct(), "links")
-        # Done when every link leads from a leaf to a root: no root is itself a leaf, no leaf has two roots.
-        loose = after.select(F.col("b").alias("a")).distinct().join(after.select("a"), "a", "left_semi").count()
-        twice = after.groupBy("a").count().where("count > 1").count()
+        after = written(hung.where("a <> root").select("a", F.col("root").alias("b")).distinct(), "links")
+        # Done when every link leads from a leaf to a root: no leaf has two roots, no root is itself a leaf.
+        ends = after.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.lit(1).alias("leaf")), F.struct(F.col("b").alias("id"), F.lit(0).alias("leaf")))).alias("e"))
+        open_ends = ends.groupBy("e.id").agg(F.sum("e.leaf").alias("roots"), F.min("e.leaf").alias("leaf")).where("roots > leaf")
         links = after
-        if not loose and not twice:
+        if not open_ends.count():
             roots = links.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
             return links.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
     raise RuntimeError(f"components have not settled after {MAX_ROUNDS} rounds")

@@ -32,8 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.batches import arrow_map, mixed, shingle_sets, signed, sliced
-from gridloom.llm.components import components
-from gridloom.sources.staging import session_conf, staged
+from gridloom.llm.components import components, written
 
 # The shingles ordered last: those met most, at most so many. This only sets the order.
 COMMON_SHINGLES = 1 << 18
@@ -48,36 +47,38 @@ _SALT = np.uint64(0x9E3779B97F4A7C15)
 def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 80, width: int = 5) -> DataFrame:
     """One row per row of ``docs``: its id, ``n_shingles`` and ``component_id``, the smallest linked id."""
     docs = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    base = _written(_summaries(docs, width), "summaries")
+    base = written(_summaries(docs, width), "summaries")
     sizes = base.where("kind = 0").select("doc_id", "n")
     filled = base.where("kind = 0 and n > 0 and doc_id is not null")
     classes = filled.groupBy("d1", "d2", "n", "f1", "f2").agg(F.min("doc_id").alias("rep"))
-    classes = _written(classes, "classes")
+    classes = written(classes, "classes")
     same = filled.join(classes.select("d1", "d2", "rep"), ["d1", "d2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
     texts = docs.where("doc_id is not null")
-    stars = _written(_stars(classes, percent), "stars")
-    near = _written(_verified(stars, texts, percent, width), "near")
-    links = _written(same.where("a <> b").unionByName(near), "links")
-    found = components(links)
+    stars = written(_stars(classes, percent), "stars")
+    near = written(_verified(stars, texts, percent, width), "near")
+    found = components(same.where("a <> b").unionByName(near))
 
     order = _common_order(base)
     first = prefixes(texts, order, percent, width)
     shared = first.groupBy("shingle").count().where("count > 1").select("shingle")
     members = classes.select(F.col("rep").alias("doc_id"), "n").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     members = members.withColumn("component", F.coalesce("component", "doc_id"))
-    met = _written(first.join(shared, "shingle").join(members, "doc_id"), "met")
+    met = written(first.join(shared, "shingle").join(members, "doc_id"), "met")
     # Shingles with the very same documents need one comparison; most shingles of copies are such.
     same_members = [F.sum(F.xxhash64("doc_id", F.lit(k)).cast("decimal(20,0)")).alias(f"m{k}") for k in (1, 2)]
     spans = met.groupBy("shingle").agg(
         F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("size"), *same_members
     )
-    spans = _written(spans.where("c0 <> c1").select("shingle", F.struct("m1", "m2", "size").alias("meeting")), "spans")
+    spans = written(spans.where("c0 <> c1").select("shingle", F.struct("m1", "m2", "size").alias("meeting")), "spans")
     rest = met.join(spans, "shingle").groupBy("meeting", "doc_id", "n", "component").agg(F.min("place").alias("place"))
-    rest = _written(_meetings(rest, percent), "rest")
-    pairs = _written(tree_pairs(rest, texts, order, percent, width), "pairs")
-    links = _written(links.unionByName(_verified(pairs, texts, percent, width)), "links")
-    found = components(links).withColumnRenamed("id", "doc_id")
+    rest = written(_meetings(rest, percent), "rest")
+    pairs = written(tree_pairs(rest, texts, order, percent, width), "pairs")
+    more = written(_verified(pairs, texts, percent, width), "more")
+    if not more.isEmpty():
+        # Every id already hangs under its component, so few rounds are left.
+        found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
+    found = found.withColumnRenamed("id", "doc_id")
     return sizes.join(found, "doc_id", "left").select(
         F.col("doc_id").alias(id),
         F.col("n").alias("n_shingles"),
@@ -85,15 +86,6 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     )
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """:func:`staged`, after which Spark deletes the shuffle files behind the table.
-
-    A run of large shuffles would otherwise keep all of them on the executors' disks.
-    """
-    with session_conf(df.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
-        return staged(df, name)
-
-
 def _summaries(docs: DataFrame, width: int) -> DataFrame:
     """Per row its set's size, digest and two min-hashes (kind 0); per task its common shingles (kind 1)."""
 
@@ -181,7 +173,7 @@ def _stars(classes: DataFrame, percent: int) -> DataFrame:
     hashed = hashed.select("rep", "n", F.struct("h.k", "h.f").alias("h"))
     heads = hashed.groupBy("h").agg(F.min("rep").alias("a"), F.count("*").alias("size")).where("size > 1").drop("size")
     # Written first, so that a hot min-hash can be split in the join.
-    heads = _written(heads, "heads")
+    heads = written(heads, "heads")
     pairs = heads.join(hashed, "h").where("a <> rep").select("a", F.col("rep").alias("b"))
     return pairs.distinct()
 
