@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -209,6 +210,21 @@ def needed_in_prefixes(x: int, y: int, percent: int) -> int:
     return max(1, needed_overlap(x, y, percent) - behind)
 
 
+def signature(s: np.ndarray) -> bytes:
+    """A bit for each element, in a power of two of at least four bits an element."""
+    marks = np.zeros(1 << max(6, (4 * len(s) - 1).bit_length()), bool)
+    marks[s & np.uint64(len(marks) - 1)] = True
+    return np.packbits(marks).tobytes()
+
+
+def least_difference(a: np.ndarray, b: np.ndarray) -> int:
+    """So many elements at least are in one of two sets only, by their signatures as bytes."""
+    while len(a) != len(b):
+        a, b = (a, b) if len(a) > len(b) else (b, a)
+        a = a[: len(a) // 2] | a[len(a) // 2 :]
+    return int(np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64)).sum())
+
+
 class SetTree:
     """Prefix tree of the first elements of sets, as increasing integers.
 
@@ -301,61 +317,89 @@ def _meetings(rest: DataFrame, percent: int) -> DataFrame:
         rest = rest.drop("size").join(about.where("c0 <> c1"), "meeting")
         rest = rest.where("largest >= least and n <= reach").drop("least", "reach", "c0", "c1")
     about = rest.groupBy("meeting").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-    return rest.join(about.where("c0 <> c1").select("meeting"), "meeting").drop("largest", "place")
+    return rest.join(about.where("c0 <> c1").select("meeting"), "meeting").drop("largest")
 
 
 def tree_pairs(rest: DataFrame, texts: DataFrame, order: tuple[np.ndarray, np.ndarray], percent: int, width: int) -> DataFrame:
     """Pairs of different components among documents of the same meeting whose prefixes share enough.
 
-    Only prefixes travel. A meeting of many documents is dealt to blocks, with one task
-    group for each pair of blocks, so that no group outgrows a task.
+    Only prefixes and signatures travel; a pair whose signatures differ too much is left
+    out. A meeting of many documents is dealt to blocks, with one task group for each
+    pair of blocks, so that no group outgrows a task. A pair comes from one group only:
+    that of its two blocks, in the meeting of the first shingle they share.
     """
     shared = texts.sparkSession.sparkContext.broadcast(order)
 
     def first(batch: pa.RecordBatch) -> Iterator[dict]:
         for part in sliced(batch, "text"):
-            found = []
+            found, marks = [], []
             for s in shingle_sets(part.column("text"), width):
                 ordered = s[np.argsort(_ranks(s, shared.value), kind="stable")]
                 found.append(ordered[: prefix_length(len(s), percent)].tobytes())
-            yield {"doc_id": part.column("doc_id"), "prefix": pa.array(found, pa.binary())}
+                marks.append(signature(s))
+            yield {"doc_id": part.column("doc_id"), "prefix": pa.array(found, pa.binary()), "marks": pa.array(marks, pa.binary())}
 
     blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("long")
     rest = rest.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks"))
     # The pairs of blocks that a block takes part in; one pair alone where there is one block.
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     key = ["meeting", "u", "v"]
-    keyed = rest.select("doc_id", "n", "component", "meeting", F.least("block", "other").alias("u"), F.greatest("block", "other").alias("v"))
-    full = arrow_map(texts, first, "doc_id long, prefix binary").join(keyed.hint("shuffle_hash"), "doc_id")
+    keyed = rest.select("doc_id", "n", "component", "place", "block", "meeting", F.least("block", "other").alias("u"), F.greatest("block", "other").alias("v"))
+    full = arrow_map(texts, first, "doc_id long, prefix binary, marks binary").join(keyed.hint("shuffle_hash"), "doc_id")
     full = full.repartition(*key).sortWithinPartitions(*key)
 
+    member = ["doc_id", "n", "component", "place", "block", "prefix", "marks"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, group = None, []
         for batch in batches:
             keys = zip(*(batch.column(k).to_pylist() for k in key), strict=True)
-            for k, doc, n, comp, raw in zip(keys, *(batch.column(c).to_pylist() for c in ("doc_id", "n", "component", "prefix")), strict=True):
+            for k, row in zip(keys, zip(*(batch.column(c).to_pylist() for c in member), strict=True), strict=True):
                 if k != held:
-                    yield _group_pairs(group, shared.value, percent)
+                    yield _group_pairs(group, shared.value, percent, held is not None and held[1] != held[2])
                     held, group = k, []
-                group.append((doc, n, comp, np.frombuffer(raw, np.uint64)))
-        yield _group_pairs(group, shared.value, percent)
+                group.append(Member(*row[:5], np.frombuffer(row[5], np.uint64), np.frombuffer(row[6], np.uint8)))
+        yield _group_pairs(group, shared.value, percent, held is not None and held[1] != held[2])
+
+    return full.select(*key, *member).mapInArrow(run, "a long, b long").distinct()
 
-    return full.select(*key, "doc_id", "n", "component", "prefix").mapInArrow(run, "a long, b long").distinct()
 
+class Member(NamedTuple):
+    """A document in a group; ``place`` is where the meeting's first shingle stands in its prefix."""
 
-def _group_pairs(group: list[tuple[int, int, int, np.ndarray]], order: tuple[np.ndarray, np.ndarray], percent: int) -> pa.RecordBatch:
+    doc: int
+    n: int
+    component: int
+    place: int
+    block: int
+    prefix: np.ndarray
+    marks: np.ndarray
+
+
+def _group_pairs(group: list[Member], order: tuple[np.ndarray, np.ndarray], percent: int, two_blocks: bool) -> pa.RecordBatch:
+    """Pairs inside one block, or between the members of two blocks."""
     pairs: set[tuple[int, int]] = set()
-    if len({comp for _, _, comp, _ in group}) > 1:
-        every = np.unique(np.concatenate([s for *_, s in group]))
+    if len({m.component for m in group}) > 1:
+        every = np.unique(np.concatenate([m.prefix for m in group]))
         local = np.empty(len(every), np.int64)
         local[np.lexsort([every, _ranks(every, order)])] = np.arange(len(every))
-        prefixes = [local[np.searchsorted(every, s)] for *_, s in group]
-        tree = SetTree.of(prefixes, [n for _, n, _, _ in group])
+        prefixes = [local[np.searchsorted(every, m.prefix)] for m in group]
+        tree = SetTree.of(prefixes, [m.n for m in group])
         # A pair of two components is found from one side; the largest component need not search.
-        idle = Counter(comp for _, _, comp, _ in group).most_common(1)[0][0]
-        for (doc, n, comp, _), probe in zip(group, prefixes, strict=True):
-            if comp != idle:
-                near = tree.matches(probe, n, percent, lambda key, comp=comp: group[key][2] == comp)
-                pairs.update((min(doc, group[j][0]), max(doc, group[j][0])) for j in near)
+        idle = Counter(m.component for m in group).most_common(1)[0][0]
+        for x, probe in zip(group, prefixes, strict=True):
+            if x.component == idle:
+                continue
+
+            def skip(key: int, x: Member = x) -> bool:
+                y = group[key]
+                return y.component == x.component or two_blocks and y.block == x.block
+
+            for j in tree.matches(probe, x.n, percent, skip):
+                y = group[j]
+                if least_difference(x.marks, y.marks) > x.n + y.n - 2 * needed_overlap(x.n, y.n, percent):
+                    continue
+                if not np.isin(probe[: x.place], prefixes[j][: y.place], assume_unique=True).any():
+                    pairs.add((min(x.doc, y.doc), max(x.doc, y.doc)))
     columns = list(zip(*sorted(pairs), strict=True)) or [(), ()]
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
