@@ -211,8 +211,8 @@ def needed_in_prefixes(x: int, y: int, percent: int) -> int:
 
 
 def signature(s: np.ndarray) -> bytes:
-    """A bit for each element, in a power of two of at least four bits an element."""
-    marks = np.zeros(1 << max(6, (4 * len(s) - 1).bit_length()), bool)
+    """A bit for each element, in a power of two of at least two bits an element."""
+    marks = np.zeros(1 << max(6, (2 * len(s) - 1).bit_length()), bool)
     marks[s & np.uint64(len(marks) - 1)] = True
     return np.packbits(marks).tobytes()
 
@@ -325,8 +325,9 @@ def tree_pairs(rest: DataFrame, texts: DataFrame, order: tuple[np.ndarray, np.nd
 
     Only prefixes and signatures travel; a pair whose signatures differ too much is left
     out. A meeting of many documents is dealt to blocks, with one task group for each
-    pair of blocks, so that no group outgrows a task. A pair comes from one group only:
-    that of its two blocks, in the meeting of the first shingle they share.
+    pair of blocks, so that no group outgrows a task; a pair is compared in that of its
+    two blocks only. Prefixes start at the meeting's first shingle: what lies before it
+    is shared only by pairs that also have an earlier meeting, where they are found.
     """
     shared = texts.sparkSession.sparkContext.broadcast(order)
 
@@ -346,9 +347,10 @@ def tree_pairs(rest: DataFrame, texts: DataFrame, order: tuple[np.ndarray, np.nd
     key = ["meeting", "u", "v"]
     keyed = rest.select("doc_id", "n", "component", "place", "block", "meeting", F.least("block", "other").alias("u"), F.greatest("block", "other").alias("v"))
     full = arrow_map(texts, first, "doc_id long, prefix binary, marks binary").join(keyed.hint("shuffle_hash"), "doc_id")
+    full = full.withColumn("prefix", F.expr("substring(prefix, place * 8 + 1)")).drop("place")
     full = full.repartition(*key).sortWithinPartitions(*key)
 
-    member = ["doc_id", "n", "component", "place", "block", "prefix", "marks"]
+    member = ["doc_id", "n", "component", "block", "prefix", "marks"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, group = None, []
@@ -358,19 +360,18 @@ def tree_pairs(rest: DataFrame, texts: DataFrame, order: tuple[np.ndarray, np.nd
                 if k != held:
                     yield _group_pairs(group, shared.value, percent, held is not None and held[1] != held[2])
                     held, group = k, []
-                group.append(Member(*row[:5], np.frombuffer(row[5], np.uint64), np.frombuffer(row[6], np.uint8)))
+                group.append(Member(*row[:4], np.frombuffer(row[4], np.uint64), np.frombuffer(row[5], np.uint8)))
         yield _group_pairs(group, shared.value, percent, held is not None and held[1] != held[2])
 
     return full.select(*key, *member).mapInArrow(run, "a long, b long").distinct()
 
 
 class Member(NamedTuple):
-    """A document in a group; ``place`` is where the meeting's first shingle stands in its prefix."""
+    """A document in a group, its prefix from the meeting's first shingle on."""
 
     doc: int
     n: int
     component: int
-    place: int
     block: int
     prefix: np.ndarray
     marks: np.ndarray
@@ -397,9 +398,7 @@ def _group_pairs(group: list[Member], order: tuple[np.ndarray, np.ndarray], perc
 
             for j in tree.matches(probe, x.n, percent, skip):
                 y = group[j]
-                if least_difference(x.marks, y.marks) > x.n + y.n - 2 * needed_overlap(x.n, y.n, percent):
-                    continue
-                if not np.isin(probe[: x.place], prefixes[j][: y.place], assume_unique=True).any():
+                if least_difference(x.marks, y.marks) <= x.n + y.n - 2 * needed_overlap(x.n, y.n, percent):
                     pairs.add((min(x.doc, y.doc), max(x.doc, y.doc)))
     columns = list(zip(*sorted(pairs), strict=True)) or [(), ()]
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
