@@ -1,13 +1,17 @@
 """Cross-entropy difference: how much more a target model expects a text than a background one.
 
-Both are bigram models over one vocabulary: the most frequent words of all documents,
-and classes of rarer words by hash. Each is counted over all its documents; a
-probability mixes the pair's share, the word's share and an even one. A document's
-losses are means over its tokens in bits; ``score`` is target minus background, lower
-for documents more like the target.
-
-The model is a pair of tables over ``VOCABULARY`` ** 2 pairs, a fixed size, whatever the
-corpus. Defined cases: null and blank texts have no token and zero losses; an empty
+Both are bigram models over all words (64-bit hashes of the lower-cased ones); nothing is
+left out of the vocabulary. A probability mixes the pair's share, the word's share and an
+even one over the distinct words, of which ``VOCABULARY`` are assumed at least. A
+document's losses are means over its tokens in bits; ``score`` is target minus
+background, lower for documents more like the target.
+
+Counts of words and pairs are Spark tables that grow with the corpus. Pairs are taken in
+``PASSES`` shares by their hash, so that a part of them is on disk at a time. Of each share
+the pairs with more than one in ``HOT`` of all tokens, so less than ``HOT`` of them, are
+broadcast; the others of every document are exploded and joined with the counts.
+
+Defined cases: null and blank texts have no token and zero losses; an empty
 target or background is the even model; null ids are scored too; repeated rows count
 and are scored as often as they come.
 """
@@ -15,108 +19,197 @@ and are scored as often as they come.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.batches import arrow_map, fresh, prefix_sums, signed, sliced, span_hashes, text_bytes, word_spans
+from gridloom.llm.batches import arrow_map, fresh, joined_hashes, prefix_sums, signed, sliced, span_hashes, text_bytes, word_spans
+from gridloom.llm.components import written
+from gridloom.sources.staging import discard, new_folder
 
-# Token 0 begins a text; then come the frequent words, then the classes of the others.
-FREQUENT, CLASSES = 1536, 511
-VOCABULARY = 1 + FREQUENT + CLASSES
+VOCABULARY = 2048
 PAIR_SHARE, WORD_SHARE = 0.7, 0.29
+HOT, PASSES = 131_072, 4
+# The token that begins a text.
+BEGIN = np.uint64(0)
 
 
-def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each word of all rows the one before it, itself and the hash of both, and the first word of each row."""
     data, offsets = text_bytes(column)
     starts, ends, firsts = word_spans(data, offsets)
-    return span_hashes(prefix_sums(data, lower=True), starts, ends), firsts
+    own = span_hashes(prefix_sums(data, lower=True), starts, ends)
+    before = np.concatenate([[BEGIN], own[:-1]]) if len(own) else own
+    before[firsts[:-1][firsts[:-1] < len(own)]] = BEGIN
+    pairs = joined_hashes(np.column_stack([before, own]).ravel(), 2)[::2]
+    return before, own, pairs, firsts
 
 
-def frequent_words(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Sorted hashes of the most frequent words of all documents; ties go to the smaller hash."""
+def sources(docs: DataFrame, target: DataFrame, background: DataFrame, text: str) -> DataFrame:
+    """All texts, with how often each counts for target ``t``, background ``b`` and what is scored ``d``."""
+    marks = [(target, 1, 0, 0), (docs, 0, int(background is docs), 1)] + ([] if background is docs else [(background, 0, 1, 0)])
+    parts = [df.select(F.col(text).alias("text"), *(F.lit(v).cast("long").alias(c) for c, v in zip("tbd", v, strict=True))) for df, *v in marks]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def by_marks(batch: pa.RecordBatch) -> Iterator[tuple[dict, pa.RecordBatch]]:
+    """Parts of a batch with the marks that all rows of it share."""
+    kinds = np.column_stack([batch.column(c).to_numpy() for c in "tbd"])
+    edges = np.flatnonzero((kinds[1:] != kinds[:-1]).any(axis=1)) + 1
+    for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(kinds)], strict=True):
+        if b > a:
+            for part in sliced(batch.slice(a, b - a), "text", 8 << 20):
+                yield dict(zip("tbd", kinds[a].tolist(), strict=True)), part
+
+
+def word_counts(texts: DataFrame) -> DataFrame:
+    """Per word how often it comes (``own_t``, ``own_b``) and how often before another (``before_t``, ``before_b``)."""
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        for part in sliced(batch, text, 16 << 20):
-            words, counts = np.unique(word_hashes(part.column(text))[0], return_counts=True)
-            yield {"word": signed(words), "times": counts.astype(np.int64)}
-
-    counted = arrow_map(docs.select(text), work, "word long, times long").groupBy("word").agg(F.sum("times").alias("times"))
-    top = counted.orderBy(F.desc("times"), "word").limit(FREQUENT).select("word").toArrow()
-    return np.sort(top.column("word").to_numpy().astype(np.int64).view(np.uint64))
-
-
-def tokens(column: pa.Array, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each word of all rows the token before it and its own, and the first word of each row."""
-    words, firsts = word_hashes(column)
-    own = 1 + FREQUENT + (words % np.uint64(CLASSES)).astype(np.int64)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)
-        own = np.where(frequent[at] == words, 1 + at, own)
-    before = np.concatenate([[0], own[:-1]]) if len(own) else own
-    before[firsts[:-1][firsts[:-1] < len(own)]] = 0
-    return before, own, firsts
-
-
-def pair_counts(docs: DataFrame, frequent: np.ndarray, text: str = "text") -> np.ndarray:
-    """Counts of token pairs over all documents, summed on the executors."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(VOCABULARY**2, np.int64)
-        for batch in batches:
-            for part in sliced(batch, text):
-                before, own, _ = tokens(part.column(text), shared.value)
-                pairs, times = np.unique(before * VOCABULARY + own, return_counts=True)
-                counts[pairs] += times
-        met = np.flatnonzero(counts)
-        for a in range(0, len(met), 100_000):
-            part = met[a : a + 100_000]
-            yield pa.RecordBatch.from_pydict({"pair": part.astype(np.int32), "times": counts[part]})
-
-    counted = docs.select(text).mapInArrow(run, "pair int, times long").groupBy("pair").agg(F.sum("times").alias("times"))
-    rows = counted.toArrow()  # at most VOCABULARY ** 2 rows
-    table = np.zeros(VOCABULARY**2, np.int64)
-    table[rows.column("pair").to_numpy()] = rows.column("times").to_numpy()
-    return table.reshape(VOCABULARY, VOCABULARY)
-
-
-def losses(counts: np.ndarray) -> np.ndarray:
-    """Bits of every token after every other one."""
-    of_word = counts.sum(axis=0)
-    word = WORD_SHARE * of_word / max(1, of_word.sum()) + (1 - PAIR_SHARE - WORD_SHARE) / VOCABULARY
-    seen = counts.sum(axis=1, keepdims=True)
-    # A token that was never followed leaves its share to the words.
-    share = np.where(seen > 0, PAIR_SHARE, 0.0)
-    rest = word / word.sum()
-    return -np.log2(share * counts / np.maximum(seen, 1) + (1 - share) * rest).astype(np.float32)
+        for marks, part in by_marks(batch):
+            before, own, _, _ = tokens(part.column("text"))
+            words, at = np.unique(np.concatenate([own, before]), return_inverse=True)
+            for_own = np.bincount(at[: len(own)], minlength=len(words))
+            counts = {"own": for_own, "before": np.bincount(at[len(own) :], minlength=len(words))}
+            yield {"word": signed(words), **{f"{k}_{m}": v * marks[m] for k, v in counts.items() for m in "tb"}}
+
+    columns = ["own_t", "own_b", "before_t", "before_b"]
+    counted = arrow_map(texts, work, "word long, " + ", ".join(f"{c} long" for c in columns))
+    return counted.groupBy("word").agg(*(F.sum(c).alias(c) for c in columns))
+
+
+def pair_counts(texts: DataFrame, share: int) -> DataFrame:
+    """Per pair of one share its two words and its count ``t``, ``b`` and ``d``."""
+    passes = np.uint64(PASSES)
+
+    def work(batch: pa.RecordBatch) -> Iterator[dict]:
+        for marks, part in by_marks(batch):
+            before, own, pairs, _ = tokens(part.column("text"))
+            mine = np.flatnonzero(pairs % passes == share)
+            found, first, times = np.unique(pairs[mine], return_index=True, return_counts=True)
+            at = mine[first]
+            yield {"pair": signed(found), "before": signed(before[at]), "own": signed(own[at]), **{m: times * v for m, v in marks.items()}}
+
+    counted = arrow_map(texts, work, "pair long, before long, own long, t long, b long, d long")
+    return counted.groupBy("pair").agg(F.min("before").alias("before"), F.min("own").alias("own"), *(F.sum(m).alias(m) for m in "tbd"))
+
+
+def loss(of_pair: Column, of_own: Column, of_before: Column, tokens: int, words: int) -> Column:
+    """Bits of a word after another one."""
+    even = (1 - PAIR_SHARE - WORD_SHARE) / words
+    # A model without tokens is the even one.
+    rest = (WORD_SHARE * of_own / tokens + even) / (1 - PAIR_SHARE) if tokens else F.lit(1 / words)
+    # A word that was never followed leaves its share to the words.
+    share = F.when(of_before > 0, PAIR_SHARE).otherwise(0.0)
+    return -F.log2(share * of_pair / F.greatest(of_before, F.lit(1)) + (1 - share) * rest)
+
+
+def losses(pairs: DataFrame, words: DataFrame, totals: dict[str, int], distinct: int) -> DataFrame:
+    """Per pair of documents to be scored its count there and its loss in both models."""
+    own = words.select(F.col("word").alias("own"), "own_t", "own_b")
+    before = words.select(F.col("word").alias("before"), "before_t", "before_b")
+    met = pairs.where("d > 0").join(own, "own").join(before, "before")
+    both = [loss(F.col(m), F.col(f"own_{m}"), F.col(f"before_{m}"), totals[m], distinct).alias(f"loss_{m}") for m in "tb"]
+    return met.select("pair", F.col("d").alias("times"), *both)
 
 
 def score_difference(docs: DataFrame, target: DataFrame, background: DataFrame | None = None, text: str = "text") -> DataFrame:
     """``docs`` without ``text``, with ``n_tokens``, ``target_loss``, ``background_loss`` and ``score``."""
-    background = docs if background is None else background
-    frequent = frequent_words(background, text)
-    models = [losses(pair_counts(d, frequent, text)) for d in (target, background)]
-    shared = docs.sparkSession.sparkContext.broadcast((frequent, models))
+    texts = sources(docs, target, docs if background is None else background, text)
+    words = written(word_counts(texts), "words")
+    row = words.agg(F.sum("own_t").alias("t"), F.sum("own_b").alias("b"), F.count("*").alias("distinct")).first()
+    totals = {m: row[m] or 0 for m in "tb"}
+    distinct = max(VOCABULARY, row["distinct"])
+
     added = ("n_tokens", "target_loss", "background_loss", "score")
     others = [c for c in docs.columns if c not in (text, *added)]
-    body = fresh("_text", others)
-    source = docs.select(*[F.col(f"`{c}`") for c in others], F.col(text).alias(body))
+    body, key = fresh("_text", others), fresh("_key", others)
+    # Rows with one key have one text; more columns deal out its copies.
+    plain = (T.IntegralType, T.StringType, T.FractionalType, T.BooleanType, T.DatetimeType)
+    dealt = [F.col(f"`{c}`") for c in others if isinstance(docs.schema[c].dataType, plain)]
+    source = docs.select(*[F.col(f"`{c}`") for c in others], F.col(text).alias(body), F.xxhash64(F.col(text), *dealt).alias(key))
+
+    # The counts and shuffles of a share are gone before the next one begins.
+    shares, hot = [], []
+    for share in range(PASSES):
+        folder = new_folder(docs.sparkSession, "losses")
+        known = written(losses(pair_counts(texts, share), words, totals, distinct), "losses", folder)
+        scored = known.agg(F.sum("times")).first()[0] or 0
+        top = known.where(F.col("times") * HOT > scored)
+        hot.append(top.toArrow())  # less than HOT rows
+        own = cold_pairs(source.select(key, body), key, body, share, np.sort(hot[-1].column("pair").to_numpy().view(np.uint64)))
+        sums = own.join(known.where(F.col("times") * HOT <= scored), "pair")
+        shares.append(written(sums.groupBy(key).agg(F.sum("loss_t").alias("loss_t"), F.sum("loss_b").alias("loss_b"), F.count("*").alias("n")), "sums"))
+        discard(docs.sparkSession, folder)
+    cold = reduce(DataFrame.unionAll, shares).groupBy(key).agg(*(F.sum(c).alias(c) for c in ("loss_t", "loss_b", "n")))
+    # As often as a row is repeated, so often its pairs are in the sums: their mean is that of one row.
+    cold = cold.select(key, F.struct((F.col("loss_t") / F.col("n")).alias("loss_t"), (F.col("loss_b") / F.col("n")).alias("loss_b")).alias("cold"))
+    sums, means = fresh("_sums", others), fresh("_cold", others)
+    base = hot_sums(source, others, key, body, sums, pa.concat_tables(hot))
+    joined = base.join(cold.withColumnRenamed("cold", means), key, "left")
+    return joined.select(*[F.col(f"`{c}`") for c in others], *final(sums, means))
+
+
+def final(sums: str, means: str) -> list[Column]:
+    n = F.col(f"{sums}.n")
+    both = []
+    for m in "tb":
+        rest = F.when(F.col(f"{sums}.n_cold") > 0, F.col(f"{means}.loss_{m}") * F.col(f"{sums}.n_cold")).otherwise(0.0)
+        both.append((F.col(f"{sums}.loss_{m}") + rest) / F.greatest(n, F.lit(1)))
+    return [n.alias("n_tokens"), both[0].alias("target_loss"), both[1].alias("background_loss"), (both[0] - both[1]).alias("score")]
+
+
+def cold_pairs(source: DataFrame, key: str, body: str, share: int, hot: np.ndarray) -> DataFrame:
+    """One row per pair of a share that is not hot, as often as it comes."""
+    shared = source.sparkSession.sparkContext.broadcast(hot)
+    passes = np.uint64(PASSES)
+
+    def work(batch: pa.RecordBatch) -> Iterator[dict]:
+        for part in sliced(batch, body):
+            _, _, pairs, firsts = tokens(part.column(body))
+            keys = np.repeat(part.column(key).to_numpy(), np.diff(firsts))
+            mine = pairs % passes == share
+            pairs, keys = pairs[mine], keys[mine]
+            rare = ~found_at(shared.value, pairs)[1]
+            yield {"pair": signed(pairs[rare]), key: keys[rare]}
+
+    return arrow_map(source, work, f"pair long, `{key}` long")
+
+
+def found_at(known: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where values stand in a sorted array, and whether they do."""
+    if not len(known):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return at, known[at] == values
+
+
+def hot_sums(source: DataFrame, others: list[str], key: str, body: str, into: str, hot: pa.Table) -> DataFrame:
+    """Rows without text, with the number of tokens, of those not hot, and the loss of the hot ones."""
+    pairs = hot.column("pair").to_numpy().view(np.uint64)
+    order = np.argsort(pairs)
+    tables = [hot.column(f"loss_{m}").to_numpy()[order] for m in "tb"]
+    shared = source.sparkSession.sparkContext.broadcast((pairs[order], tables))
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         for part in sliced(batch, body):
             known, tables = shared.value
-            before, own, firsts = tokens(part.column(body), known)
-            n = np.diff(firsts)
-            means = []
-            for table in tables:
-                sums = np.concatenate([[0.0], np.cumsum(table[before, own], dtype=np.float64)])
-                means.append((sums[firsts[1:]] - sums[firsts[:-1]]) / np.maximum(n, 1))
-            yield {**{c: part.column(c) for c in others}, "n_tokens": n, "target_loss": means[0], "background_loss": means[1], "score": means[0] - means[1]}
+            _, _, own, firsts = tokens(part.column(body))
+            at, there = found_at(known, own)
+
+            def summed(values: np.ndarray) -> np.ndarray:
+                sums = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
+                return sums[firsts[1:]] - sums[firsts[:-1]]
+
+            n_cold = summed(~there).astype(np.int64)
+            of_hot = [summed(np.where(there, t[at], 0.0)) if len(known) else np.zeros(part.num_rows) for t in tables]
+            row = pa.StructArray.from_arrays([pa.array(np.diff(firsts).astype(np.int64)), pa.array(n_cold), *map(pa.array, of_hot)], ["n", "n_cold", "loss_t", "loss_b"])
+            yield {**{c: part.column(c) for c in (*others, key)}, into: row}
 
+    kind = T.StructType([T.StructField("n", T.LongType()), T.StructField("n_cold", T.LongType()), T.StructField("loss_t", T.DoubleType()), T.StructField("loss_b", T.DoubleType())])
     fields = [f for f in source.schema.fields if f.name != body]
-    kinds = (T.LongType(), T.DoubleType(), T.DoubleType(), T.DoubleType())
-    return arrow_map(source, work, T.StructType([*fields, *(T.StructField(c, k) for c, k in zip(added, kinds, strict=True))]))
+    return arrow_map(source, work, T.StructType([*fields, T.StructField(into, kind)]))

@@ -173,6 +173,46 @@ def test_losses_agree_with_counting_by_hand(spark, odd):
     assert cross_entropy.score_difference(docs.limit(0), target.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("hot", "own"), [(131_072, True), (40, True), (1, False)])
+def test_every_word_has_its_own_counts(spark, monkeypatch, hot, own):
+    """More words than any fixed vocabulary of old; pairs broadcast and pairs joined give the same."""
+    monkeypatch.setattr(cross_entropy, "HOT", hot)
+    r = random.Random(8)
+    texts = [" ".join(f"w{min(r.randrange(4000), r.randrange(4000))}" for _ in range(r.randrange(1, 300))) for _ in range(80)] + ["w1 w2 w1 w2"] * 5
+    rows = list(enumerate(texts)) + [(3, texts[3]), (None, texts[3]), (900, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    target = docs.where("doc_id < 20")
+    other = docs.where("doc_id >= 30")
+    models = []
+    for part in ([t for k, t in rows if k is not None and k < 20], [t for k, t in rows if t and (own or k is not None and k >= 30)]):
+        pairs, words, seen = {}, {}, {}
+        for t in part:
+            for a, w in zip(["^", *t.split()], t.split()):
+                pairs[a, w], words[w], seen[a] = pairs.get((a, w), 0) + 1, words.get(w, 0) + 1, seen.get(a, 0) + 1
+        models.append((pairs, words, seen, sum(words.values())))
+    distinct = len({w for t in texts for w in t.split()}) + 1
+    assert distinct > cross_entropy.VOCABULARY
+
+    def loss(model, a, w):
+        pairs, words, seen, n = model
+        share = 0.7 if a in seen else 0.0
+        rest = (0.29 * words.get(w, 0) / n + 0.01 / distinct) / 0.3
+        return -np.log2(share * pairs.get((a, w), 0) / seen.get(a, 1) + (1 - share) * rest)
+
+    found = cross_entropy.score_difference(docs, target, None if own else other).collect()
+    expected = []
+    for k, t in rows:
+        met = list(zip(["^", *t.split()], t.split())) if t else []
+        expected.append((k, len(met), *(sum(loss(m, *p) for p in met) / max(1, len(met)) for m in models)))
+
+    def order(x):
+        return (x[0] is None, x[0] or 0)
+
+    for x, y in zip(sorted(found, key=order), sorted(expected, key=order), strict=True):
+        assert (x["doc_id"], x["n_tokens"]) == y[:2]
+        assert (x["target_loss"], x["background_loss"], x["score"]) == pytest.approx((y[2], y[3], y[2] - y[3]), rel=1e-9)
+
+
 # ---- chunks
 
 
