@@ -52,7 +52,7 @@ HARMLESS_WORDS = "commit sha sha1 sha256 md5 checksum hash digest uuid guid revi
 _PLACEHOLDER = re.compile(r"(?i)example|sample|dummy|placeholder|change.?me|your[_-]|xxxx|test|<|\*\*\*|0000|1234567")
 _STRICT = re.compile("|".join(f"(?P<{name}>{form})" for name, form in STRICT.items()))
 _ASSIGNED = re.compile(
-    r"(?i)(?:" + "|".join(re.escape(w) for w in SECRET_WORDS) + r")[\w-]{0,20}[\"']?\s{0,3}(?:[:=]|=>)\s{0,3}[\"']?(?P<assigned>[^\s\"'<>,;]{6,200})"
+    r"(?i)(?:" + "|".join(re.escape(w) for w in SECRET_WORDS) + r")[\w-]{0,20}[\"']?\s{0,3}(?:[:=]|=>)\s{0,3}[\"']?(?P<assigned>[^\s\"'<>,;]{6,})"
 )
 _LONG = re.compile(r"(?<![A-Za-z0-9+/=_.@-])(?=[A-Za-z+/=_-]{0,60}[0-9])(?P<long>[A-Za-z0-9+/=_-]{20,})(?![A-Za-z0-9+/=_@-])")
 

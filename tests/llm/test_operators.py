@@ -313,6 +313,23 @@ def test_secrets_are_told_from_harmless_strings(spark, odd, none):
     assert secrets.findings(none, secrets.fit_secrets(none)).count() == 0
 
 
+def test_long_secrets_go_whole(spark):
+    r = random.Random(5)
+    texts = []
+    for k in range(60):
+        words = prose(r, 40).split(" ")
+        words.insert(20, secrets._made(random.Random(k), words)[k % 2][0])
+        texts.append(" ".join(words))
+    key = "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(344))
+    text = f"so client_secret={key} ends"
+    assert secrets.candidates(text) == [(17, 17 + 344, "assigned")]
+    docs = spark.createDataFrame(list(enumerate([*texts, text])), "doc_id long, text string")
+    model = secrets.fit_secrets(docs)
+    found = [(x["begin"], x["end"], x["value_sha256"]) for x in secrets.findings(docs, model).where("doc_id = 60").collect()]
+    assert found == [(17, 17 + 344, hashlib.sha256(key.encode()).hexdigest())]
+    assert secrets.redacted(docs, model).where("doc_id = 60").first()["text"] == f"so client_secret={secrets.MARK} ends"
+
+
 # ---- sentence pieces
 
 
