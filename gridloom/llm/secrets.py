@@ -5,9 +5,9 @@ how usual its letter pairs are, how much of it dictionary words cover, whether i
 like a path or address, and the words around it. It is trained on labelled findings, a
 table that ``labelled_findings`` builds and that others can be added to.
 
-The dictionary and letter pairs come from a bounded sample of documents (``FIT_ROWS``
-rows, those with the smallest hash of their text), as do the findings; scanning itself
-takes every text whole.
+The dictionary and letter pairs are counted over all documents. The labelled findings come
+from a bounded sample of them (``FIT_ROWS`` rows, those with the smallest hash of their
+text); scanning itself takes every text whole.
 
 Defined cases: null and empty texts have no finding; a candidate found twice in a text
 gives two findings; repeated rows each give theirs. Without findings of both kinds every
@@ -30,9 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.llm.batches import arrow_map, fresh, sliced
+from gridloom.llm.components import written
+from gridloom.sources.staging import discard, new_folder
 
 FIT_ROWS = 1_000
 DICTIONARY_SIZE = 5_000
+# Distinct words a task counts before it hands them on.
+WORDS_HELD = 200_000
 ACCEPT = 0.5
 MARK = "[SECRET]"
 
@@ -90,6 +94,41 @@ class Language:
     pairs: np.ndarray
 
 
+def language_of(docs: DataFrame, text: str = "text") -> Language:
+    """Most frequent words and letter pairs of all documents; ties go to the smaller word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted(words: list, pairs: list, times: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(pairs, pa.int32()), pa.array(times, pa.int64())], ["word", "pair", "times"])
+
+        words, pairs = Counter(), np.zeros(128 * 128, np.int64)
+        for batch in batches:
+            for part in sliced(batch, "text"):
+                for t in part.column("text").to_pylist():
+                    words.update(re.findall(r"[a-z]{4,12}", t.lower()))
+                    if len(words) > WORDS_HELD:
+                        yield counted(list(words), [None] * len(words), list(words.values()))
+                        words.clear()
+                letters = [np.frombuffer(" ".join(re.findall(r"[A-Za-z]+", t)).lower().encode(), np.uint8) for t in part.column("text").to_pylist()]
+                both = [codes[:-1].astype(np.int32) * 128 + codes[1:] for codes in letters]
+                pairs += np.bincount(np.concatenate(both), minlength=128 * 128)
+        met = np.flatnonzero(pairs)
+        yield counted([*words, *[None] * len(met)], [*[None] * len(words), *met.tolist()], [*words.values(), *pairs[met].tolist()])
+
+    texts = docs.select(F.col(text).alias("text")).where("length(text) > 0")
+    counts = texts.mapInArrow(run, "word string, pair int, times long").groupBy("word", "pair").agg(F.sum("times").alias("times"))
+    folder = new_folder(docs.sparkSession, "language")
+    counts = written(counts, "language", folder)
+    top = counts.where("word is not null").orderBy(F.desc("times"), "word").limit(DICTIONARY_SIZE).collect()
+    met = counts.where("pair is not null").collect()  # at most 128 * 128 rows
+    discard(docs.sparkSession, folder)
+    pairs = np.ones(128 * 128)
+    for row in met:
+        pairs[row["pair"]] += row["times"]
+    pairs = pairs.reshape(128, 128)
+    return Language(frozenset(row["word"] for row in top), -np.log2(pairs / pairs.sum(axis=1, keepdims=True)))
+
+
 def _class(c: str) -> int:
     return 0 if c.isdigit() else 1 if c.isupper() else 2 if c.isalpha() else 3
 
@@ -257,16 +296,10 @@ class SecretModel:
 
 
 def fit_secrets(docs: DataFrame, text: str = "text", rows: int = FIT_ROWS, more: list[tuple[str, int, int, str, int]] = ()) -> SecretModel:
-    """Fits on a bounded sample of ``docs``, and on ``more`` labelled findings."""
+    """Fits on findings in a bounded sample of ``docs`` and on ``more`` labelled ones, with the language of all ``docs``."""
     texts = docs.select(F.col(text).alias("text")).where("length(text) > 0")
     sample = [r["text"] for r in texts.orderBy(F.xxhash64("text"), "text").limit(rows).collect()]
-    counts = Counter(w for t in sample for w in re.findall(r"[a-z]{4,12}", t.lower()))
-    pairs = np.ones((128, 128))
-    for t in sample:
-        codes = np.frombuffer(" ".join(re.findall(r"[A-Za-z]+", t)).lower().encode(), np.uint8)
-        np.add.at(pairs, (codes[:-1], codes[1:]), 1)
-    top = sorted(counts, key=lambda w: (-counts[w], w))[:DICTIONARY_SIZE]
-    language = Language(frozenset(top), -np.log2(pairs / pairs.sum(axis=1, keepdims=True)))
+    language = language_of(docs, text)
     findings = [*labelled_findings(sample), *more]
     x = np.array([features(t, a, b, k, language) for t, a, b, k, _ in findings]).reshape(-1, len(FEATURES))
     y = np.array([f[-1] for f in findings], np.float64)

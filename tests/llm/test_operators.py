@@ -330,6 +330,25 @@ def test_long_secrets_go_whole(spark):
     assert secrets.redacted(docs, model).where("doc_id = 60").first()["text"] == f"so client_secret={secrets.MARK} ends"
 
 
+@pytest.mark.parametrize("held", [200_000, 5])
+def test_language_is_that_of_all_documents(spark, none, monkeypatch, held):
+    monkeypatch.setattr(secrets, "WORDS_HELD", held)
+    r = random.Random(6)
+    texts = [f"{prose(r, 20)} {'rareword' * (k == 77)} Überlänge x{k}" for k in range(80)]
+    docs = spark.createDataFrame([*enumerate(texts), (90, None), (91, "")], "doc_id long, text string")
+    words, pairs = {}, np.ones((128, 128))
+    for t in texts:
+        for w in re.findall(r"[a-z]{4,12}", t.lower()):
+            words[w] = words.get(w, 0) + 1
+        letters = " ".join(re.findall(r"[A-Za-z]+", t)).lower()
+        for a, b in zip(letters, letters[1:]):
+            pairs[ord(a), ord(b)] += 1
+    language = secrets.fit_secrets(docs, rows=3).language
+    assert language.words == set(sorted(words, key=lambda w: (-words[w], w))[: secrets.DICTIONARY_SIZE]) and "rareword" in language.words
+    assert np.allclose(language.pairs, -np.log2(pairs / pairs.sum(axis=1, keepdims=True)))
+    assert secrets.language_of(none).words == frozenset()
+
+
 # ---- sentence pieces
 
 
