@@ -5,7 +5,8 @@ under a limit and no such place lies within ``LEAST`` bytes before it; both depe
 the nearby bytes only, so an insertion moves no cut beyond its neighbourhood. Chunks
 are compared by a 128-bit digest over all documents. A run of neighbouring repeated
 chunks counts from ``LEAST_RUN`` bytes on, as short phrases repeat by chance. Of each
-repeated chunk the one in the document with the smallest id stays.
+repeated chunk the one in the document with the smallest id stays; elsewhere it goes with
+neighbours that go too, again from ``LEAST_RUN`` bytes on.
 
 Defined cases: null text counts as empty, with no chunk. Rows with a null id are cut but
 not compared, and keep their text. Rows that share an id are treated alike: a chunk first
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +28,10 @@ from pyspark.sql import types as T
 
 from gridloom.llm.batches import arrow_map, sliced, text_bytes
 
-MEAN, LEAST, MOST = 40, 12, 1024
-LEAST_RUN = 100
+# The chunks at both edges of a repeated passage are lost, so they are small: of a passage of
+# 51 words, short ones too, a run of LEAST_RUN is left.
+MEAN, LEAST, MOST = 12, 8, 1024
+LEAST_RUN = 48
 
 _GEAR = np.random.default_rng(0x6EA2).integers(0, 2**32, 256, dtype=np.uint32)
 
@@ -136,15 +140,20 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     return arrow_map(joined, work, schema).withColumnRenamed("doc_id", id)
 
 
-def counted_runs(begins: list[int], sizes: list[int], goes: list[bool]) -> tuple[int, list[tuple[int, int]]]:
+def counted_runs(begins: list[int], sizes: list[int], leaves: list[bool]) -> tuple[int, list[tuple[int, int]]]:
     """Bytes in runs of at least ``LEAST_RUN``, and the spans of those that go."""
     held, removed, run = 0, [], []
-    for chunk in [*zip(begins, sizes, goes, strict=True), None]:
+    for chunk in [*zip(begins, sizes, leaves, strict=True), None]:
         if run and (chunk is None or chunk[0] != run[-1][0] + run[-1][1]):
             size = sum(s for _, s, _ in run)
             if size >= LEAST_RUN:
                 held += size
-                removed += [(b, b + s) for b, s, g in run if g]
+                # A short phrase first seen elsewhere stays where the passage itself stays.
+                for goes, part in groupby(run, key=lambda c: c[2]):
+                    span = list(part)
+                    begin, end = span[0][0], span[-1][0] + span[-1][1]
+                    if goes and end - begin >= LEAST_RUN:
+                        removed.append((begin, end))
             run = []
         run.append(chunk)
     return held, removed

@@ -240,6 +240,18 @@ def test_shared_passages_are_found_in_spite_of_insertions(spark, odd, none):
     assert chunk_dedup.deduplicated(none).count() == 0
 
 
+def test_passages_of_51_words_in_two_documents_are_found(spark):
+    r = random.Random(17)
+    short = "a be in of to the and was it not for day sun red big cat".split()
+    texts = []
+    for k in range(300):
+        passage = prose(r, 51) if k % 3 else " ".join(r.choices(short, k=51))
+        texts += [f"{prose(r, 40)} {passage} {prose(r, 40)}" for _ in range(2)]
+    found = chunk_dedup.deduplicated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert all(x["n_shared"] >= chunk_dedup.LEAST_RUN for x in found)
+    assert all((x["n_removed"] > 0) == (x["doc_id"] % 2 == 1) for x in found)
+
+
 def test_chunks_cover_the_text():
     for data in (b"", b"a", b"ab" * 3000, bytes(range(256)) * 20):
         ends = chunk_dedup.cuts(np.frombuffer(data, np.uint8))
