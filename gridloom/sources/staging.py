@@ -24,7 +24,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/gridloom/{name}-{uuid.uuid4().hex}"
+    """An empty folder of its own, deleted at the latest when the driver ends."""
+    folder = f"{shared_folder(spark).rstrip('/')}/gridloom/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
 
 
 def staged(df: DataFrame, name: str, folder: str | None = None, split_by: str | None = None) -> DataFrame:
