@@ -1,15 +1,15 @@
 """Cross-entropy difference: how much more a target model expects a text than a background one.
 
 Both are bigram models over all words (64-bit hashes of the lower-cased ones); nothing is
-left out of the vocabulary. A probability mixes the pair's share, the word's share and an
-even one over the distinct words, of which ``VOCABULARY`` are assumed at least. A
-document's losses are means over its tokens in bits; ``score`` is target minus
+left out of the vocabulary, which both share. A probability mixes the pair's share, the
+word's share and an even one over the distinct words, of which ``VOCABULARY`` are assumed
+at least. A document's losses are means over its tokens in bits; ``score`` is target minus
 background, lower for documents more like the target.
 
-Counts of words and pairs are Spark tables that grow with the corpus. Pairs are taken in
-``PASSES`` shares by their hash, so that a part of them is on disk at a time. Of each share
-the pairs with more than one in ``HOT`` of all tokens, so less than ``HOT`` of them, are
-broadcast; the others of every document are exploded and joined with the counts.
+Counts of words and pairs are taken over all documents and grow with them. Documents lie in
+blocks; a block sends the distinct pairs and words it holds, with their counts, to the
+buckets of their hashes, and is sent back the counts of the whole corpus
+(:mod:`gridloom.llm.block_keys`). So a pair travels once a block and not once a document.
 
 Defined cases: null and blank texts have no token and zero losses; an empty
 target or background is the even model; null ids are scored too; repeated rows count
@@ -18,7 +18,6 @@ and are scored as often as they come.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -27,15 +26,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.batches import arrow_map, fresh, joined_hashes, prefix_sums, signed, sliced, span_hashes, text_bytes, word_spans
+from gridloom.llm import block_keys
+from gridloom.llm.batches import joined_hashes, prefix_sums, span_hashes, text_bytes, word_spans
 from gridloom.llm.components import written
 from gridloom.sources.staging import discard, new_folder
 
 VOCABULARY = 2048
 PAIR_SHARE, WORD_SHARE = 0.7, 0.29
-HOT, PASSES = 131_072, 4
 # The token that begins a text.
 BEGIN = np.uint64(0)
+PAIRS, WORDS = 0, 1
+ADDED = ("n_tokens", "target_loss", "background_loss", "score")
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -49,167 +50,113 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return before, own, pairs, firsts
 
 
-def sources(docs: DataFrame, target: DataFrame, background: DataFrame, text: str) -> DataFrame:
-    """All texts, with how often each counts for target ``t``, background ``b`` and what is scored ``d``."""
-    marks = [(target, 1, 0, 0), (docs, 0, int(background is docs), 1)] + ([] if background is docs else [(background, 0, 1, 0)])
-    parts = [df.select(F.col(text).alias("text"), *(F.lit(v).cast("long").alias(c) for c, v in zip("tbd", v, strict=True))) for df, *v in marks]
-    return reduce(DataFrame.unionAll, parts)
-
-
-def by_marks(batch: pa.RecordBatch) -> Iterator[tuple[dict, pa.RecordBatch]]:
-    """Parts of a batch with the marks that all rows of it share."""
-    kinds = np.column_stack([batch.column(c).to_numpy() for c in "tbd"])
-    edges = np.flatnonzero((kinds[1:] != kinds[:-1]).any(axis=1)) + 1
-    for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(kinds)], strict=True):
-        if b > a:
-            for part in sliced(batch.slice(a, b - a), "text", 8 << 20):
-                yield dict(zip("tbd", kinds[a].tolist(), strict=True)), part
-
-
-def word_counts(texts: DataFrame) -> DataFrame:
-    """Per word how often it comes (``own_t``, ``own_b``) and how often before another (``before_t``, ``before_b``)."""
-
-    def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        for marks, part in by_marks(batch):
-            before, own, _, _ = tokens(part.column("text"))
-            words, at = np.unique(np.concatenate([own, before]), return_inverse=True)
-            for_own = np.bincount(at[: len(own)], minlength=len(words))
-            counts = {"own": for_own, "before": np.bincount(at[len(own) :], minlength=len(words))}
-            yield {"word": signed(words), **{f"{k}_{m}": v * marks[m] for k, v in counts.items() for m in "tb"}}
-
-    columns = ["own_t", "own_b", "before_t", "before_b"]
-    counted = arrow_map(texts, work, "word long, " + ", ".join(f"{c} long" for c in columns))
-    return counted.groupBy("word").agg(*(F.sum(c).alias(c) for c in columns))
-
-
-def pair_counts(texts: DataFrame, share: int) -> DataFrame:
-    """Per pair of one share its two words and its count ``t``, ``b`` and ``d``."""
-    passes = np.uint64(PASSES)
-
-    def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        for marks, part in by_marks(batch):
-            before, own, pairs, _ = tokens(part.column("text"))
-            mine = np.flatnonzero(pairs % passes == share)
-            found, first, times = np.unique(pairs[mine], return_index=True, return_counts=True)
-            at = mine[first]
-            yield {"pair": signed(found), "before": signed(before[at]), "own": signed(own[at]), **{m: times * v for m, v in marks.items()}}
-
-    counted = arrow_map(texts, work, "pair long, before long, own long, t long, b long, d long")
-    return counted.groupBy("pair").agg(F.min("before").alias("before"), F.min("own").alias("own"), *(F.sum(m).alias(m) for m in "tbd"))
-
-
-def loss(of_pair: Column, of_own: Column, of_before: Column, tokens: int, words: int) -> Column:
+def sources(docs: DataFrame, target: DataFrame | Column, background: DataFrame | None, text: str) -> DataFrame:
+    """All texts, with whether each counts for target ``t``, background ``b`` and is scored ``d``; scored rows keep their columns in ``row``."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (text, *ADDED)]
+    row = F.struct(*others, F.lit(0).alias("_"))
+    own = F.coalesce(target, F.lit(False)) if isinstance(target, Column) else F.lit(False)
+    parts = [docs.select(F.col(text).alias("text"), own.alias("t"), F.lit(background is None).alias("b"), F.lit(True).alias("d"), row.alias("row"))]
+    for df, t in [(target, True), (background, False)]:
+        if isinstance(df, DataFrame):
+            parts.append(df.select(F.col(text).alias("text"), F.lit(t).alias("t"), F.lit(not t).alias("b"), F.lit(False).alias("d")))
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+
+
+def marks(rows: pa.RecordBatch) -> np.ndarray:
+    """The columns t and b of the rows as numbers."""
+    return np.stack([rows.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in "tb"])
+
+
+def grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, the order that sorts all, and where each distinct one begins in it."""
+    order = np.argsort(values, kind="stable")
+    ranked = values[order]
+    starts = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(values) else np.zeros(0, np.int64)
+    return ranked[starts], order, starts
+
+
+def asked(rows: pa.RecordBatch) -> list[block_keys.Keys]:
+    """Distinct pairs with their counts, and words with how often they come and come before another, for target and background."""
+    _, own, pairs, firsts = tokens(rows.column("text"))
+    if not len(own):
+        return []
+    of_row = marks(rows)
+    lengths = np.diff(firsts)
+    of_token = np.repeat(of_row, lengths, axis=1)
+    found, order, starts = grouped(pairs)
+    words, by_word, at = grouped(own)
+    counts = np.add.reduceat(of_token[:, by_word], at, axis=1)
+    # A word comes before another one except where it ends a text.
+    before = counts.copy()
+    full = lengths > 0
+    lasts = np.searchsorted(words, own[firsts[1:][full] - 1])
+    np.subtract.at(before, (slice(None), lasts), of_row[:, full])
+    begin = np.concatenate([np.zeros(2, np.int64), of_row[:, full].sum(axis=1)])[:, None]
+    figures = np.concatenate([begin, np.concatenate([counts, before])], axis=1)
+    return [
+        (found[None], np.add.reduceat(of_token[:, order], starts, axis=1)),
+        (np.append(BEGIN, words)[None], figures),
+    ]
+
+
+def merged(kind: int, figures: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The sums themselves; of words their number and all tokens of target and background."""
+    return figures, [figures.shape[1], int(figures[0].sum()), int(figures[1].sum())] if kind == WORDS else []
+
+
+def model_loss(of_pair: np.ndarray, of_own: np.ndarray, of_before: np.ndarray, tokens: int, words: int) -> np.ndarray:
     """Bits of a word after another one."""
     even = (1 - PAIR_SHARE - WORD_SHARE) / words
     # A model without tokens is the even one.
-    rest = (WORD_SHARE * of_own / tokens + even) / (1 - PAIR_SHARE) if tokens else F.lit(1 / words)
+    rest = (WORD_SHARE * of_own / tokens + even) / (1 - PAIR_SHARE) if tokens else 1 / words
     # A word that was never followed leaves its share to the words.
-    share = F.when(of_before > 0, PAIR_SHARE).otherwise(0.0)
-    return -F.log2(share * of_pair / F.greatest(of_before, F.lit(1)) + (1 - share) * rest)
-
-
-def losses(pairs: DataFrame, words: DataFrame, totals: dict[str, int], distinct: int) -> DataFrame:
-    """Per pair of documents to be scored its count there and its loss in both models."""
-    own = words.select(F.col("word").alias("own"), "own_t", "own_b")
-    before = words.select(F.col("word").alias("before"), "before_t", "before_b")
-    met = pairs.where("d > 0").join(own, "own").join(before, "before")
-    both = [loss(F.col(m), F.col(f"own_{m}"), F.col(f"before_{m}"), totals[m], distinct).alias(f"loss_{m}") for m in "tb"]
-    return met.select("pair", F.col("d").alias("times"), *both)
-
-
-def score_difference(docs: DataFrame, target: DataFrame, background: DataFrame | None = None, text: str = "text") -> DataFrame:
-    """``docs`` without ``text``, with ``n_tokens``, ``target_loss``, ``background_loss`` and ``score``."""
-    texts = sources(docs, target, docs if background is None else background, text)
-    words = written(word_counts(texts), "words")
-    row = words.agg(F.sum("own_t").alias("t"), F.sum("own_b").alias("b"), F.count("*").alias("distinct")).first()
-    totals = {m: row[m] or 0 for m in "tb"}
-    distinct = max(VOCABULARY, row["distinct"])
-
-    added = ("n_tokens", "target_loss", "background_loss", "score")
-    others = [c for c in docs.columns if c not in (text, *added)]
-    body, key = fresh("_text", others), fresh("_key", others)
-    # Rows with one key have one text; more columns deal out its copies.
-    plain = (T.IntegralType, T.StringType, T.FractionalType, T.BooleanType, T.DatetimeType)
-    dealt = [F.col(f"`{c}`") for c in others if isinstance(docs.schema[c].dataType, plain)]
-    source = docs.select(*[F.col(f"`{c}`") for c in others], F.col(text).alias(body), F.xxhash64(F.col(text), *dealt).alias(key))
-
-    # The counts and shuffles of a share are gone before the next one begins.
-    shares, hot = [], []
-    for share in range(PASSES):
-        folder = new_folder(docs.sparkSession, "losses")
-        known = written(losses(pair_counts(texts, share), words, totals, distinct), "losses", folder)
-        scored = known.agg(F.sum("times")).first()[0] or 0
-        top = known.where(F.col("times") * HOT > scored)
-        hot.append(top.toArrow())  # less than HOT rows
-        own = cold_pairs(source.select(key, body), key, body, share, np.sort(hot[-1].column("pair").to_numpy().view(np.uint64)))
-        sums = own.join(known.where(F.col("times") * HOT <= scored), "pair")
-        shares.append(written(sums.groupBy(key).agg(F.sum("loss_t").alias("loss_t"), F.sum("loss_b").alias("loss_b"), F.count("*").alias("n")), "sums"))
-        discard(docs.sparkSession, folder)
-    cold = reduce(DataFrame.unionAll, shares).groupBy(key).agg(*(F.sum(c).alias(c) for c in ("loss_t", "loss_b", "n")))
-    # As often as a row is repeated, so often its pairs are in the sums: their mean is that of one row.
-    cold = cold.select(key, F.struct((F.col("loss_t") / F.col("n")).alias("loss_t"), (F.col("loss_b") / F.col("n")).alias("loss_b")).alias("cold"))
-    sums, means = fresh("_sums", others), fresh("_cold", others)
-    base = hot_sums(source, others, key, body, sums, pa.concat_tables(hot))
-    joined = base.join(cold.withColumnRenamed("cold", means), key, "left")
-    return joined.select(*[F.col(f"`{c}`") for c in others], *final(sums, means))
-
-
-def final(sums: str, means: str) -> list[Column]:
-    n = F.col(f"{sums}.n")
-    both = []
-    for m in "tb":
-        rest = F.when(F.col(f"{sums}.n_cold") > 0, F.col(f"{means}.loss_{m}") * F.col(f"{sums}.n_cold")).otherwise(0.0)
-        both.append((F.col(f"{sums}.loss_{m}") + rest) / F.greatest(n, F.lit(1)))
-    return [n.alias("n_tokens"), both[0].alias("target_loss"), both[1].alias("background_loss"), (both[0] - both[1]).alias("score")]
-
-
-def cold_pairs(source: DataFrame, key: str, body: str, share: int, hot: np.ndarray) -> DataFrame:
-    """One row per pair of a share that is not hot, as often as it comes."""
-    shared = source.sparkSession.sparkContext.broadcast(hot)
-    passes = np.uint64(PASSES)
-
-    def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        for part in sliced(batch, body):
-            _, _, pairs, firsts = tokens(part.column(body))
-            keys = np.repeat(part.column(key).to_numpy(), np.diff(firsts))
-            mine = pairs % passes == share
-            pairs, keys = pairs[mine], keys[mine]
-            rare = ~found_at(shared.value, pairs)[1]
-            yield {"pair": signed(pairs[rare]), key: keys[rare]}
-
-    return arrow_map(source, work, f"pair long, `{key}` long")
-
-
-def found_at(known: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where values stand in a sorted array, and whether they do."""
-    if not len(known):
-        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
-    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
-    return at, known[at] == values
-
-
-def hot_sums(source: DataFrame, others: list[str], key: str, body: str, into: str, hot: pa.Table) -> DataFrame:
-    """Rows without text, with the number of tokens, of those not hot, and the loss of the hot ones."""
-    pairs = hot.column("pair").to_numpy().view(np.uint64)
-    order = np.argsort(pairs)
-    tables = [hot.column(f"loss_{m}").to_numpy()[order] for m in "tb"]
-    shared = source.sparkSession.sparkContext.broadcast((pairs[order], tables))
-
-    def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        for part in sliced(batch, body):
-            known, tables = shared.value
-            _, _, own, firsts = tokens(part.column(body))
-            at, there = found_at(known, own)
-
-            def summed(values: np.ndarray) -> np.ndarray:
-                sums = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
-                return sums[firsts[1:]] - sums[firsts[:-1]]
-
-            n_cold = summed(~there).astype(np.int64)
-            of_hot = [summed(np.where(there, t[at], 0.0)) if len(known) else np.zeros(part.num_rows) for t in tables]
-            row = pa.StructArray.from_arrays([pa.array(np.diff(firsts).astype(np.int64)), pa.array(n_cold), *map(pa.array, of_hot)], ["n", "n_cold", "loss_t", "loss_b"])
-            yield {**{c: part.column(c) for c in (*others, key)}, into: row}
-
-    kind = T.StructType([T.StructField("n", T.LongType()), T.StructField("n_cold", T.LongType()), T.StructField("loss_t", T.DoubleType()), T.StructField("loss_b", T.DoubleType())])
-    fields = [f for f in source.schema.fields if f.name != body]
-    return arrow_map(source, work, T.StructType([*fields, T.StructField(into, kind)]))
+    share = np.where(of_before > 0, PAIR_SHARE, 0.0)
+    return -np.log2(share * of_pair / np.maximum(of_before, 1) + (1 - share) * rest)
+
+
+def scored(rows: pa.RecordBatch, found: list[np.ndarray], totals: tuple[int, int], distinct: int) -> dict:
+    """Losses of the rows of a block from the counts of its pairs and words."""
+    _, own, pairs, firsts = tokens(rows.column("text"))
+    n = np.diff(firsts)
+    sums = np.zeros((2, len(n)))
+    if len(own):
+        words, by_word, at = grouped(own)
+        word = np.empty(len(own), np.int64)
+        word[by_word] = np.repeat(np.arange(len(words)), np.diff(np.append(at, len(own)))) + 1
+        before = np.append(0, word[:-1])
+        before[firsts[:-1][n > 0]] = 0
+        _, by_pair, at = grouped(pairs)
+        sizes = np.diff(np.append(at, len(own)))
+        pair = np.empty(len(own), np.int64)
+        pair[by_pair] = np.repeat(np.arange(len(at)), sizes)
+        of_pair, of_word = found
+        for k in range(2):
+            losses = model_loss(of_pair[k][pair], of_word[k][word], of_word[2 + k][before], totals[k], distinct)
+            ends = np.append(0.0, np.cumsum(losses))
+            sums[k] = ends[firsts[1:]] - ends[firsts[:-1]]
+    means = sums / np.maximum(n, 1)
+    keep = pa.array(rows.column("d"))
+    made = {"row": rows.column("row"), "n_tokens": pa.array(n.astype(np.int64)), "target_loss": pa.array(means[0]), "background_loss": pa.array(means[1]), "score": pa.array(means[0] - means[1])}
+    return {name: column.filter(keep) for name, column in made.items()}
+
+
+def score_difference(docs: DataFrame, target: DataFrame | Column, background: DataFrame | None = None, text: str = "text") -> DataFrame:
+    """``docs`` without ``text``, with ``n_tokens``, ``target_loss``, ``background_loss`` and ``score``.
+
+    ``target`` is a table of texts, or a condition on the rows of ``docs``; ``background`` is ``docs`` if not given.
+    """
+    spark = docs.sparkSession
+    folder = new_folder(spark, "losses")
+    blocks = block_keys.in_blocks(sources(docs, target, background, text), "texts", folder)
+    sent = block_keys.requests(blocks, asked, block_keys.bucket_count(blocks))
+    counts = written(block_keys.replies(sent, 1, [[np.add] * 2, [np.add] * 4], merged), "counts", folder)
+    each = counts.where(F.col("kind") == WORDS).groupBy("bucket").agg(F.first("stats").alias("s"))
+    row = each.agg(*(F.sum(F.col("s")[k]).alias(c) for k, c in enumerate(("distinct", "t", "b")))).first()
+    totals, distinct = (row["t"] or 0, row["b"] or 0), max(VOCABULARY, row["distinct"] or 0)
+
+    schema = T.StructType([blocks.schema["row"], T.StructField("n_tokens", T.LongType()), *(T.StructField(c, T.DoubleType()) for c in ADDED[1:])])
+    made = block_keys.answered(blocks, counts, lambda rows, found: scored(rows, found, totals, distinct), 2, schema)
+    others = [F.col(f"row.`{c}`") for c in docs.columns if c not in (text, *ADDED)]
+    result = written(made.select(*others, *ADDED), "losses")
+    discard(spark, folder)
+    return result

@@ -45,8 +45,9 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Against a target of the documents that are labelled as good."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return cross_entropy.score_difference(docs, docs.join(good, "doc_id", "left_semi"))
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id", F.lit(True).alias("good")).distinct()
+    marked = docs.join(good, "doc_id", "left")
+    return cross_entropy.score_difference(marked, F.col("good")).drop("good")
 
 
 def op6_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-from gridloom.llm import chunk_dedup, cross_entropy, decontamination, html_extraction, neighbours, repeated_substrings, secrets, sentencepieces, toxicity
+from gridloom.llm import block_keys, chunk_dedup, cross_entropy, decontamination, html_extraction, neighbours, repeated_substrings, secrets, sentencepieces, toxicity
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 ODD = [(1, None), (2, ""), (3, "  \n"), (4, "a"), (None, "no id here"), (5, "repeated row"), (5, "repeated row"), (6, "long " * 30_000)]
@@ -168,15 +168,17 @@ def test_losses_agree_with_counting_by_hand(spark, odd):
         total -= np.log2(0.7 * pairs.get((before, w), 0) / seen + 0.3 * rest(w))
     assert scored[3]["target_loss"] == pytest.approx(total / 2, rel=1e-5)
     assert scored[0]["score"] < 0 < scored[2]["score"]
+    assert cross_entropy.score_difference(docs, F.col("doc_id") < 2).sort("doc_id").collect() == [scored[k] for k in range(4)]
     found = cross_entropy.score_difference(odd, target).collect()
     assert len(found) == len(ODD) and [x["n_tokens"] for x in found if x["doc_id"] in (1, 2, 3)] == [0, 0, 0]
     assert cross_entropy.score_difference(docs.limit(0), target.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize(("hot", "own"), [(131_072, True), (40, True), (1, False)])
-def test_every_word_has_its_own_counts(spark, monkeypatch, hot, own):
-    """More words than any fixed vocabulary of old; pairs broadcast and pairs joined give the same."""
-    monkeypatch.setattr(cross_entropy, "HOT", hot)
+@pytest.mark.parametrize(("sizes", "own"), [((16 << 20, 12 << 20), True), ((900, 700), True), ((5, 300), False)])
+def test_every_word_has_its_own_counts(spark, monkeypatch, sizes, own):
+    """More words than any fixed vocabulary of old; one block and many, one bucket and many give the same."""
+    monkeypatch.setattr(block_keys.in_blocks, "__defaults__", (sizes[0],))
+    monkeypatch.setattr(block_keys.bucket_count, "__defaults__", (sizes[1],))
     r = random.Random(8)
     texts = [" ".join(f"w{min(r.randrange(4000), r.randrange(4000))}" for _ in range(r.randrange(1, 300))) for _ in range(80)] + ["w1 w2 w1 w2"] * 5
     rows = list(enumerate(texts)) + [(3, texts[3]), (None, texts[3]), (900, None)]
@@ -252,6 +254,63 @@ def test_passages_of_51_words_in_two_documents_are_found(spark):
     assert all((x["n_removed"] > 0) == (x["doc_id"] % 2 == 1) for x in found)
 
 
+def brute_chunk_dedup(rows, least_run):
+    """The rule of the module, one dictionary of all chunks."""
+    cut = []
+    for i, t in rows:
+        data = (t or "").encode()
+        ends = chunk_dedup.cuts(np.frombuffer(data, np.uint8)).tolist()
+        cut.append((i, data, [(a, b, data[a:b]) for a, b in zip([0, *ends], ends)]))
+    times, first = {}, {}
+    for i, _, parts in cut:
+        for _, _, c in parts if i is not None else []:
+            times[c] = times.get(c, 0) + 1
+            first[c] = min(first.get(c, i), i)
+    out = []
+    for i, data, parts in cut:
+        gone, shared, seen, k = np.zeros(len(data), bool), 0, set(), 0
+        flags = []
+        for a, b, c in parts:
+            flags.append((a, b, i is not None and times[c] > 1, c in seen or first.get(c) != i))
+            seen.add(c)
+        while k < len(flags):
+            j = k
+            while j < len(flags) and flags[j][2]:
+                j += 1
+            if j > k and flags[j - 1][1] - flags[k][0] >= least_run:
+                shared += flags[j - 1][1] - flags[k][0]
+                x = k
+                while x < j:
+                    y = x
+                    while y < j and flags[y][3]:
+                        y += 1
+                    if y > x and flags[y - 1][1] - flags[x][0] >= least_run:
+                        gone[flags[x][0] : flags[y - 1][1]] = True
+                    x = max(y, x + 1)
+            k = max(j, k + 1)
+        kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
+        out.append((i, len(data), len(parts), shared, int(gone.sum()), kept))
+    return out
+
+
+@pytest.mark.parametrize("sizes", [(16 << 20, 12 << 20), (700, 900)])
+def test_chunk_dedup_agrees_with_one_dictionary(spark, monkeypatch, sizes):
+    monkeypatch.setattr(block_keys.in_blocks, "__defaults__", (sizes[0],))
+    monkeypatch.setattr(block_keys.bucket_count, "__defaults__", (sizes[1],))
+    r = random.Random(21)
+    texts = [prose(r, r.randrange(1, 120)) for _ in range(60)]
+    for k in range(25):
+        a, b = r.sample(range(60), 2)
+        at = r.randrange(len(texts[a]))
+        texts[b] += texts[a][at : at + r.randrange(20, 300)] + prose(r, 3)
+    rows = [(k - 20, t) for k, t in enumerate(texts)] + [(7, texts[27]), (7, "other " + texts[30]), (None, texts[3]), (90, None), (91, ""), (92, texts[1] * 3)]
+    found = chunk_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), least_run=40)
+    assert sorted((str(x["doc_id"]), x["n_bytes"], x["n_chunks"], x["n_shared"], x["n_removed"], bytes(x["text"])) for x in found.collect()) == sorted(
+        (str(i), *rest) for i, *rest in brute_chunk_dedup(rows, 40)
+    )
+    assert {x["kept_sha256"] for x in found.collect()} == {hashlib.sha256(k).hexdigest() for *_, k in brute_chunk_dedup(rows, 40)}
+
+
 def test_chunks_cover_the_text():
     for data in (b"", b"a", b"ab" * 3000, bytes(range(256)) * 20):
         ends = chunk_dedup.cuts(np.frombuffer(data, np.uint8))
