@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 
 
 def decoded_uri(path: Column) -> Column:
-    """Percent-decoded path. A plus stays a plus; a malformed escape leaves the path as is."""
-    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    """Percent-decoded path. A plus stays a plus, and so does a percent sign that begins no escape."""
+    escaped = F.regexp_replace(path, "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B"))), path)
+
+
+def folder_of(path: str) -> str:
+    return path.rstrip("/").rpartition("/")[0]
 
 
 def base_name(uri: Column) -> Column:

@@ -1,9 +1,10 @@
 """Load of workbook files: pending files, decode, facts, ledger.
 
 Files are taken in slices of bounded number and size. A slice is three writes:
-the decoded grid goes to a staging folder, facts of good files are appended, and
-the ledger comes last, so that a lost job is loaded again and its half-written
-facts stay invisible to ``sources.tables.loaded_facts``.
+the decoded grid goes to a staging folder, facts of good files are appended to the
+partition of the slice, and the ledger comes last, as the record that the slice is
+finished. A lost job is loaded again: its half-written facts stay invisible to
+``sources.tables.loaded_facts``, and the next load drops them.
 """
 
 from __future__ import annotations
@@ -12,19 +13,20 @@ import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import text
 from gridloom.functions.ids import load_id, make_stamp
-from gridloom.functions.uris import base_name, decoded_uri, extension
+from gridloom.functions.uris import base_name, extension, folder_of
 from gridloom.operators.contents import CONTENTS_SHEET, listed_sheets, select_sheets
 from gridloom.operators.grid import CELLS, ROW, number_rows, overflow_message, sheet_status, wide_to_long
-from gridloom.operators.pending import FAILED, LOADED, pending_files
+from gridloom.operators.pending import FAILED, LOADED, SOURCE, pending_files
 from gridloom.sources.listing import ARCHIVES, list_files, read_bodies
 from gridloom.sources.sinks import append_by_name, with_audit
-from gridloom.sources.staging import discard, new_folder, session_conf, staged
-from gridloom.sources.tables import FACTS, LEDGER
+from gridloom.sources.staging import discard, exists, new_folder, session_conf, staged
+from gridloom.sources.tables import FACTS, LEDGER, STAMP, UNLISTED, drop_unfinished, stamp_of
 from gridloom.sources.workbooks import FILE_LEVEL, decode_archives, decode_workbooks
 
 SLICE_FILES = 10_000
@@ -39,17 +41,17 @@ DECODE_CONF = {
 
 SHEET = ["load_id", "sheet_pos"]
 
-# What Spark says where a single file cannot be found, read, held in a row or decoded.
-OF_A_FILE = (
-    "PATH_NOT_FOUND",
-    "FAILED_READ_FILE",
-    "FileNotFoundException",
-    "exceeds the max length allowed",
+# What Spark says where a body or its decoding brings down a worker: only these are cornered by halving.
+CRASHES = (
     "Python worker exited unexpectedly",
     "Cannot grow BufferHolder",
     "OutOfMemoryError",
     "NegativeArraySizeException",
 )
+# Rounds of halving in which nothing loads before the cluster is blamed and not the files.
+PATIENCE = 5
+MAX_LENGTH = "spark.sql.sources.binaryFile.maxLength"
+NOT_DELIVERED = "the file is gone, or its storage cannot read it"
 
 # Kinds of staged rows.
 MARK, CONTENTS, DATA = "mark", "contents", "data"
@@ -82,48 +84,112 @@ def load_listed(
     """Loads the pending files of a listing (``path``, ``length``)."""
     # Rows another session has appended since this one last listed the ledger's files count too.
     spark.catalog.refreshTable(f"{schema}.{LEDGER}")
-    pending = pending_files(listing, spark.table(f"{schema}.{LEDGER}"), decode_uris).orderBy("zip_uri")
-    uri = decoded_uri(F.col("path")) if decode_uris else F.col("path")
-    # Paths that go by themselves, since others decode to the same.
-    pending = pending.select("path", "length", ((F.col("zip_uri") == F.col("path")) & (F.col("path") != uri)).alias("raw"))
+    drop_unfinished(spark, schema)
+    pending = pending_files(listing, spark.table(f"{schema}.{LEDGER}"), decode_uris).orderBy("zip_uri", "path")
     report = LoadReport()
     for files in _slices(pending.toLocalIterator(), slice_files, slice_bytes):
-        raw = F.col("path").isin([f["path"] for f in files if f["raw"]])
-        report += _load_paths(spark, schema, [f["path"] for f in files], F.when(raw, F.col("path")).otherwise(uri), zipped)
+        report += _load_slice(spark, schema, files, zipped)
     return report
 
 
-def _load_paths(spark: SparkSession, schema: str, paths: list[str], uri: Column, zipped: bool) -> LoadReport:
-    """Loads these files; a file that stops the job, such as one that is gone, is cornered by halving.
+def _load_slice(spark: SparkSession, schema: str, files: list[Row], zipped: bool) -> LoadReport:
+    """Loads these files (``zip_uri``, ``path``, ``length``) and gives each a ledger row.
 
-    Only failures of reading and decoding are put down to a file. Others, of storage,
-    staging or permissions, are raised.
+    Missing and unreadable bodies are skipped by the reader and found by comparing what was
+    listed with what arrived. A body that crashes its worker is cornered by halving: all
+    pieces of a round are tried, so that a healthy cluster shows in the other half. If rounds
+    pass without any piece loaded, the error is raised and no file is blamed.
     """
+    most = int(spark.conf.get(MAX_LENGTH))
+    large = [(f, f"{f['length']} bytes, {MAX_LENGTH} is {most}") for f in files if f["length"] > most]
+    pieces = [[f for f in files if f["length"] <= most]]
+    report, crashed, barren, healthy = LoadReport(), [], 0, False
+    while pieces and pieces[0]:
+        halves, loaded, problem = [], False, None
+        for piece in pieces:
+            try:
+                report += _load_piece(spark, schema, piece, zipped)
+                loaded = True
+            except Exception as crash:
+                if not any(mark in str(crash) for mark in CRASHES):
+                    raise
+                problem, middle = crash, len(piece) // 2
+                if middle:
+                    halves += [piece[:middle], piece[middle:]]
+                else:
+                    crashed.append((piece[0], _first_line(crash)))
+        healthy, barren = healthy or loaded, 0 if loaded else barren + 1
+        if problem and (barren > PATIENCE or not halves and not healthy and len(crashed) > 1):
+            raise problem
+        pieces = halves
+    return report + _record_failed(spark, schema, large + crashed)
+
+
+def _load_piece(spark: SparkSession, schema: str, files: list[Row], zipped: bool) -> LoadReport:
+    paths, gone = [f["path"] for f in files], None
+    try:
+        bodies = read_bodies(spark, paths, skip_unreadable=True)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # A file is gone since it was listed; where its folder is gone too, the storage is lost.
+        there = [p for p in paths if exists(spark, p)]
+        if not there and not all(exists(spark, folder) for folder in {folder_of(p) for p in paths}):
+            raise
+        gone, bodies = problem, read_bodies(spark, there, skip_unreadable=True) if there else None
+    if bodies is None:
+        return _record_failed(spark, schema, [(f, _first_line(gone)) for f in files])
+    listed = with_load_id(spark.createDataFrame([(f["zip_uri"], f["path"]) for f in files], "zip_uri string, path string"), "path")
     folder = new_folder(spark, "load")
     try:
-        try:
-            files = read_bodies(spark, paths).withColumn("zip_uri", uri)
-            grid, sheets = decode_and_judge(files, folder, zipped)
-        except Exception as problem:
-            if not any(mark in str(problem) for mark in OF_A_FILE):
-                raise
-            if len(paths) == 1:
-                return _record_unreadable(spark, schema, paths[0], uri, problem)
-        else:
-            return _append(grid, sheets, schema)
+        # As many rows as a slice has files, at most.
+        grid, sheets = decode_and_judge(bodies.join(F.broadcast(listed), "path"), folder, zipped)
+        ledger = staged(account(listed, ledger_rows(sheets)), "ledger", folder)
+        report = _report(ledger)
+        undelivered = ledger.where(F.col("error_message") == NOT_DELIVERED).count() if report.failed else 0
+        if undelivered == len(files) > 1 and gone is None:
+            raise OSError(f"none of {undelivered} listed files can be read, such as {paths[0]}")
+        _append_facts(grid_facts(grid, sheets, base_name(F.col("zip_uri"))), schema)
+        append_by_name(with_audit(ledger), f"{schema}.{LEDGER}")
+        return report
     finally:
         discard(spark, folder)
-    middle = len(paths) // 2
-    return sum((_load_paths(spark, schema, half, uri, zipped) for half in (paths[:middle], paths[middle:])), LoadReport())
 
 
-def _record_unreadable(spark: SparkSession, schema: str, path: str, uri: Column, problem: Exception) -> LoadReport:
-    message = next(iter(str(problem).splitlines()), "") or type(problem).__name__
-    file = spark.range(1).select(F.lit(path).alias("path")).withColumn("zip_uri", uri)
-    verdict = with_load_id(file).select("zip_uri", "load_id", F.lit(message).alias("error"))
-    nothing = {"sheet_index": F.lit(None).cast("long"), "pairs": F.lit(None).cast("long")}
-    append_by_name(with_audit(ledger_rows(verdict.withColumns(nothing))), f"{schema}.{LEDGER}")
-    return LoadReport(failed=1)
+def account(listed: DataFrame, ledger: DataFrame) -> DataFrame:
+    """A ledger row for each listed file (``zip_uri``, ``path``, ``load_id``); what has none was not delivered."""
+    arrived = F.col("status").isNotNull()
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("sheet_count", "row_count")]
+    return listed.join(ledger.drop("zip_uri", "zip_name"), "load_id", "left").select(
+        "zip_uri",
+        base_name(F.col("zip_uri")).alias("zip_name"),
+        "load_id",
+        F.coalesce("status", F.lit(FAILED)).alias("status"),
+        *counts,
+        F.when(arrived, F.col("error_message")).otherwise(NOT_DELIVERED).alias("error_message"),
+        F.col("path").alias(SOURCE),
+    )
+
+
+def _first_line(problem: Exception) -> str:
+    return next(iter(str(problem).splitlines()), "") or type(problem).__name__
+
+
+def _record_failed(spark: SparkSession, schema: str, failed: list[tuple[Row, str]]) -> LoadReport:
+    if not failed:
+        return LoadReport()
+    files = spark.createDataFrame([(f["zip_uri"], f["path"], e) for f, e in failed], "zip_uri string, path string, error string")
+    rows = with_load_id(files, "path").select(
+        "zip_uri",
+        base_name(F.col("zip_uri")).alias("zip_name"),
+        "load_id",
+        F.lit(FAILED).alias("status"),
+        *(F.lit(0).cast("long").alias(c) for c in ("sheet_count", "row_count")),
+        F.col("error").alias("error_message"),
+        F.col("path").alias(SOURCE),
+    )
+    append_by_name(with_audit(rows), f"{schema}.{LEDGER}")
+    return LoadReport(failed=len(failed))
 
 
 def _slices(files: Iterable[Row], most_files: int, most_bytes: int) -> Iterator[list[Row]]:
@@ -148,8 +214,14 @@ def load_bodies(files: DataFrame, schema: str, zipped: bool = True) -> LoadRepor
         discard(files.sparkSession, folder)
 
 
+def _append_facts(facts: DataFrame, schema: str, stamp: Column | None = None) -> None:
+    """Facts go to the partition of their load."""
+    stamp = stamp_of(F.col("load_id")) if stamp is None else stamp
+    append_by_name(with_audit(facts).withColumn(STAMP, stamp), f"{schema}.{FACTS}")
+
+
 def _append(grid: DataFrame, sheets: DataFrame, schema: str) -> LoadReport:
-    append_by_name(with_audit(grid_facts(grid, sheets, base_name(F.col("zip_uri")))), f"{schema}.{FACTS}")
+    _append_facts(grid_facts(grid, sheets, base_name(F.col("zip_uri"))), schema)
     ledger = ledger_rows(sheets)
     append_by_name(with_audit(ledger), f"{schema}.{LEDGER}")
     return _report(ledger)
@@ -173,7 +245,7 @@ def load_workbook_files(
             judged.append((grid, sheets))
             report += _report(done)
         for grid, sheets in judged:
-            append_by_name(with_audit(grid_facts(grid, sheets, F.lit(zip_name))), f"{schema}.{FACTS}")
+            _append_facts(grid_facts(grid, sheets, F.lit(zip_name)), schema, F.lit(UNLISTED))
     finally:
         discard(spark, folder)
     return report
@@ -182,12 +254,12 @@ def load_workbook_files(
 def decode_and_judge(files: DataFrame, folder: str, zipped: bool = True) -> tuple[DataFrame, DataFrame]:
     """Grid rows of ``files`` and the verdicts on their sheets, both staged."""
     decode = decode_archives if zipped else decode_workbooks
-    grid = stage_grid(decode(with_load_id(files)), folder)
+    grid = stage_grid(decode(files if "load_id" in files.columns else with_load_id(files)), folder)
     return grid, staged(judge_sheets(grid), "sheets", folder)
 
 
-def with_load_id(files: DataFrame) -> DataFrame:
-    return files.withColumn("load_id", load_id(make_stamp(), str(uuid.uuid4()), F.col("zip_uri")))
+def with_load_id(files: DataFrame, name: str = "zip_uri") -> DataFrame:
+    return files.withColumn("load_id", load_id(make_stamp(), str(uuid.uuid4()), F.col(name)))
 
 
 def stage_grid(decoded: DataFrame, folder: str) -> DataFrame:

@@ -22,6 +22,11 @@ def list_files(spark: SparkSession, prefix: str, name_glob: str = "*", recursive
     )
 
 
-def read_bodies(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """``path`` and ``content`` of exactly these files. Bodies stay on the executors."""
-    return spark.read.format("binaryFile").load([literal_glob(p) for p in paths]).select("path", "content")
+def read_bodies(spark: SparkSession, paths: Iterable[str], skip_unreadable: bool = False) -> DataFrame:
+    """``path`` and ``content`` of exactly these files. Bodies stay on the executors.
+
+    With ``skip_unreadable`` a file that is gone or cannot be read once the job runs has no row.
+    """
+    skip = str(skip_unreadable).lower()
+    reader = spark.read.format("binaryFile").option("ignoreMissingFiles", skip).option("ignoreCorruptFiles", skip)
+    return reader.load([literal_glob(p) for p in paths]).select("path", "content")

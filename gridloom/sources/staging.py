@@ -52,6 +52,11 @@ def discard(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def exists(spark: SparkSession, place: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def child_folders(spark: SparkSession, root: str) -> list[str]:
     """Names of the folders directly under ``root``, sorted."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.sources.staging import child_folders, holds_data
@@ -20,6 +21,13 @@ LEDGER = "open_cms_load_ledger"
 METRICS = "metrics"
 SCRATCH = "test_table"
 
+# Own additions: the partition of a load's facts, and the listed path of a file.
+STAMP = "load_stamp"
+# Stamp of facts that no ledger row stands for.
+UNLISTED = "unlisted"
+STAMP_LENGTH = 18
+PARTITIONS = {FACTS: STAMP}
+
 SCHEMAS: dict[str, T.StructType] = {
     FACTS: _struct(
         load_id=_TEXT,
@@ -36,6 +44,7 @@ SCHEMAS: dict[str, T.StructType] = {
         updated_at=_TIME,
         first_col_key=_TEXT,
         first_col_val=_TEXT,
+        load_stamp=_TEXT,
     ),
     LEDGER: _struct(
         zip_uri=_TEXT,
@@ -47,6 +56,7 @@ SCHEMAS: dict[str, T.StructType] = {
         error_message=_TEXT,
         created_at=_TIME,
         updated_at=_TIME,
+        source_path=_TEXT,
     ),
     METRICS: _struct(
         id=_TEXT, metric_name=_TEXT, payload=T.VariantType(), last_updated=_TIME, metric_batch_id=_TEXT
@@ -59,8 +69,9 @@ def _columns(fields: list[T.StructField]) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
 
-def create_table(spark: SparkSession, table: str, schema: T.StructType, provider: str = "parquet") -> None:
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_columns(schema.fields)}) USING {provider}")
+def create_table(spark: SparkSession, table: str, schema: T.StructType, provider: str = "parquet", partition: str | None = None) -> None:
+    cut = f" PARTITIONED BY (`{partition}`)" if partition else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_columns(schema.fields)}) USING {provider}{cut}")
 
 
 def add_missing_columns(spark: SparkSession, table: str, schema: T.StructType) -> list[str]:
@@ -77,7 +88,7 @@ def create_tables(spark: SparkSession, schema: str, provider: str = "parquet", l
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{place}")
     for name, columns in SCHEMAS.items():
-        create_table(spark, f"{schema}.{name}", columns, provider)
+        create_table(spark, f"{schema}.{name}", columns, provider, PARTITIONS.get(name))
         add_missing_columns(spark, f"{schema}.{name}", columns)
 
 
@@ -96,7 +107,36 @@ def register_folders(spark: SparkSession, schema: str, warehouse: str, provider:
     return found
 
 
-def loaded_facts(spark: SparkSession, schema: str) -> DataFrame:
-    """Facts of finished loads. A job lost between its two appends leaves facts without a ledger row."""
-    done = spark.table(f"{schema}.{LEDGER}").where("status = 'loaded'").select("load_id")
-    return spark.table(f"{schema}.{FACTS}").join(done, "load_id", "left_semi")
+def stamp_of(load_id: Column) -> Column:
+    """The part of a load id that all files of one slice share."""
+    return F.substring(load_id, 1, STAMP_LENGTH)
+
+
+def loaded_facts(spark: SparkSession, schema: str, since: str | None = None) -> DataFrame:
+    """Facts of finished loads, of those from the stamp ``since`` on (such as ``20240131``) if given.
+
+    The ledger is the record of what is finished: a job lost between its two appends leaves
+    facts without a ledger row. Only the partitions of finished loads are read.
+    """
+    done = spark.table(f"{schema}.{LEDGER}").where("status = 'loaded'").select("load_id", stamp_of(F.col("load_id")).alias(STAMP))
+    facts = spark.table(f"{schema}.{FACTS}")
+    if since is not None:
+        done, facts = (df.where(F.col(STAMP) >= since) for df in (done, facts))
+    return facts.join(done, [STAMP, "load_id"], "left_semi").select(facts.columns)
+
+
+def drop_unfinished(spark: SparkSession, schema: str) -> list[str]:
+    """Drops the facts of loads that were lost before their ledger rows; returns their stamps.
+
+    No other load of the schema may be running.
+    """
+    table = f"{schema}.{FACTS}"
+    if not any(c.isPartition for c in spark.catalog.listColumns(table)):
+        return []
+    found = spark.sql(f"SHOW PARTITIONS {table}").select(F.regexp_extract("partition", f"^{STAMP}=(.*)$", 1).alias(STAMP))
+    done = spark.table(f"{schema}.{LEDGER}").select(stamp_of(F.col("load_id")).alias(STAMP))
+    # One partition a slice: few, and only those of lost jobs come to the driver.
+    lost = [row[STAMP] for row in found.where(F.col(STAMP).rlike(r"^\d{8}_\d{4}_[A-Z]{4}$")).join(done, STAMP, "left_anti").collect()]
+    for stamp in lost:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({STAMP} = '{stamp}')")
+    return lost
