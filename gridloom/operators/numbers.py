@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-# Column names of the reports.
-TOTAL, GROUP, COUNT, SUM, PAYLOAD = "total", "grp", "cnt", "s", "payload"
+TOTAL, GROUP, COUNT, SUM, PAYLOAD = "total", "bucket", "members", "bucket_sum", "payload"
 
 
 def times_itself(value: Column) -> Column:

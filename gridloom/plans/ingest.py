@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -59,12 +59,21 @@ MARK, CONTENTS, DATA = "mark", "contents", "data"
 
 @dataclass(frozen=True)
 class LoadReport:
+    """What a load did, and the stamps of its slices."""
+
     loaded: int = 0
     failed: int = 0
     rows: int = 0
+    stamps: tuple[str, ...] = field(default=(), compare=False)
 
     def __add__(self, other: LoadReport) -> LoadReport:
-        return LoadReport(self.loaded + other.loaded, self.failed + other.failed, self.rows + other.rows)
+        return LoadReport(self.loaded + other.loaded, self.failed + other.failed, self.rows + other.rows, self.stamps + other.stamps)
+
+
+def file_totals(spark: SparkSession, schema: str, report: LoadReport) -> DataFrame:
+    """``zip_uri`` and ``row_count`` of every file that the reported load has loaded."""
+    ledger = spark.table(f"{schema}.{LEDGER}").where(F.col("status") == LOADED)
+    return ledger.where(stamp_of(F.col("load_id")).isin(*report.stamps)).select("zip_uri", "row_count")
 
 
 def load_new_zips(spark: SparkSession, schema: str, prefix: str, recursive: bool = True, **options) -> LoadReport:
@@ -366,5 +375,6 @@ def grid_facts(grid: DataFrame, sheets: DataFrame, zip_name: Column) -> DataFram
 
 def _report(ledger: DataFrame) -> LoadReport:
     ok = F.col("status") == LOADED
-    total = ledger.agg(F.count_if(ok).alias("loaded"), F.count_if(~ok).alias("failed"), F.sum("row_count").alias("rows")).first()
-    return LoadReport(total["loaded"], total["failed"], total["rows"] or 0)
+    stamps = F.collect_set(stamp_of(F.col("load_id"))).alias("stamps")
+    total = ledger.agg(F.count_if(ok).alias("loaded"), F.count_if(~ok).alias("failed"), F.sum("row_count").alias("rows"), stamps).first()
+    return LoadReport(total["loaded"], total["failed"], total["rows"] or 0, tuple(total["stamps"]))

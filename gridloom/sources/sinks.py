@@ -31,8 +31,13 @@ def with_audit(df: DataFrame) -> DataFrame:
 
 
 def insert_row(spark: SparkSession, table: str, values: Mapping[str, Any]) -> None:
-    """One literal row with an explicit column list."""
-    append_by_name(spark.range(1).select(*(F.lit(v).alias(k) for k, v in values.items())), table)
+    """One literal row with an explicit column list; the table's other columns become null.
+
+    Values are bound as parameters, so no text is ever part of the statement.
+    """
+    names = [name.replace("`", "``") for name in values]
+    bound = ", ".join(f":v{k} AS `{name}`" for k, name in enumerate(names))
+    spark.sql(f"INSERT INTO {table} BY NAME SELECT {bound}", args={f"v{k}": v for k, v in enumerate(values.values())})
 
 
 def metric_rows(df: DataFrame, metric_name: Column, batch_id: str, payload: Column | None = None) -> DataFrame:

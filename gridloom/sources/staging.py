@@ -26,13 +26,17 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """An empty folder of its own, deleted at the latest when the driver ends."""
     folder = f"{shared_folder(spark).rstrip('/')}/gridloom/{name}-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.mkdirs(path)
-    files.deleteOnExit(path)
+    path = make_folder(spark, folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return folder
 
 
+def make_folder(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    return path
+
+
 def staged(df: DataFrame, name: str, folder: str | None = None, split_by: str | None = None) -> DataFrame:
     """Writes ``df`` once and reads it back; later readers see one fixed result.
 
@@ -70,7 +74,7 @@ def holds_data(spark: SparkSession, folder: str) -> bool:
     """Whether a folder looks like a written table."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     names = [e.getPath().getName() for e in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
-    return any(name in ("_SUCCESS", "_delta_log") or name.startswith("part-") for name in names)
+    return any(name in ("_SUCCESS", "_delta_log") or name.startswith("part-") or "=" in name for name in names)
 
 
 @contextmanager

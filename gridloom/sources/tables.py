@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,16 +94,25 @@ def create_tables(spark: SparkSession, schema: str, provider: str = "parquet", l
         add_missing_columns(spark, f"{schema}.{name}", columns)
 
 
-def register_folders(spark: SparkSession, schema: str, warehouse: str, provider: str = "parquet") -> list[str]:
-    """Registers the table folders of a schema under a warehouse root, in place."""
+def register_folders(
+    spark: SparkSession, schema: str, warehouse: str, provider: str = "parquet", known: Mapping[str, T.StructType] = SCHEMAS
+) -> list[str]:
+    """Registers the table folders of a schema under a warehouse root, in place.
+
+    The columns are those of the files; a folder that was never written is registered
+    where ``known`` has its columns and left out otherwise, as nothing tells them.
+    """
     name = schema.split(".")[-1]
     root = warehouse if name == "default" else f"{warehouse.rstrip('/')}/{name}.db"
-    found = [t for t in child_folders(spark, root) if holds_data(spark, f"{root}/{t}")]
+    folders = {t: holds_data(spark, f"{root}/{t}") for t in child_folders(spark, root)}
+    found = [t for t, written in folders.items() if written or t in known]
     if not found:
         raise FileNotFoundError(f"no table folders under {root}")
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     for table in found:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.`{table}` USING {provider} LOCATION '{root}/{table}'")
+        columns = "" if folders[table] else f" ({_columns(known[table].fields)})"
+        cut = f" PARTITIONED BY (`{PARTITIONS[table]}`)" if columns and table in PARTITIONS else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.`{table}`{columns} USING {provider}{cut} LOCATION '{root}/{table}'")
         if any(c.isPartition for c in spark.catalog.listColumns(f"{schema}.`{table}`")):
             spark.catalog.recoverPartitions(f"{schema}.`{table}`")
     return found

@@ -123,8 +123,12 @@ SELECT l.conv_id, l.sheet_name, s.turn AS sheet_pos, l.sheet_index, l.descriptio
 FROM listed l LEFT JOIN sheets s ON l.conv_id = s.conv_id AND l.sheet_name = s.sheet_name
 UNION ALL
 SELECT conv_id, sheet_name, turn, turn, NULL FROM sheets WHERE NOT has_contents""",
-    "pending_files": """SELECT 's3://in/' || doc_id || ' v+1.zip' AS zip_uri, 's3://in/' || doc_id || '%20v+1.zip' AS path,
-n_chars AS length FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)""",
+    "pending_files": """WITH listed AS (
+  SELECT doc_id, n_chars, 's3://in/' || doc_id || '%20v+1%.zip' AS path FROM documents
+  UNION ALL SELECT doc_id, n_chars, 's3://in/' || doc_id || ' v+1%.zip' FROM documents WHERE doc_id % 3 = 0)
+SELECT CASE WHEN doc_id % 3 = 0 THEN path ELSE 's3://in/' || doc_id || ' v+1%.zip' END AS zip_uri, path, n_chars AS length FROM listed l
+WHERE NOT EXISTS (SELECT 1 FROM labels x WHERE x.quality = 1 AND x.doc_id = l.doc_id AND CASE
+  WHEN x.doc_id % 2 = 0 THEN contains(l.path, '%20') WHEN x.doc_id % 3 = 0 THEN NOT contains(l.path, '%20') ELSE true END)""",
     "uri_names": """SELECT page_id, string_split(url, '?')[1] || '/a b+' || page_id || '.ZIP' AS uri,
 'a b+' || page_id || '.ZIP' AS name, '.zip' AS extension FROM pages""",
     "sheet_titles": "SELECT doc_id, substring(source || '_' || lang || '.claims_extract_of_length_' || n_chars, 1, 31) AS title "
@@ -159,9 +163,24 @@ SELECT f || '.zip' AS zip_name, 'mem:/in/' || f || '.zip' AS zip_uri, CASE WHEN
   CASE WHEN NOT bad THEN n * {len(PART_COLUMNS) - 1} END AS facts
 FROM files""",
     "csv_ingest": unpivot("part", PART_COLUMNS, f"'{PART_COLUMNS[0]}' AS first_col_key,"),
-    "stream_ingest": unpivot("part", PART_COLUMNS, f"'{PART_COLUMNS[0]}' AS first_col_key,"),
+    "zip_ingest": unpivot(
+        "part",
+        PART_COLUMNS,
+        f"'part ' || {PART_FILE} || '.zip' AS zip_name, {PART_FILE} || '.csv' AS unzipped_name, CAST({PART_FILE} AS VARCHAR) AS sheet_name, "
+        f"CAST(0 AS BIGINT) AS sheet_index, row_number() OVER (PARTITION BY {PART_FILE} ORDER BY p_partkey) - 1 AS table_row_index, "
+        f"count(*) OVER (PARTITION BY {PART_FILE}) * {len(PART_COLUMNS) - 1} AS row_count, "
+        f"CAST(CASE WHEN {PART_FILE} % 7 = 3 THEN 2 ELSE 1 END AS BIGINT) AS attempts, CAST(1 AS BIGINT) AS loads, CAST(1 AS BIGINT) AS sheets, "
+        f"'{PART_COLUMNS[0]}' AS first_col_key,",
+    ),
+    "book_ingest": unpivot(
+        "part", PART_COLUMNS, f"'no zip' AS zip_name, 'unlisted' AS load_stamp, CAST(0 AS BIGINT) AS ledger_rows, '{PART_COLUMNS[0]}' AS first_col_key,"
+    ),
+    "stream_ingest": unpivot("part", PART_COLUMNS, f"'{PART_COLUMNS[0]}' AS first_col_key,")
+    + " UNION ALL SELECT 'late', CAST(p_partkey AS VARCHAR), 'value', 'value', CAST(p_size AS VARCHAR) FROM part",
     "table_lifecycle": "SELECT s_suppkey, s_name, CAST(NULL AS DOUBLE) AS s_acctbal FROM supplier "
-    "UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier",
+    "UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier "
+    "UNION ALL SELECT -1, 'it''s \"one\"; -- `row`', NULL "
+    "UNION ALL SELECT n_regionkey, n_name, NULL FROM nation",
     "latest_batch": f"SELECT user_id FROM {LATEST}",
     "batch_members": f"SELECT user_id, event_id, event_type FROM events WHERE user_id IN {LATEST}",
     "latest_row": "SELECT event_id, event_type FROM events ORDER BY event_id DESC LIMIT 1",
@@ -187,7 +206,7 @@ sums AS (
 SELECT event_type, iterations, total_seconds, total_seconds / iterations * 1000 AS avg_ms, lo * 1000 AS min_ms, p50 * 1000 AS p50_ms,
        p95 * 1000 AS p95_ms, hi * 1000 AS max_ms FROM sums""",
     "range_sum": "SELECT CAST(sum(l_linenumber) AS BIGINT) AS total FROM lineitem",
-    "mod_group": "SELECT o_custkey % 1000 AS grp, count(*) AS cnt, CAST(sum(o_custkey) AS BIGINT) AS s FROM orders GROUP BY 1",
+    "mod_group": "SELECT o_custkey % 1000 AS bucket, count(*) AS members, CAST(sum(o_custkey) AS BIGINT) AS bucket_sum FROM orders GROUP BY 1",
     "square_native": "SELECT CAST(sum(l_linenumber * l_linenumber) AS BIGINT) AS total FROM lineitem",
     "square_udf": "SELECT CAST(sum(l_linenumber * l_linenumber) AS BIGINT) AS total FROM lineitem",
     "md5_payload": "SELECT o_orderkey, md5(CAST(o_orderkey AS VARCHAR)) AS payload FROM orders",

@@ -16,10 +16,10 @@ from gridloom.operators.contents import listed_sheets, select_sheets
 from gridloom.operators.grid import compact, number_rows, overflow_message, sheet_status, wide_to_long
 from gridloom.operators.latency import latency_summary
 from gridloom.operators.pending import FAILED, LOADED, pending_files
-from gridloom.plans.ingest import decode_and_judge, grid_facts, load_bodies, load_listed, with_load_id
+from gridloom.plans.ingest import decode_and_judge, file_totals, grid_facts, load_bodies, load_listed, load_new_zips, load_workbook_files, with_load_id
 from gridloom.sources.listing import list_files
-from gridloom.sources.sinks import append_by_name, metric_rows
-from gridloom.sources.staging import new_folder, staged
+from gridloom.sources.sinks import append_by_name, insert_row, metric_rows
+from gridloom.sources.staging import make_folder, new_folder, staged
 from gridloom.sources.tables import FACTS, LEDGER, add_missing_columns, create_table, loaded_facts, register_folders
 from gridloom.streaming.arrivals import load_arrivals
 from query_set import tables as t
@@ -121,12 +121,19 @@ def toc_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two listed paths of one URI for every third document, one of them loaded; rows of an older ledger know no path."""
+
     def uri(tail: str):
         return F.concat(F.lit("s3://in/"), "doc_id", F.lit(tail))
 
-    listing = t.table(spark, sf_dir, "documents").select(uri("%20v+1.zip").alias("path"), F.col("n_chars").alias("length"))
+    docs = t.table(spark, sf_dir, "documents")
+    twins = F.when(F.col("doc_id") % 3 == 0, F.array(uri("%20v+1%.zip"), uri(" v+1%.zip"))).otherwise(F.array(uri("%20v+1%.zip")))
+    listing = docs.select(F.explode(twins).alias("path"), F.col("n_chars").alias("length"))
+    new = F.col("doc_id") % 2 == 0
     ledger = t.table(spark, sf_dir, "labels").select(
-        uri(" v+1.zip").alias("zip_uri"), F.when(F.col("quality") == 1, LOADED).otherwise(FAILED).alias("status")
+        uri(" v+1%.zip").alias("zip_uri"),
+        F.when(F.col("quality") == 1, LOADED).otherwise(FAILED).alias("status"),
+        F.when(new, uri("%20v+1%.zip")).alias("source_path"),
     )
     return pending_files(listing, ledger)
 
@@ -194,18 +201,49 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{schema}.{FACTS}").select("first_col_key", *PAIR)
 
 
+def zip_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested zips on storage are listed and loaded; broken ones fail, are mended and load with the second run, a third finds nothing."""
+    schema, folder = t.new_schema(spark), t.part_zip_folder(spark, sf_dir)
+    reports = [load_new_zips(spark, schema, folder)]
+    whole = t.part_zips(spark, sf_dir).withColumn("zip_name", F.concat(F.lit("part "), base_name(F.col("zip_uri"))))
+    failed = spark.table(f"{schema}.{LEDGER}").where(F.col("status") == FAILED).select("zip_name", "zip_uri", "source_path")
+    relative = F.replace(F.regexp_extract("source_path", "/zips/(.*)$", 1), F.lit(" "), F.lit("%20"))
+    t.write_files(whole.drop("zip_uri").join(failed, "zip_name").select(relative.alias("name"), "content"), folder)
+    reports += [load_new_zips(spark, schema, folder) for _ in range(2)]
+    totals = file_totals(spark, schema, reports[0] + reports[1] + reports[2]).select(base_name(F.col("zip_uri")).alias("zip_name"), "row_count")
+    attempts = spark.table(f"{schema}.{LEDGER}").groupBy("zip_name").agg(
+        F.count(F.lit(1)).alias("attempts"), F.count_if(F.col("status") == LOADED).alias("loads"), F.sum("sheet_count").alias("sheets")
+    )
+    facts = loaded_facts(spark, schema).select("zip_name", "unzipped_name", "sheet_name", "sheet_index", "table_row_index", "first_col_key", *PAIR)
+    return facts.join(totals, "zip_name").join(attempts, "zip_name")
+
+
+def book_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbooks that are in no zip: facts and no ledger row."""
+    schema, folder = t.new_schema(spark), t.part_csv_folder(spark, sf_dir)
+    load_workbook_files(spark, schema, folder, "no zip", "*.csv")
+    facts = spark.table(f"{schema}.{FACTS}").select("zip_name", "load_stamp", "first_col_key", *PAIR)
+    return facts.crossJoin(F.broadcast(spark.table(f"{schema}.{LEDGER}").agg(F.count(F.lit(1)).alias("ledger_rows"))))
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same through the stream, started twice."""
+    """The same through the stream, started twice. Between the starts a broken file is mended, and a file comes that looks old."""
     schema, folder = t.new_schema(spark), t.part_csv_folder(spark, sf_dir)
-    for _ in range(2):
-        load_arrivals(
-            spark, schema, folder, f"{folder}-checkpoint", retry_failed=False, name_glob="*.csv", zipped=False
-        ).awaitTermination()
+    parts = t.table(spark, sf_dir, "part")
+    late = F.concat_ws("\n", F.lit("late,value"), F.array_join(F.array_sort(F.collect_list(F.concat_ws(",", "p_partkey", "p_size"))), "\n"))
+    bodies = parts.groupBy((F.col("p_partkey") % 3).alias("file_no")).agg(late.cast("binary").alias("content"))
+    named = F.concat(F.lit("late"), "file_no", F.lit(".csv")).alias("name")
+    broken = F.concat(F.lit(b"\xff\xfe\xff"), "content").alias("content")
+    t.write_files(bodies.where("file_no < 2").select(named, broken), folder)
+    for mended in (False, True):
+        if mended:
+            t.write_files(bodies.select(named, "content"), folder)
+        load_arrivals(spark, schema, folder, f"{folder}-checkpoint", name_glob="*.csv", zipped=False).awaitTermination()
     return loaded_facts(spark, schema).select("first_col_key", *PAIR)
 
 
 def table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table gets a column, rows by name, and a second schema that registers its folder."""
+    """A table gets a column, rows by name and a literal row; a second schema registers its folder, a partitioned one and one never written."""
     suppliers = t.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
     warehouse, name = t.scratch(spark), t.unique_name()
     spark.sql(f"CREATE SCHEMA {name} LOCATION '{warehouse}/{name}.db'")
@@ -213,9 +251,18 @@ def table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     append_by_name(suppliers.select("s_name", "s_suppkey"), f"{name}.suppliers")
     add_missing_columns(spark, f"{name}.suppliers", suppliers.schema)
     append_by_name(suppliers.select("s_acctbal", "s_name", "s_suppkey"), f"{name}.suppliers")
+    insert_row(spark, f"{name}.suppliers", {"s_name": "it's \"one\"; -- `row`", "s_suppkey": -1})
     copy = staged(spark.table(f"{name}.suppliers"), "suppliers", f"{warehouse}/copy_{name}.db")
+    staged(t.table(spark, sf_dir, "nation").select("n_name", "n_regionkey"), "nations", f"{warehouse}/copy_{name}.db", split_by="n_regionkey")
+    make_folder(spark, f"{warehouse}/copy_{name}.db/{LEDGER}")
     register_folders(spark, f"copy_{name}", warehouse)
-    return spark.table(f"copy_{name}.suppliers").select(copy.columns)
+    nations = spark.table(f"copy_{name}.nations").select(
+        F.col("n_regionkey").cast("long").alias("s_suppkey"), F.col("n_name").alias("s_name"), F.lit(None).cast("double").alias("s_acctbal")
+    )
+    empty = spark.table(f"copy_{name}.{LEDGER}").select(
+        F.col("row_count").alias("s_suppkey"), F.col("zip_name").alias("s_name"), F.lit(None).cast("double").alias("s_acctbal")
+    )
+    return spark.table(f"copy_{name}.suppliers").select(copy.columns).unionByName(nations).unionByName(empty)
 
 
 def latest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,6 +364,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xlsx_roundtrip": xlsx_facts,
     "zip_ledger": zip_ledger,
     "csv_ingest": csv_ingest,
+    "zip_ingest": zip_ingest,
+    "book_ingest": book_ingest,
     "stream_ingest": stream_ingest,
     "table_lifecycle": table_lifecycle,
     "latest_batch": latest_batch,

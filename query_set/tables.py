@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from gridloom.sources.staging import shared_folder
+from gridloom.sources.staging import new_folder
 from gridloom.sources.tables import create_tables
 from query_set.samples import xlsx_bytes, zip_bytes
 
@@ -113,8 +116,36 @@ def part_csv_folder(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+def write_files(files: DataFrame, folder: str) -> int:
+    """Writes each row (``name``, ``content``) as a file of its own; a task that runs again writes the same. Their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = folder.removeprefix("file:") if folder.startswith("file:") else folder
+        storage, root = fs.FileSystem.from_uri(place)
+        for batch in batches:
+            for name, content in zip(*(batch.column(c) for c in ("name", "content")), strict=True):
+                path = f"{root}/{name.as_py()}"
+                storage.create_dir(path.rpartition("/")[0], recursive=True)
+                with storage.open_output_stream(path) as out:
+                    out.write(content.as_buffer())
+            yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
+
+    return files.select("name", "content").mapInArrow(run, "files long").agg(F.sum("files")).first()[0] or 0
+
+
+def part_zip_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The zips of :func:`part_zips` on storage, in two folders; every seventh is broken."""
+    folder = f"{scratch(spark)}/zips"
+    number = F.regexp_extract("zip_uri", r"(\d+)\.zip$", 1).cast("long")
+    place = F.when(number % 2 == 0, F.lit("even/part%20")).otherwise(F.lit("odd/part%20"))
+    zips = part_zips(spark, sf_dir).select(number.alias("file_no"), F.concat(place, number, F.lit(".zip")).alias("name"), "content")
+    write_files(zips.withColumn("content", F.when(F.col("file_no") % 7 == 3, F.substring("content", 1, 40)).otherwise(F.col("content"))), folder)
+    return folder
+
+
 def scratch(spark: SparkSession) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/queries/{uuid.uuid4().hex}"
+    """A folder of its own, deleted when the driver ends."""
+    return new_folder(spark, "queries")
 
 
 def unique_name() -> str:
