@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import random
 import re
+import time
 import uuid
 
 import pytest
@@ -344,3 +345,142 @@ def test_partitioned_folder_registers_with_its_rows(spark, tmp_path):
     assert register_folders(spark, name, str(tmp_path)) == ["t"]
     assert spark.table(f"{name}.t").count() == 10
     spark.sql(f"DROP SCHEMA {name} CASCADE")
+
+
+def listing_of(spark, folder):
+    files = list_files(spark, str(folder))
+    return spark.createDataFrame(files.collect(), files.schema)
+
+
+def test_second_path_of_a_uri_is_loaded_once(spark, schema, tmp_path):
+    folder = put(tmp_path / "in", {"e%20f.zip": zip_bytes({"a.csv": "Y,A\n1,x\n"})})
+    assert ingest.load_new_zips(spark, schema, folder).loaded == 1
+    put(tmp_path / "in", {"e f.zip": zip_bytes({"a.csv": "Y,A\n2,y\n"})})
+    assert [r["path"].rpartition("/")[2] for r in pending_files(list_files(spark, folder), spark.table(f"{schema}.{LEDGER}")).collect()] == ["e f.zip"]
+    assert ingest.load_new_zips(spark, schema, folder).loaded == 1
+    assert ingest.load_new_zips(spark, schema, folder) == ingest.LoadReport()
+    assert sorted(r["first_col_val"] for r in facts(spark, schema).collect()) == ["1", "2"]
+
+
+def test_ledger_rows_without_a_path_cover_their_uri(spark):
+    listed = spark.createDataFrame([("a%20b", 1), ("c d", 1), ("c%20d", 2), ("x%zz%20", 3)], "path string, length long")
+    old = spark.createDataFrame([("a b", "loaded"), ("c d", "loaded"), ("x%zz ", "failed")], "zip_uri string, status string")
+    assert sorted(map(tuple, pending_files(listed, old).collect())) == [("c%20d", "c%20d", 2), ("x%zz ", "x%zz%20", 3)]
+
+
+def test_lost_storage_is_an_error_and_no_ledger_row(spark, schema, tmp_path):
+    put(tmp_path / "in", {f"{k}.zip": zip_bytes({"a.csv": ENROLL}) for k in range(5)})
+    listing = listing_of(spark, tmp_path / "in")
+    (tmp_path / "in").rename(tmp_path / "elsewhere")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        ingest.load_listed(spark, schema, listing)
+    assert spark.table(f"{schema}.{LEDGER}").count() == facts(spark, schema).count() == 0
+    (tmp_path / "elsewhere").rename(tmp_path / "in")
+    assert ingest.load_listed(spark, schema, listing).loaded == 5
+
+
+def test_bodies_that_never_arrive_fail_without_halving(spark, schema, tmp_path, monkeypatch):
+    put(tmp_path / "in", {f"{k}.zip": zip_bytes({"a.csv": "Y,A\n1,x\n"}) for k in range(40)})
+    listing = listing_of(spark, tmp_path / "in")
+    jobs, read = [], ingest.read_bodies
+
+    def unreadable(*args, **options):
+        jobs.append(1)
+        return read(*args, **options).where(~F.col("path").endswith("/7.zip"))
+
+    monkeypatch.setattr(ingest, "read_bodies", unreadable)
+    assert ingest.load_listed(spark, schema, listing) == ingest.LoadReport(loaded=39, failed=1, rows=39)
+    assert len(jobs) == 1
+    row = ledger(spark, schema)["7.zip"]
+    assert (row["status"], row["error_message"]) == ("failed", ingest.NOT_DELIVERED) and row["source_path"].endswith("/7.zip")
+    monkeypatch.setattr(ingest, "read_bodies", lambda *args, **options: read(*args, **options).where("false"))
+    put(tmp_path / "in", {f"more{k}.zip": b"x" for k in range(2)})
+    with pytest.raises(OSError, match="none of 3 listed files can be read"):
+        ingest.load_listed(spark, schema, listing_of(spark, tmp_path / "in"))
+    assert spark.table(f"{schema}.{LEDGER}").count() == 40
+
+
+@pytest.mark.parametrize("bad", [{"3.zip"}, set()])
+def test_crashing_bodies_are_cornered_and_a_crashing_cluster_is_not_booked(spark, schema, tmp_path, monkeypatch, bad):
+    put(tmp_path / "in", {f"{k}.zip": zip_bytes({"a.csv": "Y,A\n1,x\n"}) for k in range(9)})
+    load = ingest._load_piece
+
+    def crashing(spark, schema, files, zipped):
+        if not bad or any(f["path"].rpartition("/")[2] in bad for f in files):
+            raise RuntimeError("Python worker exited unexpectedly (crashed)")
+        return load(spark, schema, files, zipped)
+
+    monkeypatch.setattr(ingest, "_load_piece", crashing)
+    if bad:
+        assert ingest.load_listed(spark, schema, list_files(spark, str(tmp_path / "in"))) == ingest.LoadReport(loaded=8, failed=1, rows=8)
+        assert "crashed" in ledger(spark, schema)["3.zip"]["error_message"]
+    else:
+        with pytest.raises(RuntimeError, match="crashed"):
+            ingest.load_listed(spark, schema, list_files(spark, str(tmp_path / "in")))
+        assert spark.table(f"{schema}.{LEDGER}").count() == 0
+
+
+def test_a_load_lost_between_its_sinks_leaves_nothing(spark, schema, tmp_path, monkeypatch):
+    folder = put(tmp_path / "in", {"a.zip": zip_bytes({"a.csv": "Y,A\n1,x\n2,y\n"})})
+    append = ingest.append_by_name
+
+    def killed(df, table):
+        if table.endswith(LEDGER):
+            raise KeyboardInterrupt
+        append(df, table)
+
+    monkeypatch.setattr(ingest, "append_by_name", killed)
+    with pytest.raises(KeyboardInterrupt):
+        ingest.load_new_zips(spark, schema, folder)
+    monkeypatch.setattr(ingest, "append_by_name", append)
+    ingest.load_workbook_files(spark, schema, put(tmp_path / "books", {"b.csv": "Y,A\n5,x\n"}))
+    assert facts(spark, schema).count() == 3 and loaded_facts(spark, schema).count() == 0
+    report = ingest.load_new_zips(spark, schema, folder)
+    assert report == ingest.LoadReport(loaded=1, rows=2)
+    assert sorted(r["first_col_val"] for r in facts(spark, schema).collect()) == ["1", "2", "5"]
+    assert [tuple(r)[1] for r in ingest.file_totals(spark, schema, report).collect()] == [2]
+
+
+def test_only_partitions_of_finished_loads_are_read(spark, schema, tmp_path):
+    folder = put(tmp_path / "in", {f"{k}.zip": zip_bytes({"a.csv": "Y,A\n1,x\n"}) for k in range(3)})
+    ingest.load_new_zips(spark, schema, folder, slice_files=1)
+    found = loaded_facts(spark, schema, since="2000")
+    plan = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    assert re.search(r"PartitionFilters: \[.*load_stamp#\d+ >= 2000", plan) and "dynamicpruning" in plan
+    assert found.count() == 3 and loaded_facts(spark, schema, since="9999").count() == 0
+
+
+def test_quiet_and_mended_files_load_without_an_arrival(spark, schema, tmp_path):
+    folder = tmp_path / "in"
+    put(folder, {"bad.zip": b"broken", "a.zip": zip_bytes({"a.csv": "Y,A\n1,x\n"})})
+    query = load_arrivals(spark, schema, str(folder), str(tmp_path / "check"), available_now=False, quiet_seconds=4, trigger="1 second")
+
+    def wait_for(names):
+        deadline = time.time() + 90
+        while time.time() < deadline:
+            spark.catalog.refreshTable(f"{schema}.{LEDGER}")
+            rows = spark.table(f"{schema}.{LEDGER}").collect()
+            if {r["zip_name"] for r in rows if r["status"] == "loaded"} == names:
+                return rows
+            time.sleep(1)
+        raise AssertionError(f"still {rows}")
+
+    try:
+        wait_for({"a.zip"})
+        put(folder, {"last.zip": zip_bytes({"a.csv": "Y,A\n2,x\n"})})
+        wait_for({"a.zip", "last.zip"})
+        put(folder, {"bad.zip": zip_bytes({"a.csv": "Y,A\n3,x\n"})})
+        rows = wait_for({"a.zip", "last.zip", "bad.zip"})
+    finally:
+        query.stop()
+    # A file that fails is not tried again at every tick.
+    assert sum(r["zip_name"] == "bad.zip" for r in rows) <= 3
+
+
+def test_folder_never_written_registers_with_known_columns(spark, tmp_path):
+    name = f"reg_{uuid.uuid4().hex[:8]}"
+    for table in (FACTS, LEDGER, "unknown"):
+        (tmp_path / f"{name}.db" / table).mkdir(parents=True)
+    assert register_folders(spark, name, str(tmp_path)) == sorted([FACTS, LEDGER])
+    assert spark.table(f"{name}.{FACTS}").count() == spark.table(f"{name}.{LEDGER}").count() == 0
+    spark.sql(f"DROP SCHEMA {name} CASCADE")

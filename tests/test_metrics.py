@@ -159,7 +159,7 @@ def test_rates(spark):
 def test_numbers(spark):
     ids = spark.range(100)
     assert numbers.total_of(ids, F.col("id")).first()[0] == 4950
-    groups = {r["grp"]: (r["cnt"], r["s"]) for r in numbers.totals_by(ids, F.col("id") % 3, F.col("id")).collect()}
+    groups = {r["bucket"]: (r["members"], r["bucket_sum"]) for r in numbers.totals_by(ids, F.col("id") % 3, F.col("id")).collect()}
     assert groups == {g: (len(range(g, 100, 3)), sum(range(g, 100, 3))) for g in range(3)}
     squares = sum(i * i for i in range(100))
     assert numbers.total_of_squares(ids, "id").first()[0] == numbers.total_of_squares(ids, "id", numbers.times_itself_in_python).first()[0] == squares
