@@ -27,7 +27,7 @@ from gridloom.llm.batches import SLICE_BYTES, sliced
 from gridloom.llm.components import written
 
 # Text bytes and rows of a block, and text bytes whose keys come to one bucket.
-BLOCK_BYTES, BLOCK_ROWS, BUCKET_BYTES = 16 << 20, 1 << 16, 12 << 20
+BLOCK_BYTES, BLOCK_ROWS, BUCKET_BYTES = 4 << 20, 1 << 16, 4 << 20
 
 # Sorted distinct keys, one row per 64-bit word of them, and their figures, one row per figure.
 Keys = tuple[np.ndarray, np.ndarray]
@@ -37,13 +37,25 @@ REPLY = "block long, first int, rows int, kind int, bucket int, n int, figures b
 
 
 def packed(rows: np.ndarray) -> bytes:
-    """64-bit numbers by planes of equal bytes: what is zero throughout nearly vanishes when compressed."""
-    return b"".join(np.ascontiguousarray(r).view(np.uint8).reshape(-1, 8).T.tobytes() for r in rows)
+    """Rows of 64-bit numbers, each with as many bytes a number as its largest one needs, after their count; low bytes first."""
+    parts = []
+    for row in rows:
+        row = np.ascontiguousarray(row).view(np.uint64)
+        width = max(1, -(-int(row.max(initial=0)).bit_length() // 8))
+        parts += [bytes([width]), row.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()]
+    return b"".join(parts)
 
 
 def unpacked(data: bytes, n: int, dtype: type) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(-1, 8, n) if n else np.zeros((1, 8, 0), np.uint8)
-    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(dtype)[:, :, 0]
+    """The rows of :func:`packed`, of ``n`` numbers each."""
+    rows, at = [], 0
+    while at < len(data):
+        width = data[at]
+        row = np.zeros((n, 8), np.uint8)
+        row[:, :width] = np.frombuffer(data, np.uint8, width * n, at + 1).reshape(width, n).T
+        rows.append(row.view(dtype)[:, 0])
+        at += 1 + width * n
+    return np.stack(rows)
 
 
 def in_blocks(source: DataFrame, name: str, folder: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:

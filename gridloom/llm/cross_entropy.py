@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.llm import block_keys
-from gridloom.llm.batches import joined_hashes, prefix_sums, span_hashes, text_bytes, word_spans
+from gridloom.llm.batches import joined_hashes, prefix_sums, sliced, span_hashes, text_bytes, word_spans
 from gridloom.llm.components import written
 from gridloom.sources.staging import discard, new_folder
 
@@ -39,15 +39,20 @@ PAIRS, WORDS = 0, 1
 ADDED = ("n_tokens", "target_loss", "background_loss", "score")
 
 
-def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each word of all rows the one before it, itself and the hash of both, and the first word of each row."""
-    data, offsets = text_bytes(column)
-    starts, ends, firsts = word_spans(data, offsets)
-    own = span_hashes(prefix_sums(data, lower=True), starts, ends)
-    before = np.concatenate([[BEGIN], own[:-1]]) if len(own) else own
-    before[firsts[:-1][firsts[:-1] < len(own)]] = BEGIN
-    pairs = joined_hashes(np.column_stack([before, own]).ravel(), 2)[::2]
-    return before, own, pairs, firsts
+def tokens(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each word of all rows its hash and that of it and the one before it, and the first word of each row."""
+    owns, both, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    # Sums of all bytes are held while words are hashed, so a part of the rows is taken at a time.
+    for part in sliced(rows, "text"):
+        data, offsets = text_bytes(part.column("text"))
+        starts, ends, firsts = word_spans(data, offsets)
+        own = span_hashes(prefix_sums(data, lower=True), starts, ends)
+        before = np.concatenate([[BEGIN], own[:-1]]) if len(own) else own
+        before[firsts[:-1][firsts[:-1] < len(own)]] = BEGIN
+        owns.append(own)
+        both.append(joined_hashes(np.column_stack([before, own]).ravel(), 2)[::2])
+        counts.append(np.diff(firsts))
+    return np.concatenate(owns), np.concatenate(both), np.append(0, np.cumsum(np.concatenate(counts)))
 
 
 def sources(docs: DataFrame, target: DataFrame | Column, background: DataFrame | None, text: str) -> DataFrame:
@@ -77,7 +82,7 @@ def grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def asked(rows: pa.RecordBatch) -> list[block_keys.Keys]:
     """Distinct pairs with their counts, and words with how often they come and come before another, for target and background."""
-    _, own, pairs, firsts = tokens(rows.column("text"))
+    own, pairs, firsts = tokens(rows)
     if not len(own):
         return []
     of_row = marks(rows)
@@ -116,7 +121,7 @@ def model_loss(of_pair: np.ndarray, of_own: np.ndarray, of_before: np.ndarray, t
 
 def scored(rows: pa.RecordBatch, found: list[np.ndarray], totals: tuple[int, int], distinct: int) -> dict:
     """Losses of the rows of a block from the counts of its pairs and words."""
-    _, own, pairs, firsts = tokens(rows.column("text"))
+    own, pairs, firsts = tokens(rows)
     n = np.diff(firsts)
     sums = np.zeros((2, len(n)))
     if len(own):
