@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.batches import arrow_map, fresh, sliced
+from gridloom.llm.batches import arrow_map, fresh, least_hashed, sliced
 from gridloom.llm.components import written
 from gridloom.sources.staging import discard, new_folder
 
@@ -55,10 +56,12 @@ SECRET_WORDS = "password passwd pwd token secret apikey api_key access_key auth
 HARMLESS_WORDS = "commit sha sha1 sha256 md5 checksum hash digest uuid guid revision version isbn id build etag example".split()
 _PLACEHOLDER = re.compile(r"(?i)example|sample|dummy|placeholder|change.?me|your[_-]|xxxx|test|<|\*\*\*|0000|1234567")
 _STRICT = re.compile("|".join(f"(?P<{name}>{form})" for name, form in STRICT.items()))
+# A whole name that holds a secret word, a sign, a value. Runs are taken whole and never given back, so a text is passed over once.
 _ASSIGNED = re.compile(
-    r"(?i)(?:" + "|".join(re.escape(w) for w in SECRET_WORDS) + r")[\w-]{0,20}[\"']?\s{0,3}(?:[:=]|=>)\s{0,3}[\"']?(?P<assigned>[^\s\"'<>,;]{6,})"
+    r"(?i)(?<![\w-])(?=[\w-]*?(?:" + "|".join(re.escape(w) for w in SECRET_WORDS) + r"))[\w-]++[\"']?\s{0,3}(?:[:=]|=>)\s{0,3}[\"']?(?P<assigned>[^\s\"'<>,;]{6,}+)"
 )
-_LONG = re.compile(r"(?<![A-Za-z0-9+/=_.@-])(?=[A-Za-z+/=_-]{0,60}[0-9])(?P<long>[A-Za-z0-9+/=_-]{20,})(?![A-Za-z0-9+/=_@-])")
+_LONG = re.compile(r"(?<![A-Za-z0-9+/=_.@-])(?P<long>[A-Za-z0-9+/=_-]{20,}+)(?!@)")
+_DIGIT = re.compile("[0-9]")
 
 FEATURES = (
     "length digits uppers lowers symbols transitions entropy surprise dictionary slashes path_before dotted assigned secret_word harmless_word "
@@ -73,13 +76,14 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     if any(w in lower for w in SECRET_WORDS):
         found += [(*m.span("assigned"), "assigned") for m in _ASSIGNED.finditer(text)]
     if any(d in text for d in "0123456789"):
-        found += [(*m.span("long"), "long") for m in _LONG.finditer(text)]
-    kept, spans = [], []
-    for a, b, kind in found:
-        if all(b <= x or a >= y for x, y in spans[-200:]) and all(b <= x or a >= y for x, y in spans[:-200]):
-            kept.append((a, b, kind))
-            spans.append((a, b))
-    return sorted(kept)
+        found += [(*m.span("long"), "long") for m in _LONG.finditer(text) if _DIGIT.search(m["long"])]
+    # Kept spans do not overlap, so of those in order of their begin only two neighbours can meet a new one.
+    kept: list[tuple[int, int, str]] = []
+    for span in found:
+        at = bisect_left(kept, span)
+        if (not at or kept[at - 1][1] <= span[0]) and (at == len(kept) or span[1] <= kept[at][0]):
+            kept.insert(at, span)
+    return kept
 
 
 def _may_be_strict(text: str) -> bool:
@@ -298,7 +302,7 @@ class SecretModel:
 def fit_secrets(docs: DataFrame, text: str = "text", rows: int = FIT_ROWS, more: list[tuple[str, int, int, str, int]] = ()) -> SecretModel:
     """Fits on findings in a bounded sample of ``docs`` and on ``more`` labelled ones, with the language of all ``docs``."""
     texts = docs.select(F.col(text).alias("text")).where("length(text) > 0")
-    sample = [r["text"] for r in texts.orderBy(F.xxhash64("text"), "text").limit(rows).collect()]
+    sample = [r["text"] for r in least_hashed(texts, rows).collect()]
     language = language_of(docs, text)
     findings = [*labelled_findings(sample), *more]
     x = np.array([features(t, a, b, k, language) for t, a, b, k, _ in findings]).reshape(-1, len(FEATURES))
