@@ -28,13 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.batches import arrow_map, fresh, sliced
+from gridloom.llm.batches import arrow_map, fresh, least_hashed, sliced
 
 FIT_PAGES = 250
 PATH_SIZE, WORD_SIZE, FIGURES = 48, 24, 6
 HIDDEN = 16
-# Words of a block that are hashed for its vector come from all over it, evenly spread.
-WORDS_READ = 24
 
 # Elements of HTML by their part in the layout.
 SKIPPED = "script style noscript template title svg math iframe object textarea select option datalist audio video canvas".split()
@@ -132,14 +130,21 @@ def _slot(word: str, size: int) -> tuple[int, float]:
     return h % size, 1.0 if h & 0x10000 else -1.0
 
 
-_slots: dict[tuple[str, int], tuple[int, float]] = {}
+# Slot of a word, counted from one and negative where it counts down.
+_places: dict[str, int] = {}
+
+
+def _place(word: str) -> int:
+    slot, sign = _slot(word.lower(), WORD_SIZE)
+    _places[word] = place = int(sign) * (slot + 1)
+    return place
 
 
 def vectors(page: list[Block]) -> np.ndarray:
     """A row per block."""
     x = np.zeros((len(page), PATH_SIZE + WORD_SIZE + FIGURES), np.float32)
-    if len(_slots) > 200_000:
-        _slots.clear()
+    if len(_places) > 200_000:
+        _places.clear()
     total = sum(len(b.text) for b in page) or 1
     paths: dict[tuple[str, ...], np.ndarray] = {}
     for k, b in enumerate(page):
@@ -152,10 +157,9 @@ def vectors(page: list[Block]) -> np.ndarray:
             paths[b.path] = row = np.clip(row, -2, 2)
         x[k, :PATH_SIZE] = row
         words = b.text.split(" ")
-        read = words if len(words) <= WORDS_READ else words[:: -(-len(words) // WORDS_READ)]
-        for word in read:
-            known = _slots.get((word, 0)) or _slots.setdefault((word, 0), _slot(word.lower(), WORD_SIZE))
-            x[k, PATH_SIZE + known[0]] += known[1] / len(read)
+        places = np.fromiter((_places.get(w) or _place(w) for w in words), np.int64, len(words))
+        signs = np.where(places > 0, 1.0, -1.0)
+        x[k, PATH_SIZE : PATH_SIZE + WORD_SIZE] = np.bincount(np.abs(places) - 1, signs, WORD_SIZE) / len(words)
         x[k, PATH_SIZE + WORD_SIZE :] = (
             np.log1p(len(b.text)) / 5,
             b.linked,
@@ -355,7 +359,7 @@ def made_up(r: random.Random, pool: list[str], bits: list[str]) -> tuple[list[Bl
 def fit_labeller(pages: DataFrame, html: str = "html", url: str = "url", rows: int = FIT_PAGES) -> Labeller:
     """Trains on a bounded sample of the pages."""
     some = pages.select(F.col(html).alias("h"), F.col(url).alias("u")).where("length(h) > 0")
-    read = [blocks(r["h"]) for r in some.orderBy(F.xxhash64("u", "h"), "u", "h").limit(rows).collect()]
+    read = [blocks(r["h"]) for r in least_hashed(some, rows).collect()]
     x, y = [], []
     for page in read:
         labels = [told(b) for b in page]
