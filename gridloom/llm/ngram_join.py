@@ -125,9 +125,20 @@ def _summaries(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _common_order(base: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The common shingles, sorted, and the place of each among them; bounded by ``COMMON_SHINGLES``."""
+    """The common shingles, sorted, and the place of each among them; at most ``COMMON_SHINGLES``.
+
+    How many there are of each sixteenth of a doubling in number tells from which on they are
+    few enough; only those come to the driver.
+    """
     common = base.where("kind = 1").groupBy(F.col("doc_id").alias("shingle")).agg(F.sum("n").alias("times"))
-    top = common.orderBy(F.desc("times"), "shingle").limit(COMMON_SHINGLES).toArrow()
+    level = F.floor(F.log2("times") * 16).cast("int")
+    held, least = 0, None
+    for row in sorted(common.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
+        held += row["count"]
+        if held > COMMON_SHINGLES:
+            break
+        least = row["level"]
+    top = common.where(level >= least if least is not None else F.lit(False)).toArrow()
     shingles = top.column("shingle").to_numpy().astype(np.int64).view(np.uint64)
     place = np.lexsort([shingles, top.column("times").to_numpy()])
     rank = np.empty(len(place), np.int64)
