@@ -101,6 +101,7 @@ def piece_digests(encoded: DataFrame) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"),
         # Where the last piece ends in the original text.
         F.try_element_at("ends", F.lit(-1)).cast("long").alias("n_bytes"),
+        F.xxhash64("begins", "ends").alias("spans_hash"),
     )
 
 

@@ -1,9 +1,9 @@
 """SentencePiece BPE encoding with offsets, and decoding.
 
-Normalisation walks the compiled character map of the model: at each place the longest
-key that is a prefix of the rest is replaced by its value, any other character stays.
-Every normalised byte keeps the range of original bytes it came from, so each piece is
-projected to a span of the original text.
+Normalisation walks the compiled character map of the model, the same way for every model:
+at each place the longest key that is a prefix of the rest is replaced by its value, any
+other character stays; an empty map leaves all. Every normalised byte keeps the range of
+original bytes it came from, so each piece is projected to a span of the original text.
 
 The merges themselves are done on the normalised text by the sentencepiece package, with
 the model's own normalisation switched off.
@@ -15,6 +15,7 @@ asked for. A lone surrogate or broken byte cannot occur in a Spark string.
 from __future__ import annotations
 
 import codecs
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +43,29 @@ class CharacterMap:
         size = int.from_bytes(compiled[:4], "little") if compiled else 0
         self.units = np.frombuffer(compiled, "<u4", size // 4, 4).tolist() if compiled else []
         self.values = compiled[4 + size :]
+        # Length of the key that :meth:`walk` gave the value of.
+        self.taken = 0
+        root = _offset(self.units[0]) if self.units else 0
+        self.begins = np.array([bool(self.units) and self.units[root ^ b] & 0x800000FF == b for b in range(256)])
+
+    def walk(self, data: bytes) -> Iterator[tuple[int, bytes, bool]]:
+        """The parts of ``data`` in order: where a part begins, its value, and whether it stays as it is.
+
+        The longest key that is a prefix of the rest is replaced; characters without one stay,
+        and go on together up to the next. Only places whose byte can begin a key are looked up.
+        """
+        at = 0
+        for place in np.flatnonzero(self.begins[np.frombuffer(data, np.uint8)]).tolist():
+            if place < at:
+                continue
+            taken, value = self.longest(data, place)
+            if taken:
+                if place > at:
+                    yield at, data[at:place], True
+                self.taken, at = taken, place + taken
+                yield place, value, False
+        if at < len(data):
+            yield at, data[at:], True
 
     def longest(self, data: bytes, at: int) -> tuple[int, bytes]:
         """Length of the longest key at ``at`` and its value; length 0 where there is none."""
@@ -110,70 +134,69 @@ class PieceModel:
         self.word_ids: list[list[int]] = []
         self.word_bytes: list[list[int]] = []
 
-    def normalised(self, text: str) -> tuple[str, np.ndarray]:
-        """The text that is encoded, and for each of its bytes and its end the original byte offset."""
-        space = SPACE if self.escape else " "
+    def normalised(self, text: str) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """The text that is encoded, and for each of its bytes begin and end of the original bytes it stands for."""
         data = text.encode()
-        if not data:
-            return "", np.zeros(1, np.int64)
-        if not self.map.units and not self.squeeze:
-            # Every character is its own value: only spaces change.
-            codes = np.frombuffer(data, np.uint8)
-            widths = np.where(codes == 32, len(space.encode()), 1)
-            align = np.append(np.repeat(np.arange(len(data)), widths), len(data))
-            out = text.replace(" ", space)
-            if self.prefix:
-                out, align = space + out, np.concatenate([np.zeros(len(space.encode()), np.int64), align])
-            return out, align
-        parts, origins = [], []
-        at = 0
-        while at < len(data):
-            taken, value = self.map.longest(data, at)
-            if not taken:
-                taken = next(k for k in (1, 2, 3, 4) if at + k >= len(data) or data[at + k] & 0xC0 != 0x80)
-                value = data[at : at + taken]
-            parts.append(value)
-            origins.append((at, at + taken))
-            at += taken
-        if self.squeeze:
-            while parts and not parts[0].strip(b" "):
-                del parts[0], origins[0]
-        out, align = bytearray(), []
-        escaped = space.encode()
-        if parts and self.prefix:
-            out += escaped
-            align += [origins[0][0]] * len(escaped)
+        space = (SPACE if self.escape else " ").encode()
+        parts, begins, ends = [], [], []
         blank = self.squeeze
-        for value, (start, _) in zip(parts, origins, strict=True):
-            if blank:
-                value = value.lstrip(b" ")
-            for byte in value:
-                piece = escaped if byte == 32 else bytes([byte])
-                out += piece
-                align += [start] * len(piece)
-            if value:
-                blank = self.squeeze and value.endswith(b" ")
-        if self.squeeze:
-            while out.endswith(escaped):
-                del out[-len(escaped) :], align[-len(escaped) :]
-        end = next((e for (s, e) in reversed(origins) if align and s <= align[-1]), 0)
-        return out.decode(), np.array([*align, end], np.int64)
+        for begin, value, stays in self.map.walk(data):
+            for at, run in self._runs(value) if stays and self.squeeze else [(0, value)]:
+                dropped = len(run) - len(run.lstrip(b" ")) if blank else 0
+                run = run[dropped:]
+                if not run:
+                    continue
+                blank = self.squeeze and run.endswith(b" ")
+                codes = np.frombuffer(run, np.uint8)
+                if stays:
+                    # A byte stands for the whole character it belongs to.
+                    first = begin + at + dropped
+                    lead = np.flatnonzero(codes & 0xC0 != 0x80)
+                    size = np.diff(np.append(lead, len(run)))
+                    own, stop = (np.repeat(v, size) for v in (first + lead, first + lead + size))
+                else:
+                    own, stop = np.full(len(run), begin), np.full(len(run), begin + self.map.taken)
+                if len(space) > 1:
+                    widths = np.where(codes == 32, len(space), 1)
+                    own, stop, run = np.repeat(own, widths), np.repeat(stop, widths), run.replace(b" ", space)
+                if not parts and self.prefix:
+                    parts.append(space)
+                    begins.append(np.full(len(space), own[0]))
+                    ends.append(np.full(len(space), own[0]))
+                parts.append(run)
+                begins.append(own)
+                ends.append(stop)
+        if data and not parts and self.prefix and not self.squeeze:
+            parts, begins, ends = [space], [np.zeros(len(space), np.int64)], [np.full(len(space), len(data))]
+        out = b"".join(parts)
+        none = np.zeros(0, np.int64)
+        begins, ends = (np.concatenate([none, *x]) for x in (begins, ends))
+        while self.squeeze and out.endswith(space):
+            out = out[: -len(space)]
+        return out, begins[: len(out)], ends[: len(out)]
+
+    @staticmethod
+    def _runs(value: bytes) -> Iterator[tuple[int, bytes]]:
+        """Spaces one by one, and what lies between them."""
+        return ((m.start(), m.group()) for m in re.finditer(rb" |[^ ]+", value))
 
     def encode(self, texts: list[str], end_id: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Per text: ids, and the first and last original byte offset of each piece."""
         normal = [self.normalised(t) for t in texts]
-        for (out, align), ids in zip(normal, self.merges.encode([n for n, _ in normal], num_threads=1), strict=True):
+        for (out, begins, ends), ids in zip(normal, self.merges.encode([n.decode() for n, _, _ in normal], num_threads=1), strict=True):
             ids = np.array(ids, np.int32)
             if (ids == self.unknown).any():
                 # An unknown piece is as long as the characters it stands for.
-                pieces = self.merges.encode(out, out_type=str)
+                pieces = self.merges.encode(out.decode(), out_type=str)
                 sizes = [1 if i in self.bytes else len(p.encode()) for i, p in zip(ids.tolist(), pieces, strict=True)]
             else:
                 sizes = self.sizes[ids]
-            spans = align[np.cumsum(np.concatenate([[0], sizes]).astype(np.int64))]
+            stops = np.cumsum(sizes, dtype=np.int64)
+            first, last = begins[stops - sizes], ends[stops - 1]
             if end_id:
-                ids, spans = np.append(ids, np.int32(self.end)), np.append(spans, spans[-1])
-            yield ids, spans[:-1].astype(np.int32), spans[1:].astype(np.int32)
+                end = last[-1:] if len(last) else np.zeros(1, np.int64)
+                ids, first, last = np.append(ids, np.int32(self.end)), np.append(first, end), np.append(last, end)
+            yield ids, first.astype(np.int32), last.astype(np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of a sequence of ids, as far as ids keep it."""
@@ -220,8 +243,8 @@ class _Shared:
 def encode(df: DataFrame, model_path: str, text: str = "text", end_id: bool = True, decoded: bool = False) -> DataFrame:
     """``df`` without ``text``, plus ``ids``, ``begins``, ``ends`` (arrays of int), and ``decoded`` if asked for.
 
-    ``begins`` and ``ends`` are byte offsets of the pieces in the original UTF-8 text;
-    bytes of one character that falls back to bytes share its span. New columns
+    ``begins`` and ``ends`` are byte offsets of the pieces in the original UTF-8 text, always
+    at characters: the pieces of one that falls back to bytes share its span. New columns
     replace old ones of the same name.
     """
     added = ["ids", "begins", "ends"] + ["decoded"] * decoded
