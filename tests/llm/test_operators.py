@@ -11,7 +11,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-from gridloom.llm import block_keys, chunk_dedup, cross_entropy, decontamination, html_extraction, neighbours, repeated_substrings, secrets, sentencepieces, toxicity
+from gridloom.llm import batches, block_keys, chunk_dedup, cross_entropy, decontamination, html_extraction, neighbours, repeated_substrings, secrets, sentencepieces, toxicity
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 ODD = [(1, None), (2, ""), (3, "  \n"), (4, "a"), (None, "no id here"), (5, "repeated row"), (5, "repeated row"), (6, "long " * 30_000)]
@@ -174,7 +174,7 @@ def test_losses_agree_with_counting_by_hand(spark, odd):
     assert cross_entropy.score_difference(docs.limit(0), target.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize(("sizes", "own"), [((16 << 20, 12 << 20), True), ((900, 700), True), ((5, 300), False)])
+@pytest.mark.parametrize(("sizes", "own"), [((4 << 20, 4 << 20), True), ((900, 700), True), ((5, 300), False)])
 def test_every_word_has_its_own_counts(spark, monkeypatch, sizes, own):
     """More words than any fixed vocabulary of old; one block and many, one bucket and many give the same."""
     monkeypatch.setattr(block_keys.in_blocks, "__defaults__", (sizes[0],))
@@ -547,3 +547,136 @@ def test_pipeline_acts_and_keeps_clean_documents(spark, tmp_path):
     assert left[25]["text"].endswith(f"password={secrets.MARK}") and left[25]["n_chars"] == len(left[25]["text"])
     assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
     assert re.fullmatch(r"[0-9a-f]{64}", corpus_pipeline.encode_pieces(spark, docs, "").first()["ids_sha256"])
+
+
+def near_copies(rows):
+    """Groups of rows, by place, whose shingle sets are linked; all pairs are compared."""
+    from tests.llm.test_ngram_join import shingles
+
+    sets = [shingles(t) for t in rows]
+    root = list(range(len(rows)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return [find(k) for k in range(len(rows))]
+
+
+def test_pipeline_agrees_with_brute_force(spark, tmp_path):
+    import corpus_pipeline
+
+    r = random.Random(33)
+    texts = [prose(r, r.randrange(20, 90)) for _ in range(260)]
+    toxic = set(range(0, 260, 7))
+    for k in toxic:
+        texts[k] += " vilewort you grimling vilewort nastik you"
+    item = prose(r, 30)
+    rows = list(enumerate(texts))
+    for k in range(1, 250, 9):
+        if k not in toxic:
+            rows.append((300 + k, texts[k] + r.choice(["", " more words"])))
+    rows += [(1, "b " + prose(r, 40)), (7000, None), (7000, ""), (7001, "two words"), (7001, "two words"), (None, texts[2]), (None, "one two three four five six"), (None, "one two three four five six")]
+    rows += [(8000, f"{prose(r, 20)} {item} {prose(r, 9)}"), (8001, f"{prose(r, 30)} password=Zk83hQ0aPq92LmXx1"), (8001, f"{prose(r, 30)} nothing here")]
+    spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, 1, int(k in toxic)) for k in range(260)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = [(i, t) for i, t in rows if "vilewort" not in (t or "")]
+    groups = near_copies([t for _, t in left])
+    first = {}
+    for (i, t), g in zip(left, groups):
+        own = (i is None, i or 0, t or "")
+        first[g] = min(first.get(g, own), own)
+    kept, used = [], set()
+    for (i, t), g in zip(left, groups):
+        if first[g] == (i is None, i or 0, t or "") and g not in used:
+            used.add(g)
+            kept.append((i, t))
+    kept = [(i, (t or "").replace("password=Zk83hQ0aPq92LmXx1", f"password={secrets.MARK}")) for i, t in kept if item not in (t or "")]
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    expected = []
+    for i, t in kept:
+        ids = library.encode(t, add_eos=True)
+        digests = [hashlib.sha256(x.encode()).hexdigest() for x in (" ".join(map(str, ids)), library.decode(ids))]
+        expected.append((i, len(ids), *digests))
+    found = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
+    assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_outliers_copies_and_repeated_ids_get_all_their_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "GROUP_ROWS", 50)
+    r = np.random.default_rng(9)
+    v = r.standard_normal((900, 8))
+    v[::25] = 40 * r.standard_normal((36, 8))
+    v[300:600] = v[300]
+    rows = [(k, x.tolist()) for k, x in enumerate(v)] + [(0, (v[0] + 1).tolist()), (100, v[100].tolist()), (100, v[100].tolist())]
+    found = {}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    for x in neighbours.nearest(df, F.col("vec_id") % 100 == 0, fit_rows=700).collect():
+        found.setdefault(x["query_id"], []).append((x["rank"], x["vec_id"], x["score"]))
+    assert {q: len(own) for q, own in found.items()} == {q: {0: 20, 100: 30}.get(q, 10) for q in range(0, 900, 100)}
+    # A vector of 300 copies: the ten smallest ids other than its own.
+    assert sorted(found[400]) == [(k + 1, 300 + k, 0.0) for k in range(10)]
+    assert sorted(found[300]) == [(k + 1, 301 + k, 0.0) for k in range(10)]
+    assert [x for x in sorted(found[100]) if x[0] <= 2] == [(1, 100, 0.0)] * 3 + [(2, 100, 0.0)] * 3
+    with pytest.raises(Exception, match="inhomogeneous|same shape"):
+        neighbours.nearest(spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], df.schema), F.lit(True)).collect()
+
+
+def test_secret_candidates_have_no_length_limit_and_take_linear_time():
+    import time
+
+    token = "x" * 70 + "A1b2C3d4E5f6G7h8I9j0K1l2M3n4O5"
+    assert secrets.candidates(f"see {token} there") == [(4, 104, "long")]
+    assert secrets.candidates(f"{'my_' * 30}token{'_of_mine' * 9}: abcdef123") == [(90 + 5 + 72 + 2, 90 + 5 + 72 + 11, "assigned")]
+    r = random.Random(2)
+    many = " ".join("".join(r.choices("abcdefghijkl0123456789", k=26)) for _ in range(40_000))
+    begin = time.perf_counter()
+    assert len(secrets.candidates(many)) > 39_000
+    assert len(secrets.candidates("token" * 40_000 + " a=" * 40_000)) == 0
+    assert time.perf_counter() - begin < 20
+
+
+def test_candidates_are_those_of_comparing_all(spark):
+    r = random.Random(4)
+    for _ in range(200):
+        parts = ["password=", "AKIA" + "Q" * 16, "ghp_" + "a1" * 20, "token: ", "x" * 25 + "7", " ", "-", "\"", "abc", "=", "eyJabcdefgh1.abcdefgh1.abcdefgh1", "@"]
+        text = "".join(r.choices(parts, k=r.randrange(1, 30)))
+        spans = secrets.candidates(text)
+        assert spans == sorted(spans) and all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+        for a, b, kind in spans:
+            assert 0 <= a < b <= len(text) and (kind != "long" or re.fullmatch(r"[A-Za-z0-9+/=_-]{20,}", text[a:b]))
+        strict = [m.span() for m in secrets._STRICT.finditer(text)]
+        assert {s[:2] for s in spans if s[2] in secrets.STRICT} == set(strict)
+
+
+def test_least_hashed_rows_are_the_same_however_dealt(spark):
+    df = spark.range(5000).selectExpr("concat('t', id % 3000) AS t").unionAll(spark.sql("select 'hot' as t from range(3000)"))
+    few = [batches.least_hashed(df.repartition(n), 200).collect() for n in (1, 7)]
+    assert few[0] == few[1] and len({x["t"] for x in few[0]}) == 200
+    assert batches.least_hashed(df, 10_000).count() == 3001
+    assert batches.least_hashed(df.limit(0), 5).count() == 0
+
+
+def test_packed_numbers_come_back():
+    r = np.random.default_rng(1)
+    for n in (0, 1, 7, 300):
+        rows = np.stack([r.integers(0, 2**bits, n, dtype=np.uint64) for bits in (1, 9, 40, 63)])
+        assert np.array_equal(block_keys.unpacked(block_keys.packed(rows), n, np.uint64), rows)
+    signed = np.array([[-1, 5, -(2**63)], [0, 0, 0]])
+    assert np.array_equal(block_keys.unpacked(block_keys.packed(signed), 3, np.int64), signed)
