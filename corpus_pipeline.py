@@ -26,12 +26,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies, once."""
-    groups = jaccard_components(docs).groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
-    kept = groups.where("doc_id = component_id")
-    once = docs.join(kept.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
-    repeated = docs.join(kept.where("rows > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(repeated).unionByName(docs.where("doc_id is null")).select(docs.columns)
+    """Keeps one row of each group of near copies, that with the smallest id (null last).
+
+    Rows are told apart by a number, which holds once it is written: an id may come again with
+    another text, and rows without id have copies too.
+    """
+    row = fresh("_row", docs.columns)
+    numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = jaccard_components(numbered.select(row, "text"), id=row).select(F.col(row), F.col("component_id").alias("_group"))
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", F.col(row).alias("row"))
+    first = numbered.select("doc_id", row).join(groups, row).groupBy("_group").agg(F.min(order).alias("first"))
+    return numbered.join(first.select(F.col("first.row").alias(row)), row, "left_semi").select(docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
