@@ -16,6 +16,8 @@ WHITESPACE = (
 # Java's \s is ASCII unless (?U) is set, and even then misses the four separators.
 SPACE = r"(?U)[\s\x1c-\x1f]"
 
+MAX_TITLE = 31
+
 # A first cell with this text marks a filler row.
 FILLER = "BLANK"
 
@@ -62,6 +64,6 @@ def simple_key(header: Column) -> Column:
 
 
 def sheet_title(file_name: Column) -> Column:
-    """Title of a one-sheet file: its name without extension, 31 characters at most."""
-    stem = F.regexp_replace(file_name, r"(?<=[^.])\.[^.]*$", "")
-    return F.substring(stem, 1, 31)
+    """Title of a one-sheet file: its name without extension, 31 characters at most. Leading dots begin no extension."""
+    stem = F.regexp_replace(file_name, r"(?s)^(.*[^.].*)\.[^.]*$", "$1")
+    return F.substring(stem, 1, MAX_TITLE)

@@ -64,7 +64,7 @@ class LoadReport:
     loaded: int = 0
     failed: int = 0
     rows: int = 0
-    stamps: tuple[str, ...] = field(default=(), compare=False)
+    stamps: tuple[str, ...] = field(default=(), compare=False, repr=False)
 
     def __add__(self, other: LoadReport) -> LoadReport:
         return LoadReport(self.loaded + other.loaded, self.failed + other.failed, self.rows + other.rows, self.stamps + other.stamps)

@@ -57,5 +57,6 @@ def metric_rows(df: DataFrame, metric_name: Column, batch_id: str, payload: Colu
 
 
 def save_metric(spark: SparkSession, schema: str, metric_name: str, metric: Mapping[str, Any], batch_id: str) -> None:
-    payload = F.struct(*(F.lit(v).alias(k) for k, v in metric.items()))
+    """One row; a value of ``metric`` is a figure or a column."""
+    payload = F.struct(*((v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in metric.items()))
     append_by_name(metric_rows(spark.range(1), F.lit(metric_name), batch_id, payload), f"{schema}.{METRICS}")

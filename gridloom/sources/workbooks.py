@@ -16,11 +16,12 @@ from typing import IO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridloom.functions.text import sheet_title
 from gridloom.sources.xlsx import XlsxBook
 
-MAX_TITLE = 31
 FILE_LEVEL = -1
 
 # One row per sheet row. Without row_idx: one row per file, one per sheet, one per error.
@@ -53,7 +54,8 @@ _BATCH_ROWS = 8_192
 _BATCH_CELLS = 131_072
 
 Rows = Iterator[tuple[int, list[str]]]
-Sheet = tuple[str, Callable[[], Rows]]
+# A title, none where the file has none, and a reader.
+Sheet = tuple[str | None, Callable[[], Rows]]
 
 
 def decode_archives(files: DataFrame) -> DataFrame:
@@ -70,7 +72,10 @@ def _decode(files: DataFrame, zipped: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return decode_batches(batches, zipped)
 
-    return files.select("zip_uri", "load_id", "content").mapInArrow(run, GRID_SCHEMA)
+    rows = files.select("zip_uri", "load_id", "content").mapInArrow(run, GRID_SCHEMA)
+    # The one sheet of a text file has no name of its own.
+    untitled = F.col("sheet_name").isNull() & (F.col("sheet_pos") != FILE_LEVEL)
+    return rows.withColumn("sheet_name", F.when(untitled, sheet_title(F.col("unzipped_name"))).otherwise(F.col("sheet_name")))
 
 
 def decode_batches(batches: Iterator[pa.RecordBatch], zipped: bool) -> Iterator[pa.RecordBatch]:
@@ -123,12 +128,10 @@ csv.field_size_limit((1 << 31) - 1)
 
 
 def _csv_sheets(name: str, file: IO[bytes]) -> list[Sheet]:
-    title = _stem(name)[:MAX_TITLE]
-
     def rows() -> Rows:
         return enumerate(csv.reader(io.TextIOWrapper(file, encoding="utf-8-sig", newline="")))
 
-    return [(title, rows)]
+    return [(None, rows)]
 
 
 def _xlsx_sheets(name: str, file: IO[bytes]) -> list[Sheet]:
@@ -155,10 +158,6 @@ def _split_name(path: str) -> tuple[str, str]:
     return (name[:dot], name[dot:]) if name[:dot].strip(".") else (name, "")
 
 
-def _stem(path: str) -> str:
-    return _split_name(path)[0]
-
-
 def extension(path: str) -> str:
     return _split_name(path)[1].lower()
 

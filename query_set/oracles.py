@@ -131,8 +131,8 @@ WHERE NOT EXISTS (SELECT 1 FROM labels x WHERE x.quality = 1 AND x.doc_id = l.do
   WHEN x.doc_id % 2 = 0 THEN contains(l.path, '%20') WHEN x.doc_id % 3 = 0 THEN NOT contains(l.path, '%20') ELSE true END)""",
     "uri_names": """SELECT page_id, string_split(url, '?')[1] || '/a b+' || page_id || '.ZIP' AS uri,
 'a b+' || page_id || '.ZIP' AS name, '.zip' AS extension FROM pages""",
-    "sheet_titles": "SELECT doc_id, substring(source || '_' || lang || '.claims_extract_of_length_' || n_chars, 1, 31) AS title "
-    "FROM documents",
+    "sheet_titles": "SELECT doc_id, substring('.' || source || '_' || lang || CASE WHEN doc_id % 3 < 2 THEN '.claims_of_' || n_chars "
+    "|| CASE WHEN doc_id % 3 = 0 THEN '.' ELSE '' END ELSE '' END, 1, 31) AS title FROM documents",
     "load_ids": "SELECT source, count(DISTINCT doc_id) AS ids, count(*) AS well_formed FROM documents GROUP BY source",
     "file_listing": "SELECT DISTINCT lang, true AS has_bytes FROM documents",
     "zip_roundtrip": unpivot(

@@ -121,6 +121,32 @@ def test_latency_summary(spark, partitions):
         assert found[key] == pytest.approx(expected_latency(values))
 
 
+def test_latency_ranks_are_found_without_a_job_or_a_sort_of_all(spark, tmp_path):
+    from gridloom.sources.staging import shared_folder
+
+    import os
+
+    base = f"{shared_folder(spark)}/gridloom"
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    rng = random.Random(9)
+    values = [rng.choice([1, 1e-7, 1e5]) * rng.random() ** 9 for _ in range(5000)] + [0.0] * 50 + [3.5] * 40
+    rows = [("a", v) for v in values] + [(None, 1.0), (None, 2.0), ("b", float("nan")), ("b", -1.5), ("b", -0.5)]
+    found = {r[0]: tuple(r)[1:] for r in latency_summary(spark.createDataFrame(rows, "k string, s double"), ["k"], "s").collect()}
+    assert found["a"] == pytest.approx(expected_latency(values), rel=1e-12)
+    assert found[None] == pytest.approx(expected_latency([1.0, 2.0])) and found["b"] == pytest.approx(expected_latency([-1.5, -0.5]))
+    assert (set(os.listdir(base)) if os.path.isdir(base) else set()) == before
+
+
+def test_rows_are_counted_by_the_sink(spark):
+    assert workloads.rows_sent(spark.range(1000).where("id % 3 = 0"))[0] == 334
+    assert workloads.payload_bandwidth(spark, 70)["rows_collected"] == 70
+
+
+def test_a_row_is_inserted_by_name(spark, schema):
+    sinks.insert_row(spark, f"{schema}.{tables.SCRATCH}", {"stuff": "it's; -- \"x\" :v0"})
+    assert [tuple(r) for r in spark.table(f"{schema}.{tables.SCRATCH}").collect()] == [(None, "it's; -- \"x\" :v0")]
+
+
 def test_latency_summary_without_key(spark):
     df = spark.createDataFrame([(0.3,), (0.1,), (0.2,), (None,)], "s double")
     assert tuple(latency_summary(df, [], "s").first()) == pytest.approx(expected_latency([0.3, 0.1, 0.2]))
@@ -185,7 +211,7 @@ def test_workloads_leave_one_batch(spark, schema):
     assert '"checksum":12497500' in payload["RangeAggregation"]
     assert '"groups_returned":2' in payload["ShuffleGroupBy"]
     assert '"iterations":5' in payload["ClusterRoundtripLatency"]
-    assert batches.latest_row(spark.table(f"{schema}.{tables.SCRATCH}")).first()["stuff"].startswith("QQPP")
+    assert batches.latest_row(spark.table(f"{schema}.{tables.SCRATCH}")).first()["stuff"].startswith("inserted ")
 
 
 def test_jobs(spark, tmp_path, capsys):
