@@ -146,6 +146,12 @@ def vectors(page: list[Block]) -> np.ndarray:
     if len(_places) > 200_000:
         _places.clear()
     total = sum(len(b.text) for b in page) or 1
+    words = [b.text.split(" ") for b in page]
+    counts = np.array([len(w) for w in words], np.int64)
+    places = np.array([_places.get(w) or _place(w) for own in words for w in own], np.int64)
+    at = np.repeat(np.arange(len(page)), counts) * WORD_SIZE + np.abs(places) - 1
+    sums = np.bincount(at, np.sign(places), len(page) * WORD_SIZE).reshape(len(page), WORD_SIZE)
+    x[:, PATH_SIZE : PATH_SIZE + WORD_SIZE] = sums / counts[:, None]
     paths: dict[tuple[str, ...], np.ndarray] = {}
     for k, b in enumerate(page):
         row = paths.get(b.path)
@@ -156,10 +162,6 @@ def vectors(page: list[Block]) -> np.ndarray:
                 row[slot] += sign
             paths[b.path] = row = np.clip(row, -2, 2)
         x[k, :PATH_SIZE] = row
-        words = b.text.split(" ")
-        places = np.fromiter((_places.get(w) or _place(w) for w in words), np.int64, len(words))
-        signs = np.where(places > 0, 1.0, -1.0)
-        x[k, PATH_SIZE : PATH_SIZE + WORD_SIZE] = np.bincount(np.abs(places) - 1, signs, WORD_SIZE) / len(words)
         x[k, PATH_SIZE + WORD_SIZE :] = (
             np.log1p(len(b.text)) / 5,
             b.linked,
