@@ -40,6 +40,8 @@ DECODE_CONF = {
 }
 
 SHEET = ["load_id", "sheet_pos"]
+# Sheet names that are broadcast; one takes less than a hundred bytes.
+MOST_NAMES = 100_000
 
 # What Spark says where a body or its decoding brings down a worker: only these are cornered by halving.
 CRASHES = (
@@ -368,11 +370,24 @@ def grid_facts(grid: DataFrame, sheets: DataFrame, zip_name: Column) -> DataFram
         .join(bad, "load_id", "left_anti")
         .select(*SHEET, zip_name.alias("zip_name"), "unzipped_name", "sheet_name", "sheet_index")
     )
-    rows = number_rows(grid.where(F.col("kind") != MARK), SHEET, wanted)
+    rows = number_rows(only_wanted(grid.where(F.col("kind") != MARK), wanted), SHEET, wanted)
     keep = ["load_id", "zip_name", "unzipped_name", "sheet_name", "sheet_index", "heading", "table_row_index"]
     return wide_to_long(rows, keep)
 
 
+def only_wanted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of the wanted sheets, so that no others are shuffled.
+
+    The names are sent to all tasks if they are few enough, which is checked; a join by name
+    would put a large sheet into one task. With more of them all rows are shuffled by
+    chunk, and the others drop out there.
+    """
+    names = wanted.select(*SHEET).distinct()
+    if names.count() > MOST_NAMES:
+        return rows
+    return rows.join(F.broadcast(names), SHEET, "left_semi")
+
+
 def _report(ledger: DataFrame) -> LoadReport:
     ok = F.col("status") == LOADED
     stamps = F.collect_set(stamp_of(F.col("load_id"))).alias("stamps")

@@ -147,6 +147,9 @@ WHERE NOT EXISTS (SELECT 1 FROM labels x WHERE x.quality = 1 AND x.doc_id = l.do
         f"SELECT 'Orders' AS sheet_name, CAST(0 AS BIGINT) AS sheet_index, CAST(o_orderkey AS VARCHAR) AS first_col_val, "
         f"'{name}' AS table_key, {key_of(chr(39) + name + chr(39))} AS table_key_simple, {value} AS table_val FROM orders"
         for name, value in {
+            "Customer": "CAST(o_custkey AS VARCHAR)",
+            "Status": "o_orderstatus",
+            "Day": "strftime(o_orderdate, '%Y-%m-%d') || ' 00:00:00'",
             "Whole": "CAST(CAST(round_even(o_totalprice, 0) AS BIGINT) AS VARCHAR)",
             "Exact": "CAST(o_totalprice AS VARCHAR)",
             "Flag": "'True'",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Mapping, Sequence
-from typing import Any
+from typing import Any, NamedTuple
 from xml.sax.saxutils import escape
 
 _MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
@@ -13,6 +13,18 @@ _DOC = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 _PKG = "http://schemas.openxmlformats.org/package/2006/relationships"
 
 
+class Shared(NamedTuple):
+    """A cell whose text is in the workbook's table of strings."""
+
+    at: int
+
+
+def shared_strings(texts: Sequence[str]) -> dict[str, str]:
+    """The table of strings as an extra part of a workbook."""
+    entries = "".join(f'<si><t xml:space="preserve">{escape(t)}</t></si>' for t in texts)
+    return {"xl/sharedStrings.xml": f'<sst xmlns="{_MAIN}">{entries}</sst>'}
+
+
 def zip_bytes(members: Mapping[str, bytes | str]) -> bytes:
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
@@ -32,6 +44,8 @@ def column_name(at: int) -> str:
 
 def cell_xml(at: str, value: Any, style: int = 0) -> str:
     """A stored cell: text as a shared-less inline string, numbers and booleans as they are."""
+    if isinstance(value, Shared):
+        return f'<c r="{at}" t="s"><v>{value.at}</v></c>'
     if isinstance(value, bool):
         return f'<c r="{at}" t="b"><v>{int(value)}</v></c>'
     if isinstance(value, int | float):
@@ -45,7 +59,7 @@ def sheet_xml(rows: Sequence[Sequence[Any]]) -> str:
     for r, row in enumerate(rows, start=1):
         cells = []
         for c, cell in enumerate(row):
-            value, style = cell if isinstance(cell, tuple) else (cell, 0)
+            value, style = cell if isinstance(cell, tuple) and not isinstance(cell, Shared) else (cell, 0)
             if value is not None:
                 cells.append(cell_xml(f"{column_name(c)}{r}", value, style))
         if cells:

@@ -14,7 +14,7 @@ from pyspark.sql.types import BinaryType
 
 from gridloom.sources.staging import new_folder
 from gridloom.sources.tables import create_tables
-from query_set.samples import xlsx_bytes, zip_bytes
+from query_set.samples import Shared, shared_strings, xlsx_bytes, zip_bytes
 
 PARTS_PER_FILE = 20
 ORDERS_PER_FILE = 200
@@ -80,32 +80,36 @@ def part_zips(spark: SparkSession, sf_dir: str, wide: Column | None = None) -> D
 
 
 @F.pandas_udf(BinaryType())
-def zipped_xlsx(keys: pd.Series, prices: pd.Series, priorities: pd.Series) -> pd.Series:
-    """A workbook with a contents sheet that leaves out its first sheet."""
+def zipped_xlsx(orders: pd.Series) -> pd.Series:
+    """A workbook with a contents sheet that leaves out its first sheet; repeated texts lie in its table of strings."""
     books = []
-    for key, price, priority in zip(keys, prices, priorities):
-        rows = [
-            [int(k), (float(p), 1), None, (float(p), 2), True, text] for k, p, text in zip(key, price, priority)
-        ]
+    for rows in orders:
+        texts = sorted({r["o_orderpriority"] for r in rows} | {r["o_orderstatus"] for r in rows})
+        at = {text: Shared(k) for k, text in enumerate(texts)}
+        cells = [
+            [int(r["o_orderkey"]), int(r["o_custkey"]), at[r["o_orderstatus"]], (float(r["o_totalprice"]), 1), None, (float(r["o_totalprice"]), 2),
+             True, (int(r["day"]), 3), at[r["o_orderpriority"]]]
+            for r in rows
+        ]
         sheets = {
             "Left out": [["a", "b"], ["1", "2", "3"]],
             "Table of Contents": [["Contents"], ["Table Name", "Description"], ["Orders", "all of them"]],
-            "Orders": [["Orders"], ["Key", "Whole", "Exact", "Flag", "Order Total/Count"], *rows],
+            "Orders": [["Orders"], ["Key", "Customer", "Status", "Whole", "Exact", "Flag", "Day", "Order Total/Count"], *cells],
         }
-        books.append(zip_bytes({"book.xlsx": xlsx_bytes(sheets, ["#,##0", "#,##0.00"])}))
+        books.append(zip_bytes({"book.xlsx": xlsx_bytes(sheets, ["#,##0", "#,##0.00", "yyyy-mm-dd"], shared_strings(texts))}))
     return pd.Series(books)
 
 
 def order_books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zips of workbooks, each with the orders of one key range."""
-    row = F.struct("o_orderkey", "o_totalprice", "o_orderpriority")
+    """Zips of workbooks, each with the orders of one key range; days are numbers that a format shows as dates."""
+    day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1899-12-30").cast("date"))
+    row = F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", day.alias("day"), "o_orderpriority")
     books = (
         table(spark, sf_dir, "orders")
         .groupBy(F.floor(F.col("o_orderkey") / ORDERS_PER_FILE).alias("file_no"))
         .agg(F.array_sort(F.collect_list(row)).alias("rows"))
     )
-    columns = [F.col(f"rows.{c}") for c in ("o_orderkey", "o_totalprice", "o_orderpriority")]
-    return books.select(F.concat(F.lit("mem:/x/"), "file_no", F.lit(".zip")).alias("zip_uri"), zipped_xlsx(*columns).alias("content"))
+    return books.select(F.concat(F.lit("mem:/x/"), "file_no", F.lit(".zip")).alias("zip_uri"), zipped_xlsx("rows").alias("content"))
 
 
 def part_csv_folder(spark: SparkSession, sf_dir: str) -> str:

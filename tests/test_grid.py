@@ -177,3 +177,18 @@ def test_a_null_sheet_name_is_a_sheet(spark):
     wanted = spark.createDataFrame([(None, 7)], "sheet string, extra int")
     kept = grid.number_rows(grid.compact(df), ["sheet"], wanted).select("sheet", "extra").collect()
     assert [tuple(r) for r in kept] == [(None, 7)] * 2
+
+
+def test_only_wanted_sheets_are_shuffled(spark, monkeypatch):
+    from gridloom.plans import ingest
+
+    rows = [(f"l{n % 3}", n % 5, k, ["a", "b"] if not k else [str(k), "x"], "data") for n in range(15) for k in range(40)]
+    grid_rows = spark.createDataFrame(rows, "load_id string, sheet_pos int, row_idx long, cells array<string>, kind string").repartition(4)
+    wanted = spark.createDataFrame([("l1", 2)], "load_id string, sheet_pos int")
+    kept = ingest.only_wanted(grid_rows, wanted)
+    assert kept.count() == grid_rows.where("load_id = 'l1' and sheet_pos = 2").count() == 40
+    plan = spark._jvm.PythonSQLUtils.explainString(grid.number_rows(kept, ingest.SHEET, wanted)._jdf.queryExecution(), "simple")
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(_sheet" in line]
+    assert shuffles and plan.index("LeftSemi") > plan.index(shuffles[0])
+    monkeypatch.setattr(ingest, "MOST_NAMES", 0)
+    assert ingest.only_wanted(grid_rows, wanted).count() == 600
