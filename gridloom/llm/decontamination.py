@@ -34,8 +34,8 @@ THRESHOLD = 0.5
 QUESTION_OVERLAP, ANSWER_OVERLAP = 0.6, 0.6
 LEAST_STRIDE = 32
 BLOCK = 64
-# Bytes of item text in one index; more items make further indexes and passes.
-SHARD_BYTES = 32 << 20
+# Bytes of item text in one index, which takes some ten times as much; more items make further indexes and passes.
+SHARD_BYTES = 16 << 20
 
 LEAK = T.StructType(
     [
@@ -56,42 +56,78 @@ def words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(prefix_sums(data, lower=True), starts, ends), firsts
 
 
+class Postings:
+    """Items and impacts of every term, one after another in two arrays, and the largest impact of each block of a term."""
+
+    def __init__(self, terms: np.ndarray, items: np.ndarray, impacts: np.ndarray):
+        """``terms`` are sorted, the items of one term too."""
+        self.items, self.impacts = items.astype(np.int32), impacts
+        self.terms, first = np.unique(terms, return_index=True)
+        self.bounds = np.append(first, len(terms))
+        counts = np.diff(self.bounds)
+        self.first_block = np.append(0, np.cumsum(-(-counts // BLOCK)))
+        inside = np.arange(self.first_block[-1]) - np.repeat(self.first_block[:-1], np.diff(self.first_block))
+        at = np.repeat(first, np.diff(self.first_block)) + BLOCK * inside
+        self.block_most = np.maximum.reduceat(impacts, at) if len(at) else impacts
+        self.most = np.maximum.reduceat(impacts, first) if len(first) else impacts
+
+    def __getitem__(self, term: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = self.bounds[term], self.bounds[term + 1]
+        return self.items[a:b], self.impacts[a:b]
+
+    def block(self, term: int, at: int) -> float:
+        """The largest impact of the block that holds place ``at`` of a term."""
+        return self.block_most[self.first_block[term] + at // BLOCK]
+
+
 class ItemIndex:
-    """Inverted index of one shard of items; ``frequency`` maps terms to items over all shards."""
+    """Inverted index of one shard of items; ``frequency`` has sorted terms and in how many items of all shards they are."""
 
-    def __init__(self, ids: list[int | None], texts: list[str], frequency: dict[int, int], total: int, mean_length: float):
-        hashes, firsts = words_of(pa.array(texts, pa.string()))
+    def __init__(self, ids: list[int | None], texts: list[str], frequency: tuple[np.ndarray, np.ndarray] | tuple[()], total: int, mean_length: float):
+        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+        parts = [words_of(part.column("text")) for part in sliced(batch, "text")]
+        hashes = np.concatenate([np.zeros(0, np.uint64), *(h for h, _ in parts)])
+        firsts = np.append(0, np.cumsum(np.concatenate([np.zeros(0, np.int64), *(np.diff(f) for _, f in parts)])))
         pairs = joined_hashes(hashes, 2)
         self.ids = ids
-        self.words, self.pairs, self.answer_words, lengths = [], [], [], []
-        found: list[tuple[int, int, float]] = []
+        self.words, self.pairs, self.answer_words = [], [], []
         for k, text in enumerate(texts):
             own = hashes[firsts[k] : firsts[k + 1]]
-            terms = pairs[firsts[k] : max(firsts[k], firsts[k + 1] - 1)]
             cut = answer_start(text, len(own))
             self.words.append(own)
-            self.pairs.append(np.unique(terms[: max(0, cut - 1)]))
+            self.pairs.append(np.unique(pairs[firsts[k] : max(firsts[k], firsts[k + 1] - 1)][: max(0, cut - 1)]))
             self.answer_words.append(np.unique(own[cut:]))
-            lengths.append(len(own))
-            values, counts = np.unique(terms, return_counts=True)
-            weights = []
-            for term, count in zip(values.tolist(), counts.tolist(), strict=True):
-                df = frequency.get(term, 1)
-                idf = np.log(1 + (total - df + 0.5) / (df + 0.5))
-                weights.append(idf * count * (K1 + 1) / (count + K1 * (1 - B + B * len(terms) / max(mean_length, 1))))
-            whole = sum(weights)
-            found += [(term, k, w / whole) for term, w in zip(values.tolist(), weights, strict=True)]
-        found.sort()
-        self.stride = max([LEAST_STRIDE, *lengths])
-        self.terms, starts = np.unique(np.array([t for t, _, _ in found], np.uint64), return_index=True)
-        bounds = [*starts.tolist(), len(found)]
-        self.postings = [([k for _, k, _ in found[a:b]], [w for _, _, w in found[a:b]]) for a, b in zip(bounds, bounds[1:], strict=False)]
-        self.most = np.array([max(w) for _, w in self.postings])
-        self.blocks = [[max(w[j : j + BLOCK]) for j in range(0, len(w), BLOCK)] for _, w in self.postings]
+        sizes = np.diff(firsts)
+        self.stride = int(max(LEAST_STRIDE, sizes.max(initial=0)))
+        # Pairs inside one item, each with how often it comes there.
+        item_of = np.repeat(np.arange(len(texts)), sizes)
+        inside = np.flatnonzero(item_of[1:] == item_of[:-1])
+        order = inside[np.lexsort((pairs[inside], item_of[inside]))]
+        terms, items = pairs[order], item_of[order]
+        new = np.flatnonzero(np.append(True, (terms[1:] != terms[:-1]) | (items[1:] != items[:-1]))) if len(terms) else np.zeros(0, np.int64)
+        counts = np.diff(np.append(new, len(terms)))
+        terms, items = terms[new], items[new]
+        idf = np.log(1 + (total - self._known(terms, frequency) + 0.5) / (self._known(terms, frequency) + 0.5))
+        length = np.maximum(sizes - 1, 0)[items]
+        weights = idf * counts * (K1 + 1) / (counts + K1 * (1 - B + B * length / max(mean_length, 1)))
+        impacts = weights / np.bincount(items, weights, len(texts))[items]
+        by_term = np.lexsort((items, terms))
+        self.postings = Postings(terms[by_term], items[by_term], impacts[by_term])
+        self.terms, self.most = self.postings.terms, self.postings.most
+
+    @staticmethod
+    def _known(terms: np.ndarray, frequency: tuple[np.ndarray, np.ndarray] | tuple[()]) -> np.ndarray:
+        """How many items hold each term; one, where that is not told."""
+        if not frequency or not len(frequency[0]):
+            return np.ones(len(terms))
+        known, counts = frequency
+        at = np.minimum(np.searchsorted(known, terms), len(known) - 1)
+        return np.where(known[at] == terms, counts[at], 1)
 
     def search(self, terms: list[int], threshold: float = THRESHOLD) -> list[tuple[int, float]]:
         """Items with a score of at least ``threshold`` against a passage of these term numbers."""
-        cursors = [[self.postings[t][0][0], t, 0] for t in terms]
+        postings = {t: self.postings[t] for t in terms}
+        cursors = [[int(postings[t][0][0]), t, 0] for t in terms]
         found = []
         while cursors:
             cursors.sort()
@@ -109,14 +145,14 @@ class ItemIndex:
             # What the blocks that would hold the pivot allow, and where the first of them ends.
             allowed, ends = 0.0, []
             for _, t, at in cursors[: pivot + 1]:
-                items = self.postings[t][0]
-                at = self._reach(items, at, item)
+                items = postings[t][0]
+                at = _reach(items, at, item)
                 if at < len(items):
-                    allowed += self.blocks[t][at // BLOCK]
-                    ends.append(items[min(len(items), (at // BLOCK + 1) * BLOCK) - 1])
+                    allowed += self.postings.block(t, at)
+                    ends.append(int(items[min(len(items), (at // BLOCK + 1) * BLOCK) - 1]))
             if allowed >= threshold:
                 if cursors[0][0] == item:
-                    score = sum(self.postings[t][1][at] for i, t, at in cursors[: pivot + 1] if i == item)
+                    score = float(sum(postings[t][1][at] for i, t, at in cursors[: pivot + 1] if i == item))
                     if score >= threshold:
                         found.append((item, score))
                     target = item + 1
@@ -130,24 +166,15 @@ class ItemIndex:
             moved = []
             for k, (i, t, at) in enumerate(cursors):
                 if k <= pivot and i < target:
-                    items = self.postings[t][0]
-                    at = self._reach(items, at, target)
+                    items = postings[t][0]
+                    at = _reach(items, at, target)
                     if at == len(items):
                         continue
-                    i = items[at]
+                    i = int(items[at])
                 moved.append([i, t, at])
             cursors = moved
         return found
 
-    @staticmethod
-    def _reach(items: list[int], at: int, target: int) -> int:
-        """First position from ``at`` on with an item of at least ``target``, whole blocks skipped."""
-        while at + BLOCK <= len(items) and items[at + BLOCK - 1] < target:
-            at += BLOCK
-        while at < len(items) and items[at] < target:
-            at += 1
-        return at
-
     def leaks(self, words: np.ndarray, pairs: np.ndarray, numbers: np.ndarray, threshold: float = THRESHOLD) -> list[dict]:
         """Verified items of one document; ``numbers`` are term numbers of its word pairs, -1 for none."""
         if not len(numbers):
@@ -191,6 +218,11 @@ class ItemIndex:
         return found
 
 
+def _reach(items: np.ndarray, at: int, target: int) -> int:
+    """First place from ``at`` on with an item of at least ``target``."""
+    return at + int(np.searchsorted(items[at:], target))
+
+
 def _share(wanted: np.ndarray, there: np.ndarray) -> float:
     return float(np.isin(wanted, there).mean()) if len(wanted) else 1.0
 
@@ -232,8 +264,9 @@ def with_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
         # One shard of items and its terms come to the driver: bounded by SHARD_BYTES.
         rows = own.toArrow()
         used = frequency.join(arrow_map(own.select("text"), pairs, "term long, length long, one long").select("term").distinct(), "term").toArrow()
-        counts = dict(zip(used.column("term").to_numpy().astype(np.int64).view(np.uint64).tolist(), used.column("count").to_pylist(), strict=True))
-        index = ItemIndex(rows.column("item_id").to_pylist(), rows.column("text").to_pylist(), counts, size["items"], float(mean))
+        known, counts = used.column("term").to_numpy().astype(np.int64).view(np.uint64), used.column("count").to_numpy()
+        order = np.argsort(known)
+        index = ItemIndex(rows.column("item_id").to_pylist(), rows.column("text").to_pylist(), (known[order], counts[order]), size["items"], float(mean))
         docs = _marked(docs, spark.sparkContext.broadcast(index), text, into, keep=shard > 0)
     return docs
 
