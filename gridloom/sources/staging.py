@@ -37,16 +37,17 @@ def make_folder(spark: SparkSession, folder: str):
     return path
 
 
-def staged(df: DataFrame, name: str, folder: str | None = None, split_by: str | None = None) -> DataFrame:
+def staged(df: DataFrame, name: str, folder: str | None = None, split_by: str | None = None, compression: str | None = None) -> DataFrame:
     """Writes ``df`` once and reads it back; later readers see one fixed result.
 
     Rows are put into one subfolder per value of ``split_by``, a column with few values.
+    ``compression`` is that of the session if not given.
     """
     spark = df.sparkSession
     path = f"{folder or new_folder(spark, 'stage')}/{name}"
     # With few values, open a file for each instead of sorting the rows.
     with session_conf(spark, {"spark.sql.maxConcurrentOutputFileWriters": "8"} if split_by else {}):
-        df.write.partitionBy(*([split_by] if split_by else [])).parquet(path)
+        df.write.partitionBy(*([split_by] if split_by else [])).parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
