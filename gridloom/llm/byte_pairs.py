@@ -48,7 +48,7 @@ ADDED_16 = """
 # Stands for a character that is neither letter, number nor blank.
 OTHER = "\ue000"
 # Characters of matches that a worker keeps the ids of.
-MEMORY = 4 << 20
+MEMORY = 8 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -113,11 +113,16 @@ class BytePairs:
         self.merges = SentencePieceProcessor(model_proto=model)
         self.split = regex.compile(pattern)
         self.later = regex.compile(f"[{later}]") if later else None
+        # The first byte of the least later character.
+        self.least = chr(int(later[2:10], 16)).encode()[0] if later else 256
         self.known: dict[str, tuple[int, ...]] = {}
         self.kept = 0
 
+    def _may_be_later(self, text: str) -> bool:
+        return not text.isascii() and np.frombuffer(text.encode(), np.uint8).max() >= self.least
+
     def matches(self, text: str) -> list[str]:
-        if self.later and not text.isascii() and self.later.search(text):
+        if self._may_be_later(text) and self.later.search(text):
             spans = [m.span() for m in self.split.finditer(self.later.sub(OTHER, text))]
             return [text[a:b] for a, b in spans]
         return [m.group() for m in self.split.finditer(text)] if self.split.groups else self.split.findall(text)
@@ -138,13 +143,13 @@ class BytePairs:
         self.kept += sum(map(len, new))
 
     def encode(self, text: str) -> np.ndarray:
-        words = self.matches(text)
-        try:
-            parts = list(map(self.known.__getitem__, words))
-        except KeyError:
-            self.learn(set(words))
-            parts = map(self.known.__getitem__, words)
-        return np.fromiter(chain.from_iterable(parts), np.int32)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; what is new in all of them is encoded by one call, as a call has a price."""
+        split = [self.matches(t) for t in texts]
+        self.learn(set(chain.from_iterable(split)))
+        return [np.array(list(chain.from_iterable(map(self.known.__getitem__, words))), np.int32) for words in split]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.surface.__getitem__, ids))
@@ -183,7 +188,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", dec
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         coder = shared.coder()
         for part in sliced(batch, body):
-            found = [coder.encode(t or "") for t in part.column(body).to_pylist()]
+            found = coder.encode_all([t or "" for t in part.column(body).to_pylist()])
             offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
             columns = {c: part.column(c) for c in others}
             columns["ids"] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
