@@ -74,7 +74,8 @@ def in_blocks(source: DataFrame, name: str, folder: str, block_bytes: int = BLOC
                 at, held = at + n, held + size
 
     schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("at", T.IntegerType()), *source.schema.fields])
-    return written(source.mapInArrow(run, schema), name, folder)
+    # Texts are the larger part of what is on disk later.
+    return written(source.mapInArrow(run, schema), name, folder, compression="zstd")
 
 
 def bucket_count(blocks: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:

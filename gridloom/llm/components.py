@@ -10,13 +10,13 @@ from gridloom.sources.staging import session_conf, staged
 MAX_ROUNDS = 60
 
 
-def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, folder: str | None = None, compression: str | None = None) -> DataFrame:
     """:func:`staged`, after which Spark deletes the shuffle files behind the table.
 
     A run of large shuffles would otherwise keep all of them on the executors' disks.
     """
     with session_conf(df.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
-        return staged(df, name, folder)
+        return staged(df, name, folder, compression=compression)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

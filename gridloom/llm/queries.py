@@ -46,7 +46,8 @@ def op5_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Against a target of the documents that are labelled as good."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id", F.lit(True).alias("good")).distinct()
-    marked = docs.join(good, "doc_id", "left")
+    # Labels grow with the documents: merged at every size rather than sent to all tasks while they are few.
+    marked = docs.join(good.hint("merge"), "doc_id", "left")
     return cross_entropy.score_difference(marked, F.col("good")).drop("good")
 
 
