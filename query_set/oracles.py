@@ -133,8 +133,10 @@ WHERE NOT EXISTS (SELECT 1 FROM labels x WHERE x.quality = 1 AND x.doc_id = l.do
 'a b+' || page_id || '.ZIP' AS name, '.zip' AS extension FROM pages""",
     "sheet_titles": "SELECT doc_id, substring('.' || source || '_' || lang || CASE WHEN doc_id % 3 < 2 THEN '.claims_of_' || n_chars "
     "|| CASE WHEN doc_id % 3 = 0 THEN '.' ELSE '' END ELSE '' END, 1, 31) AS title FROM documents",
-    "load_ids": "SELECT source, count(DISTINCT doc_id) AS ids, count(*) AS well_formed FROM documents GROUP BY source",
-    "file_listing": "SELECT DISTINCT lang, true AS has_bytes FROM documents",
+    "load_ids": """SELECT zip_uri, source, '20240131_2359_ABCD_' || substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-'
+  || substr(h, 17, 4) || '-' || substr(h, 21, 12) AS load_id, '20240131_2359_ABCD' AS stamp, true AS fresh
+FROM (SELECT 's3://in/' || doc_id AS zip_uri, source, md5('run|s3://in/' || doc_id) AS h FROM documents)""",
+    "file_listing": "SELECT 'doc ' || doc_id || '.txt' AS name, lang, strlen(text) AS length FROM documents",
     "zip_roundtrip": unpivot(
         "part",
         PART_COLUMNS,

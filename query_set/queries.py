@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import text
+from gridloom.functions.ids import load_id
 from gridloom.functions.numfmt import shown_decimals
 from gridloom.functions.rates import approx_mb_per_second, guarded_ratio
 from gridloom.functions.uris import base_name, decoded_uri, extension
@@ -20,7 +21,7 @@ from gridloom.plans.ingest import decode_and_judge, file_totals, grid_facts, loa
 from gridloom.sources.listing import list_files
 from gridloom.sources.sinks import append_by_name, insert_row, metric_rows
 from gridloom.sources.staging import make_folder, new_folder, staged
-from gridloom.sources.tables import FACTS, LEDGER, add_missing_columns, create_table, loaded_facts, register_folders
+from gridloom.sources.tables import FACTS, LEDGER, add_missing_columns, create_table, loaded_facts, register_folders, stamp_of
 from gridloom.streaming.arrivals import load_arrivals
 from query_set import tables as t
 
@@ -152,19 +153,24 @@ def sheet_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = with_load_id(t.table(spark, sf_dir, "documents").select(F.concat(F.lit("s3://in/"), "doc_id").alias("zip_uri"), "source"))
+    """Ids of a run, which a task that runs again gives anew; those of the plan differ between runs."""
+    files = t.table(spark, sf_dir, "documents").select(F.concat(F.lit("s3://in/"), "doc_id").alias("zip_uri"), "source")
+    fixed = files.select("zip_uri", "source", load_id("20240131_2359_ABCD", "run", F.col("zip_uri")).alias("load_id"))
     pattern = r"^\d{8}_\d{4}_[A-Z]{4}_[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
-    return ids.groupBy("source").agg(
-        F.count_distinct("load_id").alias("ids"), F.count_if(F.col("load_id").rlike(pattern)).alias("well_formed")
-    )
+    runs = [with_load_id(files).select("zip_uri", F.col("load_id").alias(f"id{k}")) for k in range(2)]
+    both = fixed.join(runs[0], "zip_uri").join(runs[1], "zip_uri")
+    fresh = (F.col("id0") != F.col("id1")) & F.col("id0").rlike(pattern) & F.col("id1").rlike(pattern)
+    return both.select("zip_uri", "source", "load_id", stamp_of(F.col("load_id")).alias("stamp"), fresh.alias("fresh"))
 
 
 def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and sizes of the texts, each a file of its own in a folder of its language; other files are left out."""
     folder = f"{t.scratch(spark)}/by_lang"
-    t.table(spark, sf_dir, "documents").write.partitionBy("lang").parquet(folder)
-    files = list_files(spark, folder, "*.parquet")
-    lang = F.regexp_extract("path", "lang=([^/]*)", 1)
-    return files.groupBy(lang.alias("lang")).agg((F.min("length") > 0).alias("has_bytes"))
+    docs = t.table(spark, sf_dir, "documents").select("doc_id", "lang", F.col("text").cast("binary").alias("content"))
+    t.write_files(docs.select(F.concat("lang", F.lit("/doc "), "doc_id", F.lit(".txt")).alias("name"), "content"), folder)
+    t.write_files(docs.where("doc_id % 10 = 0").select(F.concat("lang", F.lit("/doc "), "doc_id", F.lit(".TXT")).alias("name"), "content"), folder)
+    files = list_files(spark, folder, "*.txt")
+    return files.select(base_name(F.col("path")).alias("name"), F.regexp_extract("path", "/([^/]*)/[^/]*$", 1).alias("lang"), "length")
 
 
 def zip_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
