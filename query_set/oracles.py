@@ -196,6 +196,8 @@ FROM files""",
     "metric_days": rollup({"date_trunc_day": "CAST(date_trunc('day', ts) AS TIMESTAMP)"}, list(MEASURES)),
     "metric_payload": "SELECT o_orderpriority AS metric_name, 'b1' AS metric_batch_id, o_orderstatus AS status, count(*) AS n, "
     "CAST(sum(o_custkey) AS DOUBLE) AS total_seconds FROM orders GROUP BY ALL",
+    "metric_saved": """SELECT o_orderpriority AS metric_name, 'b1' AS metric_batch_id, CAST(sum(o_custkey) AS DOUBLE) AS total_seconds,
+  count(*) AS rows_collected, CAST(count(*) AS DOUBLE) / CAST(sum(o_custkey) AS DOUBLE) AS rows_per_second FROM orders GROUP BY 1""",
     "derived_rates": """SELECT l_orderkey, l_linenumber,
   CASE WHEN l_tax = 0 THEN 'inf'::DOUBLE ELSE l_quantity / l_tax END AS rows_per_second,
   CASE WHEN l_tax = 0 THEN 'inf'::DOUBLE ELSE l_quantity * 40 / CAST(1e6 AS DOUBLE) / l_tax END AS approx_mb_per_second,

@@ -18,10 +18,11 @@ from gridloom.operators.grid import compact, number_rows, overflow_message, shee
 from gridloom.operators.latency import latency_summary
 from gridloom.operators.pending import FAILED, LOADED, pending_files
 from gridloom.plans.ingest import decode_and_judge, file_totals, grid_facts, load_bodies, load_listed, load_new_zips, load_workbook_files, with_load_id
+from gridloom.plans.workloads import rows_sent
 from gridloom.sources.listing import list_files
-from gridloom.sources.sinks import append_by_name, insert_row, metric_rows
+from gridloom.sources.sinks import append_by_name, insert_row, metric_rows, save_metric
 from gridloom.sources.staging import make_folder, new_folder, staged
-from gridloom.sources.tables import FACTS, LEDGER, add_missing_columns, create_table, loaded_facts, register_folders, stamp_of
+from gridloom.sources.tables import FACTS, LEDGER, METRICS, add_missing_columns, create_table, loaded_facts, register_folders, stamp_of
 from gridloom.streaming.arrivals import load_arrivals
 from query_set import tables as t
 
@@ -316,6 +317,19 @@ def metric_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def metric_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A metric row for each order priority, saved one by one as the workloads do, with the rows a sink was given; read from the table."""
+    schema, orders = t.new_schema(spark), t.table(spark, sf_dir, "orders")
+    totals = orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.sum("o_custkey").alias("s")).orderBy("o_orderpriority")
+    for row in totals.collect():  # there are five priorities
+        sent, _ = rows_sent(orders.where(F.col("o_orderpriority") == row["o_orderpriority"]))
+        rate = guarded_ratio(F.lit(row["n"]), F.lit(float(row["s"])))
+        save_metric(spark, schema, row["o_orderpriority"], {"total_seconds": float(row["s"]), "rows_collected": sent, "rows_per_second": rate}, "b1")
+    saved = spark.table(f"{schema}.{METRICS}")
+    figures = [F.variant_get("payload", f"$.{c}", kind).alias(c) for c, kind in (("rows_collected", "long"), ("rows_per_second", "double"))]
+    return saved.select("metric_name", "metric_batch_id", rollup.total_seconds().alias("total_seconds"), *figures)
+
+
 def derived_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, seconds = F.col("l_quantity"), F.col("l_tax")
     return t.table(spark, sf_dir, "lineitem").select(
@@ -384,6 +398,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metric_line": metric_line,
     "metric_days": metric_days,
     "metric_payload": metric_payload,
+    "metric_saved": metric_saved,
     "derived_rates": derived_rates,
     "latency_summary": latency,
     "range_sum": range_sum,
