@@ -125,20 +125,22 @@ def _summaries(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _common_order(base: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The common shingles, sorted, and the place of each among them; at most ``COMMON_SHINGLES``.
+    """The most common shingles, sorted, and the place of each among them; about ``COMMON_SHINGLES`` at most.
 
-    How many there are of each sixteenth of a doubling in number tells from which on they are
-    few enough; only those come to the driver.
+    How many there are of each sixteenth of a doubling in number tells the level at which they
+    become too many. Of that level those with the least hash fill up the rest, of the levels
+    above all are taken; only these come to the driver.
     """
     common = base.where("kind = 1").groupBy(F.col("doc_id").alias("shingle")).agg(F.sum("n").alias("times"))
     level = F.floor(F.log2("times") * 16).cast("int")
-    held, least = 0, None
+    held, wanted = 0, F.lit(True)
     for row in sorted(common.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
-        held += row["count"]
-        if held > COMMON_SHINGLES:
+        if held + row["count"] > COMMON_SHINGLES:
+            bound = int(-(2**63) + 2**64 * (COMMON_SHINGLES - held) / row["count"])
+            wanted = (level > row["level"]) | ((level == row["level"]) & (F.xxhash64("shingle") < bound))
             break
-        least = row["level"]
-    top = common.where(level >= least if least is not None else F.lit(False)).toArrow()
+        held += row["count"]
+    top = common.where(wanted).toArrow()
     shingles = top.column("shingle").to_numpy().astype(np.int64).view(np.uint64)
     place = np.lexsort([shingles, top.column("times").to_numpy()])
     rank = np.empty(len(place), np.int64)
