@@ -28,9 +28,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of near copies, that with the smallest id (null last).
 
-    Rows are told apart by a number, which holds once it is written: an id may come again with
-    another text, and rows without id have copies too.
+    Where an id comes again, perhaps with another text, or is missing, rows are told apart by
+    a number, which holds once it is written.
     """
+    again = docs.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1 or doc_id is null")
+    if again.isEmpty():
+        first = jaccard_components(docs).where("doc_id = component_id").select("doc_id")
+        return docs.join(first, "doc_id", "left_semi").select(docs.columns)
     row = fresh("_row", docs.columns)
     numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     groups = jaccard_components(numbered.select(row, "text"), id=row).select(F.col(row), F.col("component_id").alias("_group"))
