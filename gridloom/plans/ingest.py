@@ -33,9 +33,11 @@ SLICE_FILES = 10_000
 SLICE_BYTES = 256 << 30
 
 # Decoding costs far more than reading: tasks are cut smaller than for a scan, and
-# small partitions of files that come out of a shuffle are not put together.
+# small partitions of files that come out of a shuffle are not put together. A file counts
+# for 256 KB more than it has, so that a task takes some sixty small ones and not four.
 DECODE_CONF = {
     "spark.sql.files.maxPartitionBytes": str(16 << 20),
+    "spark.sql.files.openCostInBytes": str(256 << 10),
     "spark.sql.adaptive.coalescePartitions.enabled": "false",
 }
 

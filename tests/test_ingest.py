@@ -233,6 +233,24 @@ def test_listing_reads_no_bodies(spark, tmp_path):
     assert sorted(bytes(r["content"]) for r in bodies.collect()) == [b"1", b"333"]
 
 
+def test_many_small_files_take_few_tasks(spark, tmp_path):
+    prefix = put(tmp_path / "in", {f"{n}.zip": b"1" for n in range(200)})
+    paths = [r["path"] for r in listing.list_files(spark, prefix).collect()]
+    context = spark.sparkContext
+    context.setJobGroup("lookup", "lookup")
+    try:
+        listing.read_bodies(spark, paths)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("lookup") for s in tracker.getJobInfo(job).stageIds]
+    assert 0 < sum(tracker.getStageInfo(s).numTasks for s in stages) <= listing.LOOKUP_TASKS
+    with session_conf(spark, ingest.DECODE_CONF):
+        bodies = listing.read_bodies(spark, paths)
+        assert bodies.rdd.getNumPartitions() <= 8
+        assert bodies.count() == 200
+
+
 def test_pending(spark):
     files = spark.createDataFrame(
         [("s3:/t/1.zip", 1), ("s3:/t/2.zip", 1), ("s3:/t/2.zip", 1), ("s3:/t/3%204.zip", 1), ("s3:/t/5.zip", 1)],
