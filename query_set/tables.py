@@ -126,10 +126,14 @@ def write_files(files: DataFrame, folder: str) -> int:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = folder.removeprefix("file:") if folder.startswith("file:") else folder
         storage, root = fs.FileSystem.from_uri(place)
+        made: set[str] = set()
         for batch in batches:
             for name, content in zip(*(batch.column(c) for c in ("name", "content")), strict=True):
                 path = f"{root}/{name.as_py()}"
-                storage.create_dir(path.rpartition("/")[0], recursive=True)
+                parent = path.rpartition("/")[0]
+                if parent not in made:
+                    storage.create_dir(parent, recursive=True)
+                    made.add(parent)
                 with storage.open_output_stream(path) as out:
                     out.write(content.as_buffer())
             yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})

@@ -18,6 +18,7 @@ from gridloom.sources.tables import FACTS, LEDGER, loaded_facts
 from gridloom.sources.listing import list_files
 from gridloom.sources.tables import register_folders
 from gridloom.streaming.arrivals import load_arrivals
+from query_set import queries
 from query_set.samples import xlsx_bytes, zip_bytes
 from tests.row_model import facts_of
 
@@ -251,6 +252,24 @@ def test_many_small_files_take_few_tasks(spark, tmp_path):
         assert bodies.count() == 200
 
 
+def test_long_listing_takes_few_tasks(spark, tmp_path):
+    prefix = put(tmp_path / "in", {f"{n % 3}/{n}.zip": b"1" for n in range(1_000)})
+    files = listing.list_files(spark, prefix, "*.zip")
+    assert files.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert files.count() == files.select("path").distinct().count() == 1_000
+    assert listing.list_files(spark, f"{prefix}/1", "*.txt").count() == 0
+
+
+def test_texts_of_a_language_lie_in_several_folders(spark, tmp_path, monkeypatch):
+    rows = [(n, "one" if n % 2 else "two", f"text {n}") for n in range(64)]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    listed = []
+    monkeypatch.setattr(queries, "list_files", lambda *given: listed.append(listing.list_files(*given)) or listed[0])
+    found = {tuple(r) for r in queries.file_listing(spark, str(tmp_path)).collect()}
+    assert found == {(f"doc {n}.txt", lang, len(text)) for n, lang, text in rows}
+    assert len({r["path"].rpartition("/")[0] for r in listed[0].collect()}) > 8
+
+
 def test_pending(spark):
     files = spark.createDataFrame(
         [("s3:/t/1.zip", 1), ("s3:/t/2.zip", 1), ("s3:/t/2.zip", 1), ("s3:/t/3%204.zip", 1), ("s3:/t/5.zip", 1)],
