@@ -61,6 +61,24 @@ def test_stored_forms():
     ]
 
 
+def test_rows_are_taken_as_they_end_and_leave_no_nodes(monkeypatch):
+    monkeypatch.setattr(xlsx, "_CHUNK_BYTES", 64)
+    kept, take = [], xlsx._finished_rows
+
+    def watched(node, ended):
+        yield from take(node, ended)
+        kept.append(sum(1 for _ in node.iter()))
+
+    monkeypatch.setattr(xlsx, "_finished_rows", watched)
+    cells = [f'<row r="{n}"><c r="A{n}" t="inlineStr"><is><r><t>a&amp;</t></r><t>{n}</t><rPh><t>no</t></rPh></is></c><c><v>{n}<!-- -->0</v></c></row>' for n in range(1, 400)]
+    merged = "".join(f'<mergeCell ref="A{n}:B{n}"/>' for n in range(400))
+    whole = f'<worksheet xmlns="{MAIN}"><cols><col/><row/></cols><sheetData>{"".join(cells)}</sheetData><mergeCells>{merged}</mergeCells></worksheet>'
+    assert read(xlsx_bytes({"S": whole}))["S"] == [(n - 1, [f"a&{n}", f"{n}0"]) for n in range(1, 400)]
+    assert max(kept) < 40
+    with pytest.raises(SyntaxError):
+        read(xlsx_bytes({"S": whole[:-20]}))
+
+
 def test_rounding_is_pythons():
     rng = random.Random(3)
     values = [round(rng.uniform(-1e6, 1e6), 3) for _ in range(200)] + [0.5, 1.5, 2.5, 0.125, 2.675]
