@@ -39,6 +39,8 @@ from gridloom.llm.components import components, written
 COMMON_SHINGLES = 1 << 18
 # A task reports shingles that it met in so many documents.
 COMMON_IN_TASK = 8
+# Text bytes among which a task looks for shingles that come again; hashed in smaller slices.
+COUNTED_BYTES = 8 << 20
 # Documents of one shingle that are put into one tree; more are dealt to pairs of blocks.
 BLOCK = 1_000
 
@@ -100,8 +102,9 @@ def _summaries(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
-            for part in sliced(batch, "text", 8 << 20):
-                sets = list(shingle_sets(part.column("text"), width))
+            for part in sliced(batch, "text", COUNTED_BYTES):
+                # Hashing takes some fifty bytes for one of text, the sets take one or two.
+                sets = [s for some in sliced(part, "text") for s in shingle_sets(some.column("text"), width)]
                 digests = np.array([divmod(xxhash.xxh3_128_intdigest(s.tobytes()), 2**64) for s in sets], np.uint64).reshape(-1, 2)
                 yield rows(
                     0,
@@ -186,7 +189,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> D
     both = right.join(left.join(pairs.hint("shuffle_hash"), "a").hint("shuffle_hash"), "b")
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        for part in sliced(batch, "text_a"):
+        # One of the two texts may be much the longer.
+        for part in (p for some in sliced(batch, "text_a") for p in sliced(some, "text_b")):
             sets = [shingle_sets(part.column(c), width) for c in ("text_a", "text_b")]
             keep = [similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent) for x, y in zip(*sets, strict=True)]
             part = part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))

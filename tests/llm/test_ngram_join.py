@@ -1,9 +1,13 @@
 import random
 import re
+import tracemalloc
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 
 from gridloom.llm import ngram_join
+from gridloom.llm.batches import shingle_sets
 from gridloom.llm.components import components
 from gridloom.llm.ngram_join import SetTree, jaccard_components, similar
 
@@ -105,3 +109,44 @@ def test_components(spark):
     edges = [(k, k + 1) for k in range(1, 60)] + [(100, 90), (90, 95), (100, 95), (7, 7), (200, 201)]
     found = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {**{k: 1 for k in range(1, 61)}, 90: 90, 95: 90, 100: 90, 200: 200, 201: 200}
+
+
+def peak_of(work):
+    """What ``work`` returns, and the most bytes it held at a time."""
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_summaries_hash_few_bytes_at_a_time():
+    passage = " ".join(f"common{k}" for k in range(5))
+    r = random.Random(4)
+    rows = [" ".join(f"w{r.randrange(10**6)}" for _ in range(700)) for _ in range(1500)]
+    # Far apart, so that no slice of the hashing holds two of them.
+    rows[::200] = [passage + " " + t for t in rows[::200]]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(rows))), "text": rows})
+    size = sum(map(len, rows))
+    assert 6 << 20 < size < 8 << 20
+    run = ngram_join._summaries(SimpleNamespace(mapInArrow=lambda work, schema: work), 5)
+    found, most = peak_of(lambda: pa.Table.from_batches(run(iter([batch]))).to_pylist())
+    assert most < 20 * size
+    assert [(x["doc_id"], x["n"]) for x in found if x["kind"] == 0] == [(i, len(shingles(t))) for i, t in enumerate(rows)]
+    common = next(shingle_sets(pa.array([passage])))
+    assert [(x["doc_id"], x["n"]) for x in found if x["kind"] == 1] == [(int(common.astype("int64")[0]), 8)]
+
+
+def test_long_partners_of_short_texts_are_hashed_in_slices(monkeypatch):
+    frames = []
+    monkeypatch.setattr(ngram_join, "arrow_map", lambda df, work, schema: frames.append(work))
+    frame = SimpleNamespace(hint=lambda _: frame, join=lambda *_: frame, select=lambda *_: frame)
+    monkeypatch.setattr(ngram_join, "F", SimpleNamespace(col=lambda _: SimpleNamespace(alias=lambda _: None)))
+    ngram_join._verified(frame, frame, 80, 5)
+    r = random.Random(5)
+    long = [" ".join(f"w{r.randrange(10**6)}" for _ in range(40_000)) for _ in range(48)]
+    short = ["a b c d e"] * 47 + [long[-1]]
+    batch = pa.RecordBatch.from_pydict({"a": list(range(48)), "b": list(range(48, 96)), "text_a": short, "text_b": long})
+    found, most = peak_of(lambda: [list(zip(x["a"].to_pylist(), x["b"].to_pylist(), strict=True)) for x in frames[0](batch)])
+    assert most < 12 * sum(map(len, long))
+    assert [pair for part in found for pair in part] == [(47, 95)]
