@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 # Text bytes handled at a time in a task; a longer text makes a slice of its own.
 SLICE_BYTES = 2 << 20
+# Those whose words are hashed at a time: spans, sums and powers take some fifty times as much.
+HASHED_BYTES = 512 << 10
 
 _RANDOM = np.random.default_rng(0x5EED)
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.batches import ALPHANUMERIC, arrow_map, fresh, joined_hashes, prefix_sums, sliced, span_hashes, text_bytes, word_spans
+from gridloom.llm.batches import ALPHANUMERIC, HASHED_BYTES, arrow_map, fresh, joined_hashes, prefix_sums, sliced, span_hashes, text_bytes, word_spans
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5
@@ -85,7 +85,7 @@ class ItemIndex:
 
     def __init__(self, ids: list[int | None], texts: list[str], frequency: tuple[np.ndarray, np.ndarray] | tuple[()], total: int, mean_length: float):
         batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
-        parts = [words_of(part.column("text")) for part in sliced(batch, "text")]
+        parts = [words_of(part.column("text")) for part in sliced(batch, "text", HASHED_BYTES)]
         hashes = np.concatenate([np.zeros(0, np.uint64), *(h for h, _ in parts)])
         firsts = np.append(0, np.cumsum(np.concatenate([np.zeros(0, np.int64), *(np.diff(f) for _, f in parts)])))
         pairs = joined_hashes(hashes, 2)
@@ -248,7 +248,7 @@ def with_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
     shards = max(1, -(-size["bytes"] // shard_bytes))
 
     def pairs(batch: pa.RecordBatch) -> Iterator[dict]:
-        for part in sliced(batch, "text"):
+        for part in sliced(batch, "text", HASHED_BYTES):
             words, firsts = words_of(part.column("text"))
             joined = joined_hashes(words, 2)
             for a, b in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True):
@@ -278,7 +278,7 @@ def _marked(docs: DataFrame, index, text: str, into: str, keep: bool) -> DataFra
     leak = pa.list_(pa.struct([(f.name, pa.int64() if f.dataType == T.LongType() else pa.float64()) for f in LEAK]))
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        for part in sliced(batch, text):
+        for part in sliced(batch, text, HASHED_BYTES):
             found = index.value.document_leaks(part.column(text))
             if keep:
                 found = [[*old, *new] for old, new in zip(part.column(before).to_pylist(), found, strict=True)]

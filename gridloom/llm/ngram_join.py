@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.batches import arrow_map, mixed, shingle_sets, signed, sliced
+from gridloom.llm.batches import HASHED_BYTES, arrow_map, mixed, shingle_sets, signed, sliced
 from gridloom.llm.components import components, written
 
 # The shingles ordered last: those met most, at most so many. This only sets the order.
@@ -104,7 +104,7 @@ def _summaries(docs: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             for part in sliced(batch, "text", COUNTED_BYTES):
                 # Hashing takes some fifty bytes for one of text, the sets take one or two.
-                sets = [s for some in sliced(part, "text") for s in shingle_sets(some.column("text"), width)]
+                sets = [s for some in sliced(part, "text", HASHED_BYTES) for s in shingle_sets(some.column("text"), width)]
                 digests = np.array([divmod(xxhash.xxh3_128_intdigest(s.tobytes()), 2**64) for s in sets], np.uint64).reshape(-1, 2)
                 yield rows(
                     0,
@@ -158,7 +158,7 @@ def prefixes(docs: DataFrame, order: tuple[np.ndarray, np.ndarray], percent: int
     shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        for part in sliced(batch, "text"):
+        for part in sliced(batch, "text", HASHED_BYTES):
             first = []
             for s in shingle_sets(part.column("text"), width):
                 ranks = _ranks(s, shared.value)
@@ -190,7 +190,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> D
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         # One of the two texts may be much the longer.
-        for part in (p for some in sliced(batch, "text_a") for p in sliced(some, "text_b")):
+        for part in (p for some in sliced(batch, "text_a", HASHED_BYTES) for p in sliced(some, "text_b", HASHED_BYTES)):
             sets = [shingle_sets(part.column(c), width) for c in ("text_a", "text_b")]
             keep = [similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent) for x, y in zip(*sets, strict=True)]
             part = part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -336,7 +336,7 @@ def tree_pairs(rest: DataFrame, texts: DataFrame, order: tuple[np.ndarray, np.nd
     shared = texts.sparkSession.sparkContext.broadcast(order)
 
     def first(batch: pa.RecordBatch) -> Iterator[dict]:
-        for part in sliced(batch, "text"):
+        for part in sliced(batch, "text", HASHED_BYTES):
             found, marks = [], []
             for s in shingle_sets(part.column("text"), width):
                 ordered = s[np.argsort(_ranks(s, shared.value), kind="stable")]
